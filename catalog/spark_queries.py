@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import datetime, timezone
-from functools import reduce
+from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -47,36 +47,45 @@ class Model:
     def table(self, name: str) -> DataFrame:
         return table(self.spark, self.sf_dir, name)
 
+    @cached_property
     def fx(self) -> DataFrame:
         return fx(self.spark, self.sf_dir)
 
+    @cached_property
     def cleaned(self) -> DataFrame:
-        return clean_products(conform(self.fx(), COLUMNS + ORDER_COLUMNS), BATCH, AS_OF)
+        return conform(clean_products(self.fx, BATCH, AS_OF), RAW_COLUMNS + ORDER_COLUMNS)
 
+    @cached_property
     def raw(self) -> DataFrame:
-        return first_wins(self.cleaned(), ["code"], ORDER_COLUMNS).select(*RAW_COLUMNS)
+        return first_wins(self.cleaned, ["code"], ORDER_COLUMNS).select(*RAW_COLUMNS)
 
+    @cached_property
     def stg(self) -> DataFrame:
-        return staging.stg_products(self.raw())
+        return staging.stg_products(self.raw)
 
+    @cached_property
     def nutrients(self) -> DataFrame:
-        return staging.stg_nutrients(self.raw())
+        return staging.stg_nutrients(self.raw)
 
+    @cached_property
     def bridge_country(self) -> DataFrame:
-        return star.bridge_product_country(self.stg())
+        return star.bridge_product_country(self.stg)
 
+    @cached_property
     def bridge_brand(self) -> DataFrame:
-        return star.bridge_product_brand(self.stg())
+        return star.bridge_product_brand(self.stg)
 
+    @cached_property
     def dim_country(self) -> DataFrame:
-        return star.dim_country(self.bridge_country())
+        return star.dim_country(self.bridge_country)
 
+    @cached_property
     def fact(self) -> DataFrame:
-        stg = self.stg()
-        return star.fact_products(stg, star.dim_brand(stg), star.dim_category(stg))
+        return star.fact_products(self.stg, star.dim_brand(self.stg), star.dim_category(self.stg))
 
+    @cached_property
     def brand_quality(self) -> DataFrame:
-        return marts.mart_brand_quality(self.bridge_brand(), self.nutrients())
+        return marts.mart_brand_quality(self.bridge_brand, self.nutrients)
 
 
 def filled_fact(fact: DataFrame) -> DataFrame:
@@ -107,23 +116,23 @@ def q_clean_conversations(m: Model) -> DataFrame:
 
 
 def q_lang_unknown(m: Model) -> DataFrame:
-    return m.fx().select("pos", replace_value(clean_text(F.col("lang")), "xx", "unknown").alias("lang"))
+    return m.fx.select("pos", replace_value(clean_text(F.col("lang")), "xx", "unknown").alias("lang"))
 
 
 def q_clip_completeness(m: Model) -> DataFrame:
-    return m.fx().select("pos", clip(F.col("completeness"), 0.0, 1.0).alias("completeness"))
+    return m.fx.select("pos", clip(F.col("completeness"), 0.0, 1.0).alias("completeness"))
 
 
 def q_over_complete(m: Model) -> DataFrame:
-    return m.fx().where("completeness > 1").agg(F.count(F.lit(1)).alias("n_rows"))
+    return m.fx.where("completeness > 1").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
 def q_nutrient_levels(m: Model) -> DataFrame:
-    return m.fx().select("pos", *nutrient_levels(F.col("nutrient_levels")))
+    return m.fx.select("pos", *nutrient_levels(F.col("nutrient_levels")))
 
 
 def q_nutrients(m: Model) -> DataFrame:
-    return m.fx().select("pos", *nutrients(F.col("nutriments")))
+    return m.fx.select("pos", *nutrients(F.col("nutriments")))
 
 
 def q_event_props(m: Model) -> DataFrame:
@@ -132,30 +141,30 @@ def q_event_props(m: Model) -> DataFrame:
 
 
 def q_first_tag(m: Model) -> DataFrame:
-    return m.fx().select("pos", first_tag(F.col("brands_tags")).alias("tag"))
+    return m.fx.select("pos", first_tag(F.col("brands_tags")).alias("tag"))
 
 
 def q_empty_tags(m: Model) -> DataFrame:
     names = ["brands_tags", "countries_tags"]
-    return m.fx().select("pos", *[empty_list_to_null(F.col(c)).alias(c) for c in names])
+    return m.fx.select("pos", *[empty_list_to_null(F.col(c)).alias(c) for c in names])
 
 
 def q_explode_array(m: Model) -> DataFrame:
-    return explode_tags(m.fx(), "pos", "countries_tags", "tag", mode="array")
+    return explode_tags(m.fx, "pos", "countries_tags", "tag", mode="array")
 
 
 # --- cleaning and load -----------------------------------------------------------------------------------------------
 
 def q_drop_missing(m: Model) -> DataFrame:
-    return drop_missing_keys(m.fx()).select("pos", "code", "product_name")
+    return drop_missing_keys(m.fx).select("pos", "code", "product_name")
 
 
 def q_clean_products(m: Model) -> DataFrame:
-    return m.cleaned().select(*ORDER_COLUMNS, *FILLED, *DERIVED)
+    return m.cleaned.select(*ORDER_COLUMNS, *FILLED, *DERIVED)
 
 
 def q_first_wins(m: Model) -> DataFrame:
-    return first_wins(drop_missing_keys(m.fx()), ["code"], ORDER_COLUMNS).select("code", "page_no", "pos", "lang")
+    return first_wins(drop_missing_keys(m.fx), ["code"], ORDER_COLUMNS).select("code", "page_no", "pos", "lang")
 
 
 def q_first_wins_lineitem(m: Model) -> DataFrame:
@@ -163,7 +172,7 @@ def q_first_wins_lineitem(m: Model) -> DataFrame:
 
 
 def q_append_new(m: Model) -> DataFrame:
-    rows = drop_missing_keys(m.fx()).select("code", "page_no", "pos", "lang")
+    rows = drop_missing_keys(m.fx).select("code", "page_no", "pos", "lang")
     stored = first_wins(rows.where("page_no <= 5"), ["code"], ORDER_COLUMNS)
     return append_new(stored, rows, ["code"], ORDER_COLUMNS)  # the whole feed comes again
 
@@ -177,62 +186,62 @@ def q_append_new_orders(m: Model) -> DataFrame:
 
 
 def q_validate_rows(m: Model) -> DataFrame:
-    rows = m.fx().select("pos", "code", "product_name", F.repeat("lang", F.col("pos").cast("int") % 9).alias("lang"))
+    rows = m.fx.select("pos", "code", "product_name", F.repeat("lang", F.col("pos").cast("int") % 9).alias("lang"))
     good, rejected = validate_rows(rows)
     return good.withColumn("reject_reason", F.lit(None).cast("string")).unionByName(rejected)
 
 
 def q_load_counts(m: Model) -> DataFrame:
-    good, rejected = validate_rows(m.fx())
+    good, rejected = validate_rows(m.fx)
     parts = [("loaded", good), ("failed", rejected)]
     counts = [df.agg(F.lit(name).alias("outcome"), F.count(F.lit(1)).alias("n_rows")) for name, df in parts]
     return reduce(DataFrame.unionByName, counts)
 
 
 def q_time_sanity(m: Model) -> DataFrame:
-    return drop_time_travel(m.raw()).select("code", "created_t", "last_modified_t")
+    return drop_time_travel(m.raw).select("code", "created_t", "last_modified_t")
 
 
 def q_time_travel_rows(m: Model) -> DataFrame:
-    return modified_before_created(m.raw()).agg(F.count(F.lit(1)).alias("n_rows"))
+    return modified_before_created(m.raw).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
 # --- staging and star schema -----------------------------------------------------------------------------------------
 
 def q_stg_products(m: Model) -> DataFrame:
-    return m.stg().select(*STAGED)
+    return m.stg.select(*STAGED)
 
 
 def q_stg_products_energy_null(m: Model) -> DataFrame:
-    return staging.stg_products(m.raw(), energy_rule="null").select("code", "energy_kcal_100g")
+    return staging.stg_products(m.raw, energy_rule="null").select("code", "energy_kcal_100g")
 
 
 def q_stg_nutrients(m: Model) -> DataFrame:
-    return m.nutrients()
+    return m.nutrients
 
 
 def q_bridge_country(m: Model) -> DataFrame:
-    return m.bridge_country()
+    return m.bridge_country
 
 
 def q_bridge_brand(m: Model) -> DataFrame:
-    return m.bridge_brand()
+    return m.bridge_brand
 
 
 def q_dim_brand(m: Model) -> DataFrame:
-    return star.dim_brand(m.stg())
+    return star.dim_brand(m.stg)
 
 
 def q_dim_brand_one_owner(m: Model) -> DataFrame:
-    return star.dim_brand(m.stg(), one_per_brand=True)
+    return star.dim_brand(m.stg, one_per_brand=True)
 
 
 def q_dim_category(m: Model) -> DataFrame:
-    return star.dim_category(m.stg())
+    return star.dim_category(m.stg)
 
 
 def q_dim_country(m: Model) -> DataFrame:
-    return m.dim_country()
+    return m.dim_country
 
 
 def q_dense_ids_orders(m: Model) -> DataFrame:
@@ -241,27 +250,27 @@ def q_dense_ids_orders(m: Model) -> DataFrame:
 
 
 def q_fact_products(m: Model) -> DataFrame:
-    return filled_fact(m.fact())
+    return filled_fact(m.fact)
 
 
 def q_mart_nutrient_profile(m: Model) -> DataFrame:
-    return marts.mart_nutrient_profile(m.stg(), m.nutrients())
+    return marts.mart_nutrient_profile(m.stg, m.nutrients)
 
 
 def q_mart_nutrient_profile_fused(m: Model) -> DataFrame:
-    return marts.mart_nutrient_profile(m.stg(), fused=True)
+    return marts.mart_nutrient_profile(m.stg, fused=True)
 
 
 def q_mart_brand_quality(m: Model) -> DataFrame:
-    return m.brand_quality()
+    return m.brand_quality
 
 
 def q_mart_brand_quality_fused(m: Model) -> DataFrame:
-    return marts.mart_brand_quality_fused(m.stg())
+    return marts.mart_brand_quality_fused(m.stg)
 
 
 def q_rank_brands(m: Model) -> DataFrame:
-    return marts.rank_brands(m.brand_quality(), by="avg_energy_kcal", limit=10)
+    return marts.rank_brands(m.brand_quality, by="avg_energy_kcal", limit=10)
 
 
 def q_group_profile_lineitem(m: Model) -> DataFrame:
@@ -277,7 +286,7 @@ def q_group_profile_lineitem(m: Model) -> DataFrame:
 
 def generations(m: Model) -> tuple[DataFrame, DataFrame]:
     """Stored: the English and unknown products. Input: all but grade e, with change times moved by NOVA group."""
-    stg = m.stg()
+    stg = m.stg
     stored = snapshot_rows(stg.where(F.col("lang").isin("en", "unknown")))
     moved = (
         F.when(F.col("nova_group") <= 2, F.col("last_modified_at") + F.expr("INTERVAL 1 HOUR"))
@@ -289,7 +298,7 @@ def generations(m: Model) -> tuple[DataFrame, DataFrame]:
 
 
 def q_products_snapshot(m: Model) -> DataFrame:
-    return first_versions(snapshot_rows(m.stg()), "code", "last_modified_at").drop("ecoscore_grade", "ecoscore_score")
+    return first_versions(snapshot_rows(m.stg), "code", "last_modified_at").drop("ecoscore_grade", "ecoscore_score")
 
 
 def q_scd2_apply(m: Model) -> DataFrame:
@@ -316,41 +325,41 @@ def q_scd2_valid_at(m: Model) -> DataFrame:
 # --- reports ---------------------------------------------------------------------------------------------------------
 
 def q_products_by_country(m: Model) -> DataFrame:
-    rows = reports.products_by_country(m.fact(), m.bridge_country(), m.dim_country())
+    rows = reports.products_by_country(m.fact, m.bridge_country, m.dim_country)
     return filled_fact(rows)
 
 
 def q_explore(m: Model) -> DataFrame:
-    stg = m.stg()
+    stg = m.stg
     categories = star.dim_category(stg)
     fact = star.fact_products(stg, star.dim_brand(stg), categories)
     rows = reports.explore_products(
-        fact, m.bridge_country(), categories, country_names=["country-3", "country-8"],
+        fact, m.bridge_country, categories, country_names=["country-3", "country-8"],
         groups=["economy", "promo", "standard"], grades=["a", "b", "c"], nova=[1, 2, 3], calories=(50, 900),
     )
     return filled_fact(rows)
 
 
 def q_kpis(m: Model) -> DataFrame:
-    return reports.kpis(m.fact())
+    return reports.kpis(m.fact)
 
 
 def q_chart_series(m: Model) -> DataFrame:
-    return reports.chart_series(m.fact(), "nutriscore_grade")
+    return reports.chart_series(m.fact, "nutriscore_grade")
 
 
 # --- data quality ----------------------------------------------------------------------------------------------------
 
 def q_dq_not_null(m: Model) -> DataFrame:
-    return quality.not_null(m.fx(), "code").select("pos")
+    return quality.not_null(m.fx, "code").select("pos")
 
 
 def q_dq_unique(m: Model) -> DataFrame:
-    return quality.unique(m.fx(), "code")
+    return quality.unique(m.fx, "code")
 
 
 def q_dq_accepted(m: Model) -> DataFrame:
-    return quality.accepted_values(m.fx(), "nutriscore_grade", quality.NUTRISCORE_GRADES)
+    return quality.accepted_values(m.fx, "nutriscore_grade", quality.NUTRISCORE_GRADES)
 
 
 def q_dq_relationships(m: Model) -> DataFrame:
@@ -359,26 +368,26 @@ def q_dq_relationships(m: Model) -> DataFrame:
 
 
 def q_dq_ranges(m: Model) -> DataFrame:
-    rows = m.cleaned()
+    rows = m.cleaned
     checks = [
         quality.check_expression("energy_range", "rows", "energy_kcal_100g", quality.energy_out_of_range()),
         quality.check_expression("share_range", "rows", "nutrients", quality.share_above_100()),
         quality.check_expression("completeness_range", "fx", "completeness", F.expr("completeness < 0 OR completeness > 1")),
     ]
-    return quality.run_checks(checks, {"rows": rows, "fx": m.fx()})
+    return quality.run_checks(checks, {"rows": rows, "fx": m.fx})
 
 
 def q_dq_orphans(m: Model) -> DataFrame:
-    bridge = star.bridge_product_brand(m.raw())
-    return quality.orphans(bridge, m.stg(), "code").select("code", "brand_name")
+    bridge = star.bridge_product_brand(m.raw)
+    return quality.orphans(bridge, m.stg, "code").select("code", "brand_name")
 
 
 def q_dq_star(m: Model) -> DataFrame:
-    stg = m.stg()
+    stg = m.stg
     bridge = star.bridge_product_country(stg)
     brand, category = star.dim_brand(stg), star.dim_category(stg)
     frames = {
-        "raw_products": m.raw(), "stg_products": stg, "dim_brand": brand, "dim_category": category,
+        "raw_products": m.raw, "stg_products": stg, "dim_brand": brand, "dim_category": category,
         "dim_country": star.dim_country(bridge), "bridge_product_country": bridge,
         "bridge_product_brand": star.bridge_product_brand(stg),
         "fact_products": star.fact_products(stg, brand, category),
@@ -393,11 +402,11 @@ def q_freshness(m: Model) -> DataFrame:
 # --- profiles and audit ----------------------------------------------------------------------------------------------
 
 def q_profile_columns(m: Model) -> DataFrame:
-    return profile.profile_columns(m.fx().select("code", "owner", "lang", "pos", "created_t", "nutriscore_grade"))
+    return profile.profile_columns(m.fx.select("code", "owner", "lang", "pos", "created_t", "nutriscore_grade"))
 
 
 def q_null_counts(m: Model) -> DataFrame:
-    return profile.null_counts(m.fx())
+    return profile.null_counts(m.fx)
 
 
 def rounded_description(df: DataFrame) -> DataFrame:
@@ -406,7 +415,7 @@ def rounded_description(df: DataFrame) -> DataFrame:
 
 
 def q_describe(m: Model) -> DataFrame:
-    return rounded_description(profile.describe_numeric(m.fx().drop("page_no")))
+    return rounded_description(profile.describe_numeric(m.fx.drop("page_no")))
 
 
 def q_describe_lineitem(m: Model) -> DataFrame:
@@ -415,7 +424,7 @@ def q_describe_lineitem(m: Model) -> DataFrame:
 
 
 def q_sample_values(m: Model) -> DataFrame:
-    return profile.sample_values(m.fx())
+    return profile.sample_values(m.fx)
 
 
 def q_sample_documents(m: Model) -> DataFrame:
@@ -423,11 +432,11 @@ def q_sample_documents(m: Model) -> DataFrame:
 
 
 def q_profile_map_keys(m: Model) -> DataFrame:
-    return profile.map_key_profile(m.fx(), "nutriments")
+    return profile.map_key_profile(m.fx, "nutriments")
 
 
 def q_profile_map_values(m: Model) -> DataFrame:
-    return profile.map_value_profile(m.fx(), "nutrient_levels")
+    return profile.map_value_profile(m.fx, "nutrient_levels")
 
 
 def q_profile_event_values(m: Model) -> DataFrame:
@@ -435,16 +444,16 @@ def q_profile_event_values(m: Model) -> DataFrame:
 
 
 def q_profile_list(m: Model) -> DataFrame:
-    return profile.list_profile(m.fx(), "countries_tags")
+    return profile.list_profile(m.fx, "countries_tags")
 
 
 def q_element_count(m: Model) -> DataFrame:
-    return profile.element_count(m.fx(), "brands_tags")
+    return profile.element_count(m.fx, "brands_tags")
 
 
 def q_audit(m: Model) -> DataFrame:
     """Audit rows of the models that have rows in this directory."""
-    stg = m.stg()
+    stg = m.stg
     built = stg.agg(F.count(F.lit(1)).alias("n")).where("n > 0")
     names = F.explode(F.array(*[F.lit(n) for n in MODELS])).alias("model_name")
     return built.select(names).select("model_name", F.lit(AS_OF).cast("timestamp").alias("run_at"))

@@ -3,15 +3,19 @@
 from __future__ import annotations
 
 import unicodedata
-from collections import defaultdict
+from collections.abc import Callable
 
 from pyspark.sql import Column, functions as F
 
 # What counts as white space when stripping (Unicode space characters and separators).
-WHITESPACE = (
-    " \t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0 "
-    "           "
-    "    　"
+WHITESPACE = "".join(
+    map(
+        chr,
+        [
+            0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D, 0x1C, 0x1D, 0x1E, 0x1F, 0x85, 0xA0, 0x1680,
+            *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000,
+        ],
+    )
 )
 
 # Letters without a canonical decomposition, then signs, then Greek and Cyrillic romanisation.
@@ -45,23 +49,11 @@ def _decomposed() -> dict[str, str]:
     return table
 
 
-def _fold_plan() -> tuple[str, str, dict[str, str]]:
-    """One translate table for first letters, and the remaining letters grouped by what they are.
-
-    A character spelled with several letters is expanded by appending its tail, so the number
-    of passes is the number of distinct tails and not the number of characters.
-    """
-    heads = _decomposed()
-    tails: dict[str, str] = defaultdict(str)
-    for source, spelled in SPELLED.items():
-        heads[source] = spelled[0]
-        if len(spelled) > 1:
-            tails[spelled[1:]] += source
-    return "".join(heads), "".join(heads.values()), dict(tails)
-
-
-_FROM, _TO, _TAILS = _fold_plan()
-_SPELLED_CLASS = "[" + "".join(_TAILS.values()) + "]"
+_SINGLE = _decomposed() | {source: spelled for source, spelled in SPELLED.items() if len(spelled) == 1}
+_FROM, _TO = "".join(_SINGLE), "".join(_SINGLE.values())
+_SEVERAL = {source: spelled for source, spelled in SPELLED.items() if len(spelled) > 1}
+_FREQUENT = ["ß", "æ", "œ"]
+_RARE_CLASS = "[" + "".join(source for source in _SEVERAL if source not in _FREQUENT) + "]"
 
 
 def strip(col: Column) -> Column:
@@ -69,19 +61,44 @@ def strip(col: Column) -> Column:
     return F.btrim(col, F.lit(WHITESPACE))
 
 
+def is_ascii(col: Column) -> Column:
+    """As many bytes as characters."""
+    return F.octet_length(col) == F.char_length(col)
+
+
+def _once(value: Column, body: Callable[[Column], Column]) -> Column:
+    """`body(value)` with `value` computed a single time however often the body mentions it."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
+def _spell_out(col: Column) -> Column:
+    """Replace every character that is spelled with several letters, one lookup per character."""
+    table = F.str_to_map(
+        F.lit("\n".join(f"{source}\t{spelled}" for source, spelled in _SEVERAL.items())), F.lit("\n"), F.lit("\t")
+    )
+    letters = F.transform(F.split(col, ""), lambda ch: F.coalesce(F.try_element_at(table, ch), ch))
+    return F.array_join(letters, "")
+
+
 def fold_text(col: Column) -> Column:
-    """Fold to ASCII letters; expects lower case. Scripts outside the table pass through unchanged."""
-    expanded = col
-    for tail, sources in _TAILS.items():
-        expanded = F.regexp_replace(expanded, f"([{sources}])", f"$1{tail}")
-    spelled = F.when(col.rlike(_SPELLED_CLASS), expanded).otherwise(col)
-    return F.regexp_replace(F.translate(spelled, _FROM, _TO), r"\p{M}+", "")
+    """Fold to ASCII; expects lower case. Scripts outside the table pass through unchanged."""
+    latin = col
+    for source in _FREQUENT:
+        latin = F.replace(latin, F.lit(source), F.lit(_SEVERAL[source]))
+
+    def finish(text: Column) -> Column:
+        # Western text is ASCII by now; only what is left needs the costly passes.
+        spelled = F.when(text.rlike(_RARE_CLASS), _spell_out(text)).otherwise(text)
+        return F.when(is_ascii(text), text).otherwise(F.regexp_replace(spelled, r"\p{M}+", ""))
+
+    return _once(F.translate(latin, _FROM, _TO), finish)
 
 
 def clean_text(col: Column) -> Column:
-    """Lower case, strip, fold. Pure ASCII values (bytes = characters) skip the folding passes."""
-    plain = strip(F.lower(col.cast("string")))
-    return F.when(F.octet_length(plain) == F.char_length(plain), plain).otherwise(fold_text(plain))
+    """Lower case, strip, fold; values that are ASCII from the start skip the folding."""
+    text = col.cast("string")
+    plain = strip(F.lower(text))
+    return F.when(is_ascii(text), plain).otherwise(fold_text(plain))
 
 
 def replace_value(col: Column, old: str, new: str) -> Column:

@@ -27,24 +27,36 @@ def nulls_last(order: list[str]) -> list[Column]:
     return [F.col(name).asc_nulls_last() for name in order]
 
 
-def with_ranges(df: DataFrame, order: list[str], ranges: int = RANGES) -> DataFrame:
-    """Add `_range`, a number that grows with `order`."""
+def with_ranges(df: DataFrame, order: list[str], sampled: DataFrame | None = None, ranges: int = RANGES) -> DataFrame:
+    """Add `_range`, a number in 0 .. ranges - 1 (a power of two) that grows with `order`.
+
+    `sampled` is where the cut points come from, default `df`.
+    """
     key = _sort_key(order)
     cuts = (
-        df.select(key.alias("k"))
+        (df if sampled is None else sampled)
+        .select(key.alias("k"))
         .orderBy(F.xxhash64("k"), "k")
         .limit(ranges - 1)
         .agg(F.array_sort(F.collect_list("k")).alias("cuts"))
         .scalar()
     )
-    below = F.filter("_cuts", lambda cut: cut <= key)
-    # coalesce: a range number that is known not to be NULL adds no IS NOT NULL filter to the scans
-    return df.withColumn("_cuts", cuts).withColumn("_range", F.coalesce(F.size(below), F.lit(0))).drop("_cuts")
+    # Binary search for the number of cuts at or below the key. Every halving refers to the column
+    # before it, so the search compiles to plain code; it is never NULL, so that the join on it adds
+    # no IS NOT NULL filter to the scans.
+    search, at = [F.lit(0).alias("_at0")], F.col("_at0")
+    for i in range(1, ranges.bit_length()):
+        step = ranges >> i
+        search.append((at + F.when(F.get("_cuts", at + (step - 1)) <= key, step).otherwise(0)).alias(f"_at{i}"))
+        at = F.col(f"_at{i}")
+    return df.select("*", cuts.alias("_cuts")).select("*", *search).select(*df.columns, at.alias("_range"))
 
 
 def running_total(df: DataFrame, order: list[str], weight: Column, out: str, ranges: int = RANGES) -> DataFrame:
-    """Add the running sum of `weight` over the global order; `order` must identify the rows."""
-    ranged = with_ranges(df.withColumn("_weight", weight.cast("bigint")), order, ranges)
+    """Add the running sum of the positive `weight` over the global order; `order` must identify the rows."""
+    weighted = df.withColumn("_weight", weight.cast("bigint"))
+    # Looking at the weight keeps the sampled plan equal to `df`, so that its shuffle is reused.
+    ranged = with_ranges(weighted, order, weighted.where("_weight > 0"), ranges)
     totals = ranged.groupBy("_range").agg(F.sum("_weight").alias("_total"))
     before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select("_range", F.coalesce(F.sum("_total").over(before), F.lit(0)).alias("_offset"))
@@ -52,18 +64,15 @@ def running_total(df: DataFrame, order: list[str], weight: Column, out: str, ran
         Window.partitionBy("_range").orderBy(*nulls_last(order))
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    return (
-        # at most `ranges` rows
-        ranged.join(F.broadcast(offsets), "_range", "left")
-        .withColumn(out, F.sum("_weight").over(inside) + F.col("_offset"))
-        .drop("_range", "_offset", "_weight")
+    # at most `ranges` rows are broadcast
+    return ranged.join(F.broadcast(offsets), "_range", "left").select(
+        *df.columns, (F.sum("_weight").over(inside) + F.col("_offset")).alias(out)
     )
 
 
 def dense_ids(df: DataFrame, order: list[str], out: str, ranges: int = RANGES) -> DataFrame:
     """Consecutive ids 1..n in the order of `order` (NULL last), which must identify the rows."""
-    numbered = running_total(df, order, F.lit(1), out, ranges)
-    return numbered.select(out, *df.columns)
+    return running_total(df, order, F.lit(1), out, ranges).select(out, *df.columns)
 
 
 def exact_quantiles(long: DataFrame, group: str, value: str, points: list[float], ranges: int = RANGES) -> DataFrame:

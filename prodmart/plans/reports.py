@@ -10,7 +10,7 @@ def products_by_country(fact: DataFrame, bridge: DataFrame, countries: DataFrame
     names = countries.select("country_name")
     tagged = bridge.select(F.col("code").alias("code_bridge"), "country_name").join(names, "country_name")
     return fact.join(tagged, F.col("code") == F.col("code_bridge")).select(
-        fact["*"], tagged["code_bridge"], tagged["country_name"]
+        *fact.columns, "code_bridge", "country_name"
     )
 
 

@@ -6,7 +6,7 @@ every reader projects on this explicit keep-list and never infers types.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, types as T
 
 # The 54 kept fields, in table order.
 COLUMNS = """
@@ -101,13 +101,7 @@ def conform(df: DataFrame, names: list[str], strict: bool = False) -> DataFrame:
 
     A column the input lacks becomes NULL, or raises when `strict`.
     """
-    have = set(df.columns)
-    missing = [n for n in names if n not in have]
+    missing = [n for n in names if n not in df.columns]
     if strict and missing:
         raise ValueError(f"input lacks columns: {', '.join(missing)}")
-    return df.select(
-        *[
-            (F.col(n) if n in have else F.lit(None)).cast(field_type(n)).alias(n)
-            for n in names
-        ]
-    )
+    return df.to(struct_of(names))
