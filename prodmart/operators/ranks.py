@@ -15,12 +15,9 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 RANGES = 256
 
 
-def _sort_key(order: list[str]) -> Column:
+def _sort_key(order: list[str]) -> str:
     """Comparable struct that sorts NULL last in every column."""
-    parts = []
-    for i, name in enumerate(order):
-        parts += [F.col(name).isNull().alias(f"n{i}"), F.col(name).alias(f"v{i}")]
-    return F.struct(*parts)
+    return "struct(" + ", ".join(f"`{name}` IS NULL, `{name}`" for name in order) + ")"
 
 
 def nulls_last(order: list[str]) -> list[Column]:
@@ -35,7 +32,7 @@ def with_ranges(df: DataFrame, order: list[str], sampled: DataFrame | None = Non
     key = _sort_key(order)
     cuts = (
         (df if sampled is None else sampled)
-        .select(key.alias("k"))
+        .select(F.expr(key).alias("k"))
         .orderBy(F.xxhash64("k"), "k")
         .limit(ranges - 1)
         .agg(F.array_sort(F.collect_list("k")).alias("cuts"))
@@ -44,12 +41,12 @@ def with_ranges(df: DataFrame, order: list[str], sampled: DataFrame | None = Non
     # Binary search for the number of cuts at or below the key. Every halving refers to the column
     # before it, so the search compiles to plain code; it is never NULL, so that the join on it adds
     # no IS NOT NULL filter to the scans.
-    search, at = [F.lit(0).alias("_at0")], F.col("_at0")
+    search = ["0 AS _at0"]
     for i in range(1, ranges.bit_length()):
-        step = ranges >> i
-        search.append((at + F.when(F.get("_cuts", at + (step - 1)) <= key, step).otherwise(0)).alias(f"_at{i}"))
-        at = F.col(f"_at{i}")
-    return df.select("*", cuts.alias("_cuts")).select("*", *search).select(*df.columns, at.alias("_range"))
+        at, step = f"_at{i - 1}", ranges >> i
+        search.append(f"{at} + CASE WHEN get(_cuts, {at} + {step - 1}) <= {key} THEN {step} ELSE 0 END AS _at{i}")
+    found = F.col(f"_at{len(search) - 1}").alias("_range")
+    return df.select("*", cuts.alias("_cuts")).selectExpr("*", *search).select(*df.columns, found)
 
 
 def running_total(df: DataFrame, order: list[str], weight: Column, out: str, ranges: int = RANGES) -> DataFrame:
