@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from ..sources.tables import child_names, path_exists
+from ..sources.tables import committed
 
 META = ["scd_id", "updated_at", "valid_from", "valid_to"]
 
@@ -79,12 +79,7 @@ class SnapshotTable:
 
     def version(self) -> int:
         """Last committed version, 0 when there is none."""
-        numbers = [
-            int(name.split("=", 1)[1])
-            for name in child_names(self.spark, self.path)
-            if name.startswith("version=") and path_exists(self.spark, f"{self.path}/{name}/_SUCCESS")
-        ]
-        return max(numbers, default=0)
+        return max(committed(self.spark, self.path, "version"), default=0)
 
     def _files(self, schema: T.StructType | None = None) -> DataFrame:
         reader = self.spark.read if schema is None else self.spark.read.schema(schema)

@@ -45,7 +45,7 @@ def build_marts(
             quality.gate(checks, tables)
 
     def build(name: str, model: Callable[[], DataFrame], checks: list[quality.Check]) -> None:
-        tables[name] = lake.write(model(), "marts", name)
+        tables[name] = lake.refresh(model(), "marts", name)
         lake.log_model_run(name, as_of or datetime.now(timezone.utc))
         check(checks)
 

@@ -38,10 +38,28 @@ class Lakehouse:
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).parquet(path)
 
-    def write(self, df: DataFrame, layer: str | None, table: str, partition_by: list[str] | None = None) -> DataFrame:
-        """Full refresh; returns the written table."""
-        write_table(df, self.path(layer, table), partition_by=partition_by)
-        return self.read(layer, table)
+    def refresh(self, df: DataFrame, layer: str | None, table: str, keep: int = 2) -> DataFrame:
+        """Full refresh; returns the written table.
+
+        Each refresh is a new `build=N` directory that counts once its write is committed. Readers of the
+        build before stay undisturbed, and a refresh that dies leaves the table as it was. Builds
+        older than the last `keep` are removed.
+        """
+        path = self.path(layer, table)
+        done = committed(self.spark, path, "build")
+        number = max(done, default=0) + 1
+        write_table(df, f"{path}/build={number}")
+        for old in done[: max(len(done) + 1 - keep, 0)]:
+            remove(self.spark, f"{path}/build={old}")
+        return self.latest(layer, table)
+
+    def latest(self, layer: str | None, table: str) -> DataFrame:
+        """The last committed refresh of a table."""
+        path = self.path(layer, table)
+        done = committed(self.spark, path, "build")
+        if not done:
+            raise FileNotFoundError(f"no committed build of {path}")
+        return self.spark.read.parquet(f"{path}/build={done[-1]}")
 
     def view(self, df: DataFrame, name: str) -> DataFrame:
         """View materialisation: nothing is stored."""
@@ -52,21 +70,33 @@ class Lakehouse:
         log_model_run(self.spark, model, run_at, self.path("audit", "model_runs"))
 
 
+def _file_system(spark: SparkSession, path: str):
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target, target.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Any file system; object stores included."""
-    jvm = spark._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+    target, fs = _file_system(spark, path)
+    return fs.exists(target)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    target, fs = _file_system(spark, path)
+    fs.delete(target, True)
 
 
-def child_names(spark: SparkSession, path: str) -> list[str]:
-    """Names directly below a directory, empty when it does not exist."""
-    jvm = spark._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
+def committed(spark: SparkSession, path: str, prefix: str) -> list[int]:
+    """Numbers N of the directories `<path>/<prefix>=N` whose write was committed, ascending."""
+    target, fs = _file_system(spark, path)
     if not fs.exists(target):
         return []
-    return sorted(status.getPath().getName() for status in fs.listStatus(target))
+    names = [status.getPath().getName() for status in fs.listStatus(target)]
+    return sorted(
+        int(name.split("=", 1)[1])
+        for name in names
+        if name.startswith(f"{prefix}=") and path_exists(spark, f"{path}/{name}/_SUCCESS")
+    )
 
 
 def write_table(
