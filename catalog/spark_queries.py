@@ -99,9 +99,9 @@ def lineitem_order() -> list[str]:
 
 def customer_state(orders: DataFrame) -> DataFrame:
     """Each customer's latest order."""
-    latest = F.max_by(F.struct("o_orderstatus", "o_orderkey"), F.struct("o_orderdate", "o_orderkey"))
-    return orders.groupBy("o_custkey").agg(latest.alias("s"), F.max("o_orderdate").alias("seen_at")).select(
-        "o_custkey", F.col("s.o_orderstatus").alias("status"), F.col("s.o_orderkey").alias("o_orderkey"), "seen_at"
+    newest = [F.col("o_orderdate").desc(), F.col("o_orderkey").desc()]
+    return first_wins(orders, ["o_custkey"], newest).select(
+        "o_custkey", F.col("o_orderstatus").alias("status"), "o_orderkey", F.col("o_orderdate").alias("seen_at")
     )
 
 

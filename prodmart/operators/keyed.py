@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ..schema import MAX_LENGTH
 
 
-def first_wins(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+def first_wins(df: DataFrame, keys: list[str], order: list[str | Column]) -> DataFrame:
     """First row per key by `order` (add a unique tail to `order` for a reproducible choice).
 
     The rank filter is planned as a group limit on both sides of the shuffle, so a key that
@@ -17,7 +17,7 @@ def first_wins(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     return df.withColumn("_rank", F.row_number().over(window)).where("_rank = 1").drop("_rank")
 
 
-def append_new(existing: DataFrame, incoming: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+def append_new(existing: DataFrame, incoming: DataFrame, keys: list[str], order: list[str | Column]) -> DataFrame:
     """Rows to append: first of each incoming key, unless the key is stored already.
 
     Of the stored table only the key columns are read. They are first reduced to the keys that

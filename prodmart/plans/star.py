@@ -20,7 +20,8 @@ def dim_brand(stg: DataFrame, one_per_brand: bool = False) -> DataFrame:
         .where("brand_name != ''")
     )
     if one_per_brand:
-        brands = pairs.groupBy("brand_name").agg(F.min("owner").alias("owner"))
+        # distinct first: it aggregates by hash, while a smallest text is found by sorting
+        brands = pairs.distinct().groupBy("brand_name").agg(F.min("owner").alias("owner"))
         return dense_ids(brands, ["brand_name"], "brand_id")
     return dense_ids(pairs.distinct(), ["brand_name", "owner"], "brand_id")
 
