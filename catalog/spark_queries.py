@@ -21,6 +21,7 @@ from prodmart.plans.clean import clean_products, drop_missing_keys, drop_time_tr
 from prodmart.plans.snapshot import snapshot_rows
 from prodmart.schema import COLUMNS, ORDER_COLUMNS, RAW_COLUMNS, conform
 from prodmart.session import pin_utc
+from prodmart.sources.tables import store
 
 from .fixture import PRODUCT, fx, table
 
@@ -59,6 +60,13 @@ class Model:
     def raw(self) -> DataFrame:
         return first_wins(self.cleaned, ["code"], ORDER_COLUMNS).select(*RAW_COLUMNS)
 
+    @cached_property
+    def stored(self) -> "Model":
+        """The same models over a written raw table, for queries that read it more than once."""
+        model = Model(self.spark, self.sf_dir)
+        model.raw = store(self.raw, "raw")
+        return model
+
     @cached_property
     def stg(self) -> DataFrame:
         return staging.stg_products(self.raw)
@@ -229,18 +237,22 @@ def q_bridge_brand(m: Model) -> DataFrame:
 
 
 def q_dim_brand(m: Model) -> DataFrame:
+    m = m.stored
     return star.dim_brand(m.stg)
 
 
 def q_dim_brand_one_owner(m: Model) -> DataFrame:
+    m = m.stored
     return star.dim_brand(m.stg, one_per_brand=True)
 
 
 def q_dim_category(m: Model) -> DataFrame:
+    m = m.stored
     return star.dim_category(m.stg)
 
 
 def q_dim_country(m: Model) -> DataFrame:
+    m = m.stored
     return m.dim_country
 
 
@@ -250,10 +262,12 @@ def q_dense_ids_orders(m: Model) -> DataFrame:
 
 
 def q_fact_products(m: Model) -> DataFrame:
+    m = m.stored
     return filled_fact(m.fact)
 
 
 def q_mart_nutrient_profile(m: Model) -> DataFrame:
+    m = m.stored
     return marts.mart_nutrient_profile(m.stg, m.nutrients)
 
 
@@ -262,6 +276,7 @@ def q_mart_nutrient_profile_fused(m: Model) -> DataFrame:
 
 
 def q_mart_brand_quality(m: Model) -> DataFrame:
+    m = m.stored
     return m.brand_quality
 
 
@@ -270,6 +285,7 @@ def q_mart_brand_quality_fused(m: Model) -> DataFrame:
 
 
 def q_rank_brands(m: Model) -> DataFrame:
+    m = m.stored
     return marts.rank_brands(m.brand_quality, by="avg_energy_kcal", limit=10)
 
 
@@ -302,6 +318,7 @@ def q_products_snapshot(m: Model) -> DataFrame:
 
 
 def q_scd2_apply(m: Model) -> DataFrame:
+    m = m.stored
     stored, incoming = generations(m)
     current = first_versions(stored, "code", "last_modified_at")
     return scd2_apply(current, incoming, "code", "last_modified_at").drop("ecoscore_grade", "ecoscore_score")
@@ -325,11 +342,13 @@ def q_scd2_valid_at(m: Model) -> DataFrame:
 # --- reports ---------------------------------------------------------------------------------------------------------
 
 def q_products_by_country(m: Model) -> DataFrame:
+    m = m.stored
     rows = reports.products_by_country(m.fact, m.bridge_country, m.dim_country)
     return filled_fact(rows)
 
 
 def q_explore(m: Model) -> DataFrame:
+    m = m.stored
     stg = m.stg
     categories = star.dim_category(stg)
     fact = star.fact_products(stg, star.dim_brand(stg), categories)
@@ -341,10 +360,12 @@ def q_explore(m: Model) -> DataFrame:
 
 
 def q_kpis(m: Model) -> DataFrame:
+    m = m.stored
     return reports.kpis(m.fact)
 
 
 def q_chart_series(m: Model) -> DataFrame:
+    m = m.stored
     return reports.chart_series(m.fact, "nutriscore_grade")
 
 
@@ -378,11 +399,13 @@ def q_dq_ranges(m: Model) -> DataFrame:
 
 
 def q_dq_orphans(m: Model) -> DataFrame:
+    m = m.stored
     bridge = star.bridge_product_brand(m.raw)
     return quality.orphans(bridge, m.stg, "code").select("code", "brand_name")
 
 
 def q_dq_star(m: Model) -> DataFrame:
+    m = m.stored
     stg = m.stg
     bridge = star.bridge_product_country(stg)
     brand, category = star.dim_brand(stg), star.dim_category(stg)

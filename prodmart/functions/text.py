@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import unicodedata
-from collections.abc import Callable
 
 from pyspark.sql import Column, functions as F
 
@@ -66,18 +65,23 @@ def is_ascii(col: Column) -> Column:
     return F.octet_length(col) == F.char_length(col)
 
 
-def _once(value: Column, body: Callable[[Column], Column]) -> Column:
-    """`body(value)` with `value` computed a single time however often the body mentions it."""
-    return F.get(F.transform(F.array(value), body), 0)
+def _quoted(text: str) -> str:
+    """SQL string literal."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def _spell_out(col: Column) -> Column:
-    """Replace every character that is spelled with several letters, one lookup per character."""
-    table = F.str_to_map(
-        F.lit("\n".join(f"{source}\t{spelled}" for source, spelled in _SEVERAL.items())), F.lit("\n"), F.lit("\t")
-    )
-    letters = F.transform(F.split(col, ""), lambda ch: F.coalesce(F.try_element_at(table, ch), ch))
-    return F.array_join(letters, "")
+# One character at a time, those spelled with several letters replaced.
+_SPELL_OUT = f"""
+    array_join(transform(split(t, ''), ch -> coalesce(try_element_at(str_to_map(
+        {_quoted("|".join(f"{source}={spelled}" for source, spelled in _SEVERAL.items()))}, '\\\\|', '='), ch), ch)), '')
+"""
+
+# Western text is ASCII after its letters are translated; only what is left needs the costly passes.
+_FINISH = f"""
+    t -> CASE WHEN octet_length(t) = char_length(t) THEN t
+              ELSE regexp_replace(CASE WHEN t RLIKE {_quoted(_RARE_CLASS)} THEN {_SPELL_OUT} ELSE t END, '\\\\p{{M}}+', '')
+         END
+"""
 
 
 def fold_text(col: Column) -> Column:
@@ -85,13 +89,9 @@ def fold_text(col: Column) -> Column:
     latin = col
     for source in _FREQUENT:
         latin = F.replace(latin, F.lit(source), F.lit(_SEVERAL[source]))
-
-    def finish(text: Column) -> Column:
-        # Western text is ASCII by now; only what is left needs the costly passes.
-        spelled = F.when(text.rlike(_RARE_CLASS), _spell_out(text)).otherwise(text)
-        return F.when(is_ascii(text), text).otherwise(F.regexp_replace(spelled, r"\p{M}+", ""))
-
-    return _once(F.translate(latin, _FROM, _TO), finish)
+    translated = F.translate(latin, _FROM, _TO)
+    # The lambda binds the translated text, which it mentions several times but computes once.
+    return F.get(F.call_function("transform", F.array(translated), F.expr(_FINISH)), 0)
 
 
 def clean_text(col: Column) -> Column:

@@ -56,19 +56,21 @@ def clean_products(
         kept = drop_time_travel(kept)
     kept = drop_tag_twins(kept)
 
-    def cleaned(name: str) -> Column:
+    def cleaned(name: str) -> Column | str:
         col = F.col(name)
         if name == "completeness":
-            return clip(col, 0.0, 1.0)
-        if name == "lang":
-            return replace_value(clean_text(col), "xx", "unknown")
-        if name in TEXT_COLUMNS:
-            return clean_text(col)
-        if name == PLACES and legacy_null_places:
-            return F.lit(None).cast("string")
-        if name in null_empty_tags:
-            return empty_list_to_null(col)
-        return col
+            result = clip(col, 0.0, 1.0)
+        elif name == "lang":
+            result = replace_value(clean_text(col), "xx", "unknown")
+        elif name in TEXT_COLUMNS:
+            result = clean_text(col)
+        elif name == PLACES and legacy_null_places:
+            result = F.lit(None).cast("string")
+        elif name in null_empty_tags:
+            result = empty_list_to_null(col)
+        else:
+            return name
+        return result.alias(name)
 
     # Both dicts are parsed once, in a projection of their own.
     parsed = kept.withColumns(
@@ -79,7 +81,7 @@ def clean_products(
     )
     stamp = as_of if isinstance(as_of, Column) else F.lit(as_of)
     return parsed.select(
-        *[cleaned(name).alias(name) for name in kept.columns],
+        *[cleaned(name) for name in kept.columns],
         *nutrient_levels(F.col("nutrient_levels"), parsed=F.col("_levels")),
         *nutrients(F.col("nutriments"), parsed=F.col("_nutrients")),
         F.lit(batch_id).alias("batch_id"),

@@ -43,15 +43,14 @@ def stg_products(raw: DataFrame, energy_rule: str = "filter") -> DataFrame:
     if energy_rule == "null":
         del bounds["energy_kcal_100g"]
 
-    def staged(name: str) -> Column:
-        col = F.col(name)
+    def staged(name: str) -> Column | str:
         if name == "nutriscore_grade":
-            return grade(col).alias(name)
+            return grade(F.col(name)).alias(name)
         if name in TIMES:
-            return F.timestamp_seconds(col).alias(TIMES[name])
+            return F.timestamp_seconds(name).alias(TIMES[name])
         if name == "energy_kcal_100g" and energy_rule == "null":
-            return F.when(~(col > ENERGY_LIMIT), col).alias(name)
-        return col
+            return F.when(~(F.col(name) > ENERGY_LIMIT), F.col(name)).alias(name)
+        return name
 
     return raw.where(has_keys() & plausible(bounds)).select(*[staged(name) for name in RAW_COLUMNS])
 

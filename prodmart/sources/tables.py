@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession, types as T
@@ -111,6 +113,25 @@ def write_table(
     writer.parquet(path)
 
 
+def work_dir(spark: SparkSession) -> str:
+    """The shared folder named by `spark.checkpoint.dir`; a local one is set only where it is unset."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        folder = tempfile.mkdtemp(prefix="prodmart-")
+        spark.conf.set("spark.checkpoint.dir", folder)
+    return folder.rstrip("/")
+
+
+def store(df: DataFrame, name: str) -> DataFrame:
+    """Write an intermediate that several consumers read, and return the written table.
+
+    Unlike a cache it survives lost executors, and its readers prune columns and push filters.
+    """
+    path = f"{work_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def save_bucketed(df: DataFrame, table: str, keys: list[str], buckets: int, path: str, mode: str = "append") -> None:
     """Catalog table bucketed and sorted by `keys`, so joins on them need no shuffle of this side."""
     df.write.mode(mode).option("path", path).bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(table)
