@@ -8,11 +8,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from ..operators.keyed import append_new, flag_rows, load_rules
 from ..schema import ORDER_COLUMNS, RAW_COLUMNS, conform, struct_of
-from ..sources.tables import Lakehouse, write_table
+from ..sources.tables import Lakehouse, write_batch
 
 KEYS = ["code"]
 STAGED_COLUMNS = RAW_COLUMNS + ORDER_COLUMNS
@@ -56,16 +56,21 @@ def load_raw(lake: Lakehouse, cleaned: DataFrame, batch_id: str) -> LoadCounts:
     """
     stamped = conform(cleaned, STAGED_COLUMNS).withColumn("batch_id", F.lit(batch_id))
     flagged = flag_rows(with_defaults(stamped), load_rules(stamped.columns + ["source"]))
-    write_table(flagged, lake.path("raw", "staged"), partition_by=["batch_id"])
-    staged = lake.read("raw", "staged", flagged.schema).where(F.col("batch_id") == batch_id)
+    staged = _batch(lake, "staged", flagged, batch_id)
 
-    rejected = staged.where(F.col("reject_reason").isNotNull())
     good = staged.where(F.col("reject_reason").isNull()).drop("reject_reason")
-    write_table(rejected, lake.path("raw", "rejected"), partition_by=["batch_id"])
+    rejected = _batch(lake, "rejected", staged.where(F.col("reject_reason").isNotNull()), batch_id)
 
     stored = read_raw(lake).where(F.col("batch_id") != batch_id)
     fresh = append_new(stored, good, KEYS, ORDER_COLUMNS).drop(*ORDER_COLUMNS)
-    write_table(fresh, lake.path("raw", "products"), partition_by=["batch_id"])
-
-    inserted = read_raw(lake).where(F.col("batch_id") == batch_id)
+    inserted = _batch(lake, "products", fresh, batch_id)
     return LoadCounts(staged.count(), rejected.count(), inserted.count())
+
+
+def _batch(lake: Lakehouse, table: str, df: DataFrame, batch_id: str) -> DataFrame:
+    """Write a batch of a raw-layer table and return the written rows."""
+    path = lake.path("raw", table)
+    write_batch(df, path, batch_id)
+    names = [f for f in df.schema.fields if f.name != "batch_id"]
+    schema = T.StructType(names + [T.StructField("batch_id", T.StringType())])
+    return lake.read("raw", table, schema).where(F.col("batch_id") == batch_id)

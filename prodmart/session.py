@@ -12,7 +12,6 @@ def get_session(app_name: str = "prodmart", **conf: object) -> SparkSession:
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
     )
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), str(value))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from datetime import datetime
@@ -101,16 +102,20 @@ def committed(spark: SparkSession, path: str, prefix: str) -> list[int]:
     )
 
 
-def write_table(
-    df: DataFrame, path: str, mode: str = "overwrite", partition_by: list[str] | None = None
-) -> None:
-    """Parquet write; with `partition_by`, overwrite replaces only the partitions present in `df`."""
-    writer = df.write.mode(mode)
-    if partition_by:
-        writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by)
-    else:
-        writer = writer.option("partitionOverwriteMode", "static")
-    writer.parquet(path)
+def write_table(df: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """Parquet write of a whole directory."""
+    df.write.mode(mode).parquet(path)
+
+
+def write_batch(df: DataFrame, path: str, batch_id: str) -> None:
+    """Write one batch of a table partitioned by `batch_id`, replacing that batch only.
+
+    The batch goes straight into its directory: no sort by partition value, and no other batch is
+    touched when a run is repeated.
+    """
+    if not re.fullmatch(r"[\w.-]+", batch_id):
+        raise ValueError(f"batch id is not a plain name: {batch_id}")
+    write_table(df.drop("batch_id"), f"{path}/batch_id={batch_id}")
 
 
 def work_dir(spark: SparkSession) -> str:

@@ -10,7 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ..plans.clean import clean_products
 from ..plans.load import load_raw
 from ..sources.landing import PAGE_OPTIONS, PAGE_SCHEMA, bad_pages, page_rows
-from ..sources.tables import Lakehouse, write_table
+from ..sources.tables import Lakehouse, write_batch
 
 
 def ingest_pages(
@@ -36,8 +36,7 @@ def ingest_pages(
     def load(batch: DataFrame, number: int) -> None:
         batch_id = f"{name}_{number:08d}"
         stamp = F.current_timestamp() if as_of is None else as_of
-        broken = bad_pages(batch).withColumn("batch_id", F.lit(batch_id))
-        write_table(broken, lake.path("raw", "quarantine"), partition_by=["batch_id"])
+        write_batch(bad_pages(batch), lake.path("raw", "quarantine"), batch_id)
         load_raw(lake, clean_products(page_rows(batch), batch_id, stamp), batch_id)
 
     return (

@@ -1,7 +1,6 @@
 from datetime import datetime, timezone
 
 import pytest
-from pyspark.sql import functions as F
 
 from catalog.spark_queries import Model
 from prodmart.operators.quality import DataQualityError
@@ -10,7 +9,7 @@ from prodmart.plans.load import load_raw, read_raw
 from prodmart.plans.marts import rank_brands
 from prodmart.plans.star import FACT_COLUMNS
 from prodmart.schema import RAW_COLUMNS
-from prodmart.sources.tables import Lakehouse, layer_name, read_model_runs, write_table
+from prodmart.sources.tables import Lakehouse, layer_name, read_model_runs, write_batch
 
 NOW = datetime(2024, 5, 1, tzinfo=timezone.utc)
 
@@ -83,9 +82,12 @@ def test_failing_check_stops_the_build(spark, lake, tmp_path):
     assert not (tmp_path / "bad" / "marts").exists()
 
 
-def test_views_and_layers(spark, lake, tables, tmp_path):
+def test_views_and_layers(spark, lake, tables):
     assert layer_name(" marts ") == "marts" and layer_name(None) == "staging"
     lake.view(tables["stg_products"], "stg_products_view")
     assert spark.sql("SELECT count(*) FROM stg_products_view").first()[0] == 167
-    write_table(tables["dim_brand"], str(tmp_path / "parts"), partition_by=["owner"])
-    assert spark.read.parquet(str(tmp_path / "parts")).where(F.col("owner").isNull()).count() > 0
+
+
+def test_batch_names(spark, tmp_path):
+    with pytest.raises(ValueError):
+        write_batch(spark.range(1), str(tmp_path), "../other")
