@@ -22,11 +22,11 @@ def append_new(existing: DataFrame, incoming: DataFrame, keys: list[str], order:
 
     Of the stored table only the key columns are read. They are first reduced to the keys that
     occur in the input: an anti join cannot build on its left side, so a small batch would
-    otherwise shuffle every stored key; the semi join lets Spark broadcast the batch's keys when
-    they are small. First-wins and the anti join share one shuffle of the input.
+    otherwise shuffle every stored key; the semi join lets Spark broadcast the batch's distinct
+    keys when they are small. First-wins and the anti join share one shuffle of the input.
     """
     fresh = first_wins(incoming, keys, order)
-    known = existing.select(*keys).join(incoming.select(*keys), keys, "left_semi")
+    known = existing.select(*keys).join(incoming.select(*keys).distinct(), keys, "left_semi")
     return fresh.join(known, keys, "left_anti").select(*incoming.columns)
 
 

@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-RANGES = 256
+RANGES = 1024
 
 
 def _sort_key(order: list[str]) -> str:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import re
 import tempfile
 import uuid
@@ -118,21 +119,32 @@ def write_batch(df: DataFrame, path: str, batch_id: str) -> None:
     write_table(df.drop("batch_id"), f"{path}/batch_id={batch_id}")
 
 
-def work_dir(spark: SparkSession) -> str:
-    """The shared folder named by `spark.checkpoint.dir`; a local one is set only where it is unset."""
+@functools.cache
+def _local_dir() -> str:
+    return tempfile.mkdtemp(prefix="prodmart-")
+
+
+def work_dir(spark: SparkSession) -> str | None:
+    """The shared folder named by `spark.checkpoint.dir`.
+
+    Where it is unset, a local session gets a folder of its own; on a cluster there is none.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = tempfile.mkdtemp(prefix="prodmart-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder.rstrip("/")
+    if not folder and spark.conf.get("spark.master", "").startswith("local"):
+        folder = _local_dir()
+    return folder.rstrip("/") if folder else None
 
 
 def store(df: DataFrame, name: str) -> DataFrame:
     """Write an intermediate that several consumers read, and return the written table.
 
     Unlike a cache it survives lost executors, and its readers prune columns and push filters.
+    Without a shared folder the plan is returned as it is and each consumer computes it.
     """
-    path = f"{work_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    folder = work_dir(df.sparkSession)
+    if folder is None:
+        return df
+    path = f"{folder}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
 

@@ -39,3 +39,14 @@ def test_validate_rows(spark):
     assert [r["code"] for r in good.collect()] == ["a"]
     reasons = sorted(r["reject_reason"] for r in rejected.collect())
     assert reasons == ["code_missing", "code_too_long", "product_name_missing,lang_too_long"]
+
+
+def test_store_and_work_dir(spark):
+    from pathlib import Path
+
+    from prodmart.sources.tables import store, work_dir
+
+    folder = work_dir(spark)
+    assert folder == work_dir(spark) and Path(folder).is_dir()
+    assert store(spark.range(3), "numbers").count() == 3
+    assert any(p.name.startswith("numbers-") for p in Path(folder).iterdir())

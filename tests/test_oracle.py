@@ -31,3 +31,6 @@ def test_query(spark, sf_dir, tables, name):
     assert columns == expected_columns
     assert compare.type_mismatches(df, kinds) == []
     assert rows == expected
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    for operator in ("CartesianProduct", "NestedLoop", "BatchEvalPython", "ArrowEvalPython"):
+        assert operator not in plan

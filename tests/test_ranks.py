@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from prodmart.operators.ranks import dense_ids, exact_quantiles, running_total
+from prodmart.operators.ranks import RANGES, dense_ids, exact_quantiles, running_total, with_ranges
 
 
 def test_dense_ids_nulls_last(spark):
@@ -16,7 +16,7 @@ def test_dense_ids_nulls_last(spark):
     ]
 
 
-@pytest.mark.parametrize("n, ranges", [(0, 256), (1, 256), (5000, 256), (5000, 8)])
+@pytest.mark.parametrize("n, ranges", [(0, 1024), (1, 1024), (5000, 1024), (5000, 8)])
 def test_dense_ids_any_size_and_partitioning(spark, n, ranges):
     values = list(range(n))
     random.Random(1).shuffle(values)
@@ -28,11 +28,9 @@ def test_dense_ids_any_size_and_partitioning(spark, n, ranges):
 
 
 def test_ranges_are_balanced(spark):
-    from prodmart.operators.ranks import with_ranges
-
-    df = spark.range(20_000).select(F.concat(F.lit("en:"), F.col("id").cast("string")).alias("t"))
+    df = spark.range(100_000).select(F.concat(F.lit("en:"), F.col("id").cast("string")).alias("t"))
     sizes = [r["count"] for r in with_ranges(df, ["t"]).groupBy("_range").count().collect()]
-    assert len(sizes) == 256 and max(sizes) < 20_000 / 256 * 10
+    assert len(sizes) == RANGES and max(sizes) < 100_000 / RANGES * 12
 
 
 def test_running_total(spark):
