@@ -15,13 +15,16 @@ from prodmart.functions.text import replace_value
 from prodmart.operators import profile, quality
 from prodmart.operators.keyed import append_new, first_wins, validate_rows
 from prodmart.operators.ranks import dense_ids
-from prodmart.operators.scd2 import first_versions, scd2_apply, valid_at
+from prodmart.operators.scd2 import SnapshotTable, first_versions, scd2_apply, valid_at
 from prodmart.plans import marts, reports, staging, star
 from prodmart.plans.clean import clean_products, drop_missing_keys, drop_time_travel, modified_before_created
+from prodmart.plans.build import build_marts
+from prodmart.plans.load import load_raw, read_raw
 from prodmart.plans.snapshot import snapshot_rows
 from prodmart.schema import COLUMNS, ORDER_COLUMNS, RAW_COLUMNS, conform
 from prodmart.session import pin_utc
-from prodmart.sources.tables import store
+from prodmart.sources.landing import read_extract_csv, union_batches
+from prodmart.sources.tables import Lakehouse, scratch_path, store, write_csv
 
 from .fixture import PRODUCT, fx, table
 
@@ -193,6 +196,26 @@ def q_append_new_orders(m: Model) -> DataFrame:
     )
 
 
+def q_csv_extract(m: Model) -> DataFrame:
+    """Written as CSV and read back."""
+    path = scratch_path(m.spark, "extract")
+    write_csv(conform(m.fx, COLUMNS), path)
+    return read_extract_csv(m.spark, path).select(*FILLED)
+
+
+def q_union_batches(m: Model) -> DataFrame:
+    return union_batches(m.table("documents").drop("source", "n_chars"), m.table("conversations"))
+
+
+def q_load_raw(m: Model) -> DataFrame:
+    """Two batches: the English feed, then the whole feed."""
+    lake = Lakehouse(m.spark, scratch_path(m.spark, "lake"))
+    feed = m.fx
+    for batch_id, rows in (("first", feed.where("lang = 'en'")), ("second", feed)):
+        load_raw(lake, clean_products(rows, batch_id, AS_OF), batch_id)
+    return read_raw(lake).select("code", "product_name", "lang", "energy_kcal_100g", "fat_level", "source", "batch_id")
+
+
 def q_validate_rows(m: Model) -> DataFrame:
     rows = m.fx.select("pos", "code", "product_name", F.repeat("lang", F.col("pos").cast("int") % 9).alias("lang"))
     good, rejected = validate_rows(rows)
@@ -324,6 +347,14 @@ def q_scd2_apply(m: Model) -> DataFrame:
     return scd2_apply(current, incoming, "code", "last_modified_at").drop("ecoscore_grade", "ecoscore_score")
 
 
+def q_snapshot_table(m: Model) -> DataFrame:
+    """The same history through two versions of a stored table."""
+    table = SnapshotTable(m.spark, scratch_path(m.spark, "snapshot"))
+    for rows in generations(m.stored):
+        table.apply(rows, "code", "last_modified_at")
+    return table.read().drop("ecoscore_grade", "ecoscore_score")
+
+
 def order_history(m: Model) -> DataFrame:
     orders = m.table("orders")
     states = [customer_state(orders.where(F.col("o_orderdate") < cut)) for cut in (CUT, "2000-01-01")]
@@ -482,6 +513,15 @@ def q_audit(m: Model) -> DataFrame:
     return built.select(names).select("model_name", F.lit(AS_OF).cast("timestamp").alias("run_at"))
 
 
+def q_build_marts(m: Model) -> DataFrame:
+    """A gated build of every model: the audit log with the rows of each table."""
+    tables = build_marts(m.spark, m.stored.raw, scratch_path(m.spark, "lake"), as_of=AS_OF)
+    sizes = [
+        tables[name].agg(F.lit(name).alias("model_name"), F.count(F.lit(1)).alias("n_rows")) for name in MODELS
+    ]
+    return tables["model_runs"].join(reduce(DataFrame.unionByName, sizes), "model_name")
+
+
 def _bind(query: Callable[[Model], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return query(Model(spark, sf_dir))

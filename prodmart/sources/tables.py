@@ -135,16 +135,23 @@ def work_dir(spark: SparkSession) -> str | None:
     return folder.rstrip("/") if folder else None
 
 
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new path below the work folder."""
+    folder = work_dir(spark)
+    if folder is None:
+        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+    return f"{folder}/{name}-{uuid.uuid4().hex}"
+
+
 def store(df: DataFrame, name: str) -> DataFrame:
     """Write an intermediate that several consumers read, and return the written table.
 
     Unlike a cache it survives lost executors, and its readers prune columns and push filters.
     Without a shared folder the plan is returned as it is and each consumer computes it.
     """
-    folder = work_dir(df.sparkSession)
-    if folder is None:
+    if work_dir(df.sparkSession) is None:
         return df
-    path = f"{folder}/{name}-{uuid.uuid4().hex}"
+    path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
 
@@ -155,8 +162,10 @@ def save_bucketed(df: DataFrame, table: str, keys: list[str], buckets: int, path
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """CSV output that `read_extract_csv` reads back unchanged (quotes doubled, line breaks kept)."""
-    df.write.mode(mode).csv(path, header=True, escape='"', quoteAll=False, emptyValue="")
+    """CSV output that `read_extract_csv` reads back unchanged: quotes doubled, line breaks and outer blanks kept."""
+    df.write.mode(mode).csv(
+        path, header=True, escape='"', emptyValue="", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
+    )
 
 
 def init_audit(spark: SparkSession, path: str) -> None:

@@ -78,7 +78,7 @@ def test_csv_keeps_codes_quotes_and_line_breaks(spark, tmp_path):
 
 
 def test_csv_round_trip(spark, tmp_path):
-    rows = [("01", 'a "b", c', "['x', \"l'eau\"]", 1.5, 5), ("02", "line\nbreak", None, None, None)]
+    rows = [("01", 'a "b", c', "['x', \"l'eau\"]", 1.5, 5), ("02", "  line\nbreak ", None, None, None)]
     df = conform(
         spark.createDataFrame(rows, "code string, product_name string, brands_tags string, nova_group double, created_t long"),
         COLUMNS,
