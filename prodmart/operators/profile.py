@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..functions.literals import parse_array, parse_map
+from ..functions.numbers import nan_to_null
 from .ranks import exact_quantiles
 
 QUARTILES = [0.25, 0.5, 0.75]
@@ -55,28 +56,25 @@ def describe_numeric(df: DataFrame, columns: list[str] | None = None, approximat
     same scan instead.
     """
     names = numeric_columns(df) if columns is None else columns
-    values = df.select(*[F.col(n).cast("double").alias(n) for n in names])
-    long = values.select(
-        F.inline(F.array(*[F.struct(F.lit(n).alias("column"), F.nanvl(F.col(n), F.lit(None)).alias("value"))
-                           for n in names]))
-    )
-    aggs = [
-        F.count("value").alias("count"),
-        F.avg("value").alias("mean"),
-        F.stddev_samp("value").alias("std"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
-    ]
-    if approximate:
-        aggs += [F.percentile_approx("value", p, 100000).alias(f"q{i}") for i, p in enumerate(QUARTILES)]
-        table = long.groupBy("column").agg(*aggs)
-    else:
-        table = long.groupBy("column").agg(*aggs).join(
-            exact_quantiles(long, "column", "value", QUARTILES), "column", "left"
+    values = df.select(*[nan_to_null(F.col(n).cast("double")).alias(n) for n in names])
+    fields = ["count", "mean", "std", "min", "max"]
+    aggs, entries = [], []
+    for i, name in enumerate(names):
+        stats = [F.count(name), F.avg(name), F.stddev_samp(name), F.min(name), F.max(name)]
+        if approximate:
+            stats += [F.percentile_approx(name, p, 100000) for p in QUARTILES]
+        aggs += [stat.alias(f"s{i}_{j}") for j, stat in enumerate(stats)]
+        labels = fields + (["q0", "q1", "q2"] if approximate else [])
+        entries.append(
+            F.struct(F.lit(name).alias("column"), *[F.col(f"s{i}_{j}").alias(label) for j, label in enumerate(labels)])
         )
+    table = _unpivot_row(values.agg(*aggs), entries)
+    if not approximate:
+        pairs = [F.struct(F.lit(n).alias("column"), F.col(n).alias("value")) for n in names]
+        long = values.select(F.inline(F.array(*pairs)))
+        table = table.join(exact_quantiles(long, "column", "value", QUARTILES), "column", "left")
     return table.select(
-        "column", "count", "mean", "std", "min",
-        F.col("q0").alias("p25"), F.col("q1").alias("p50"), F.col("q2").alias("p75"), "max",
+        "column", *fields[:4], F.col("q0").alias("p25"), F.col("q1").alias("p50"), F.col("q2").alias("p75"), "max",
     )
 
 

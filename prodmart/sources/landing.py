@@ -18,6 +18,12 @@ PAGE_SCHEMA = T.StructType(
         T.StructField(CORRUPT, T.StringType()),
     ]
 )
+# Texts a dataframe library's CSV reader takes for a missing value; pass as `na_values`
+# to read a feed the way a CSV hop through such a library would.
+NA_VALUES = [
+    "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA",
+    "NULL", "NaN", "None", "n/a", "nan", "null",
+]
 PAGE_OPTIONS = {"multiLine": "true", "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
 
 
@@ -30,10 +36,15 @@ def typed(name: str, col: Column) -> Column:
     return col
 
 
-def page_rows(pages: DataFrame) -> DataFrame:
+def known_text(col: Column, na_values: list[str] | None = None) -> Column:
+    """Text, or NULL when it is empty or stands for a missing value."""
+    return F.when(~col.isin(["", *(na_values or [])]), col)
+
+
+def page_rows(pages: DataFrame, na_values: list[str] | None = None) -> DataFrame:
     """One typed row per record, with its page number (digits of the file name) and position.
 
-    A page without `products` yields no rows.
+    A page without `products` yields no rows. Empty text is NULL, as it is in a CSV extract.
     """
     file_name = F.col("_metadata.file_name")
     page_no = F.regexp_extract(file_name, r"(\d+)(?=\D*$)", 1).try_cast("bigint")
@@ -43,7 +54,7 @@ def page_rows(pages: DataFrame) -> DataFrame:
     ).select(
         "page_no",
         F.col("pos").cast("bigint").alias("pos"),
-        *[typed(c, F.col(f"product.{c}")).alias(c) for c in COLUMNS],
+        *[typed(c, known_text(F.col(f"product.{c}"), na_values)).alias(c) for c in COLUMNS],
     )
 
 
@@ -66,10 +77,13 @@ def page_fields(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def read_pages(spark: SparkSession, path: str, strict: bool = False) -> tuple[DataFrame, DataFrame]:
+def read_pages(
+    spark: SparkSession, path: str, strict: bool = False, na_values: list[str] | None = None
+) -> tuple[DataFrame, DataFrame]:
     """`(rows, quarantine)` of a landing directory; a broken page never stops the others.
 
-    `strict` raises when no record at all carries a kept field (otherwise it is NULL).
+    `strict` raises when no record at all carries a kept field (otherwise it is NULL). `na_values` are
+    texts that mean NULL besides the empty one.
     """
     if strict:
         found = page_fields(spark, path).where(F.col("field").isin(COLUMNS)).select("field")
@@ -78,7 +92,7 @@ def read_pages(spark: SparkSession, path: str, strict: bool = False) -> tuple[Da
         if missing:
             raise ValueError(f"pages lack fields: {', '.join(missing)}")
     pages = spark.read.schema(PAGE_SCHEMA).options(**PAGE_OPTIONS).json(path)
-    return page_rows(pages), bad_pages(pages)
+    return page_rows(pages, na_values), bad_pages(pages)
 
 
 def read_extract_csv(
@@ -102,13 +116,8 @@ def read_extract_csv(
             raise ValueError(f"input lacks columns: {', '.join(missing)}")
     names = [c for c in COLUMNS + ORDER_COLUMNS if c in raw.columns]
 
-    def value(name: str) -> Column:
-        text = F.col(name)
-        if na_values:
-            text = F.when(~text.isin(na_values), text)
-        return typed(name, text).alias(name)
-
-    return conform(raw.select(*[value(n) for n in names]), COLUMNS + [n for n in names if n in ORDER_COLUMNS])
+    values = [typed(n, known_text(F.col(n), na_values)).alias(n) for n in names]
+    return conform(raw.select(*values), COLUMNS + [n for n in names if n in ORDER_COLUMNS])
 
 
 def union_batches(first: DataFrame, *others: DataFrame) -> DataFrame:

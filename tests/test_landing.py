@@ -3,7 +3,7 @@ import json
 import pytest
 
 from prodmart.schema import COLUMNS, conform
-from prodmart.sources.landing import page_fields, read_extract_csv, read_pages, union_batches
+from prodmart.sources.landing import NA_VALUES, page_fields, read_extract_csv, read_pages, union_batches
 from prodmart.sources.tables import write_csv
 
 
@@ -31,7 +31,7 @@ def pages(tmp_path):
             "page_1.json": {"products": [PRODUCT, {"code": "2", "product_name": "b"}], "count": 2},
             "page_2.json": {"count": 0},
             "page_3.json": "<html>502 Bad Gateway</html>",
-            "page_10.json": {"products": [{"code": "3"}]},
+            "page_10.json": {"products": [{"code": "3", "product_name": "", "lang": "NA"}]},
             "page_11.json": {"products": []},
         },
     )
@@ -47,13 +47,16 @@ def test_read_pages(spark, pages):
     assert first["countries_tags"] == "[]"
     assert (first["completeness"], first["created_t"], first["ingredients_n"]) == (1.25, 1600000000, 3.0)
     assert first["lang"] is None and got["3"]["product_name"] is None
+    assert got["3"]["lang"] == "NA"
+    renamed = read_pages(spark, pages, na_values=NA_VALUES)[0]
+    assert renamed.where("code = '3'").first()["lang"] is None
     bad = quarantine.collect()
     assert len(bad) == 1 and "502" in bad[0]["body"] and bad[0]["file_path"].endswith("page_3.json")
 
 
 def test_page_fields_and_strict(spark, pages):
     fields = {r["field"]: r["n_records"] for r in page_fields(spark, pages).collect()}
-    assert fields["code"] == 3 and fields["product_name"] == 2 and fields["unknown_field"] == 1
+    assert fields["code"] == 3 and fields["product_name"] == 3 and fields["unknown_field"] == 1
     with pytest.raises(ValueError, match="generic_name"):
         read_pages(spark, pages, strict=True)
 
