@@ -46,13 +46,13 @@ def accepted_values(df: DataFrame, col: str, values: list) -> DataFrame:
 
 def relationships(df: DataFrame, col: str, parent: DataFrame, field: str) -> DataFrame:
     """Non-NULL foreign keys without a parent; each distinct key is looked up once."""
-    keys = parent.select(F.col(field).alias(col))
+    keys = parent.select(F.col(field).alias(col)).distinct()
     return _per_value(df.where(F.col(col).isNotNull()), col).join(keys, col, "left_anti")
 
 
 def orphans(df: DataFrame, parent: DataFrame, key: str) -> DataFrame:
     """Rows whose key has no parent row (a NULL key has none)."""
-    return df.join(parent.select(key), key, "left_anti")
+    return df.join(parent.select(key).distinct(), key, "left_anti")
 
 
 def freshness(df: DataFrame, col: str, as_of: datetime, warn_hours: float = 24, error_hours: float = 48) -> DataFrame:

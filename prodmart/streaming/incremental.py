@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -20,24 +21,28 @@ def ingest_pages(
     checkpoint: str,
     name: str,
     as_of: datetime | Column | None = None,
-    files_per_batch: int | None = None,
+    files_per_batch: int = 50_000,
 ) -> StreamingQuery:
     """Start one pass over the new files of a landing directory (`availableNow`).
 
-    A micro-batch is cleaned and appended like a daily load. Its batch id is made of `name` and
-    the batch number, so a batch repeated after a failure overwrites its own partitions; give each
-    checkpoint its own `name`.
+    A micro-batch of at most `files_per_batch` files is parsed once, cleaned and appended like a daily
+    load. Its batch id is made of `name` and the batch number, so a batch repeated after a failure
+    overwrites its own directories; give each checkpoint its own `name`.
     """
     reader = spark.readStream.schema(PAGE_SCHEMA).options(**PAGE_OPTIONS)
-    if files_per_batch is not None:
-        reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    pages = reader.json(landing).select("products", "_corrupt_record", "_metadata")
+    pages = (
+        reader.option("maxFilesPerTrigger", files_per_batch).json(landing)
+        .select("products", "_corrupt_record", "_metadata")
+    )
 
     def load(batch: DataFrame, number: int) -> None:
         batch_id = f"{name}_{number:08d}"
         stamp = F.current_timestamp() if as_of is None else as_of
+        # Two outputs; a block lost with its executor is parsed again.
+        batch.persist(StorageLevel.DISK_ONLY)
         write_batch(bad_pages(batch), lake.path("raw", "quarantine"), batch_id)
         load_raw(lake, clean_products(page_rows(batch), batch_id, stamp), batch_id)
+        batch.unpersist()
 
     return (
         pages.writeStream.foreachBatch(load)
