@@ -346,9 +346,12 @@ ORACLE = {
     ),
     "q_mart_brand_quality": sql("quality", "SELECT * FROM quality"),
     "q_rank_brands": sql("quality", "SELECT * FROM quality ORDER BY avg_energy_kcal NULLS LAST, brand_name LIMIT 10"),
-    "q_group_profile_lineitem": """SELECT l_suppkey, l_returnflag, count(l_orderkey) AS n_lines,
+    "q_group_profile_lineitem": """SELECT l_returnflag, count(l_orderkey) AS n_lines,
         round(avg(l_quantity), 4) AS avg_quantity, round(avg(l_extendedprice), 4) AS avg_price,
-        round(avg(l_discount), 4) AS avg_discount FROM lineitem GROUP BY l_suppkey, l_returnflag HAVING count(l_orderkey) > 2""",
+        round(avg(l_discount), 4) AS avg_discount FROM lineitem GROUP BY l_returnflag HAVING count(l_orderkey) > 2""",
+    "q_group_totals_lineitem": """SELECT l_suppkey, l_returnflag, count(l_orderkey) AS n_lines,
+        sum(l_quantity) AS sum_quantity, min(l_extendedprice) AS min_price, max(l_extendedprice) AS max_price
+        FROM lineitem GROUP BY l_suppkey, l_returnflag HAVING count(l_orderkey) > 2""",
     "q_products_snapshot": sql("snap", versions("(SELECT * EXCLUDE (lang) FROM snap)", "code", "last_modified_at")),
     "q_scd2_apply": sql("snap_old snap_new", merged("snap_old", "snap_new", "code", ", ".join(SNAPSHOT))),
     "q_scd2_orders": sql("cust", "SELECT * FROM cust"),
