@@ -42,7 +42,7 @@ BANDED = T.StructType([
 
 @dataclass(frozen=True)
 class Join:
-    """bands * rows MinHash values. A pair at the threshold shares no band with probability (1 - 0.8^5)^30 = 7e-6.
+    """bands * rows MinHash values. A pair at the threshold shares no band with probability (1 - 0.8^5)^40 = 1e-7.
 
     tolerance: posterior probability below which a pair is dropped; step: values compared at a time; block: members
     of a group that one task compares with each other.
@@ -50,9 +50,9 @@ class Join:
 
     threshold: float = 0.8
     shingle: int = 5
-    bands: int = 30
+    bands: int = 40
     rows: int = 5
-    tolerance: float = 1e-6
+    tolerance: float = 1e-9
     step: int = 25
     block: int = 256
 
