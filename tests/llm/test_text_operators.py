@@ -1,0 +1,337 @@
+"""Decontamination, quality rules, line quality, toxicity and near duplicates against plain Python."""
+
+import random
+import re
+from collections import defaultdict
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
+from prodmart.llm import jaccard_join, line_quality, toxicity
+from prodmart.llm.components import components
+from prodmart.llm.decontaminate import contaminated, drop_contaminated, words
+from prodmart.llm.quality_rules import MEASURES, Rules, keep_good, measure, prior, quality_rules
+from prodmart.llm.textscan import WORD, blocks, grams, words_of
+
+SYLLABLES = ["an", "be", "co", "du", "el", "fa", "go", "hi"]
+
+
+def sentence(rng, n, vocabulary=40):
+    return " ".join(rng.choice(SYLLABLES) + rng.choice(SYLLABLES)[: 1 + rng.randrange(2)] + str(rng.randrange(vocabulary)) for _ in range(n))
+
+
+# --- scanning --------------------------------------------------------------------------------------------------------
+
+@pytest.mark.parametrize("limit", [1, 7, 1 << 18])
+def test_words_do_not_depend_on_blocks(limit):
+    texts = ["", "Aé b", "c", "", "d\ne", "ende", "", "Aé", "a b c d e f"]
+    seen = {}
+    for block in blocks(pa.array(texts), limit):
+        hashed, starts, ends, first = words_of(block)
+        for row in range(block.rows):
+            got = [int(h) for h in hashed[first[row] : first[row + 1]]]
+            expected = words(texts[block.first + row])
+            assert len(got) == len(expected)
+            for h, w in zip(got, expected):
+                assert seen.setdefault(w, h) == h
+    assert len(set(seen.values())) == len(seen)
+
+
+def test_grams_stay_in_their_row():
+    block = next(blocks(pa.array(["a b c", "", "d", "e f"])))
+    hashed, _, _, first = words_of(block)
+    at, _ = grams(hashed, first, 2)
+    assert at.tolist() == [0, 1, 4]
+
+
+def test_pieces_and_spans():
+    block = next(blocks(pa.array(["x\n", "", "\ny", "z"])))
+    starts, ends, first = block.pieces(block.data == 10)
+    assert [bytes(block.data[a:b]) for a, b in zip(starts, ends)] == [b"x", b"", b"", b"", b"y", b"z"]
+    assert first.tolist() == [0, 2, 3, 5, 6]
+    starts, ends, first = block.spans(WORD[block.data])
+    assert [bytes(block.data[a:b]) for a, b in zip(starts, ends)] == [b"x", b"y", b"z"]
+
+
+# --- decontamination -------------------------------------------------------------------------------------------------
+
+def brute_hits(doc, items, window=10):
+    inside, found = set(), set()
+    for item_id, item in items:
+        n = min(window, len(item))
+        for j in range(len(item) - n + 1) if n else ():
+            for i in range(len(doc) - n + 1):
+                if doc[i : i + n] == item[j : j + n]:
+                    inside |= set(range(i, i + n))
+                    found.add(item_id)
+    return len(inside), sorted(found)
+
+
+def test_decontamination_is_exact(spark):
+    rng = random.Random(5)
+    items = [(i, sentence(rng, rng.choice([1, 3, 9, 10, 11, 25]), 3)) for i in range(30)] + [(90, ""), (91, None), (7, "An be CO")]
+    docs = []
+    for i in range(120):
+        parts = [sentence(rng, rng.randrange(40), 3)]
+        for _ in range(rng.randrange(3)):
+            w = words(rng.choice(items)[1])
+            a = rng.randrange(len(w) + 1)
+            parts += [" ".join(w[a : a + rng.randrange(30)]).upper(), sentence(rng, rng.randrange(4), 3)]
+        docs.append((i, "; ".join(parts)))
+    listed = [(str(i), words(t)) for i, t in items]
+    got = contaminated(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    for row in got.collect():
+        n_hit, found = brute_hits(words(dict(docs)[row.doc_id]), listed)
+        assert (row.n_words, row.n_hit) == (len(words(dict(docs)[row.doc_id])), n_hit)
+        assert sorted({s.item for s in row.spans}) == found
+
+
+def test_decontamination_edges(spark, edge, nothing):
+    bench = spark.createDataFrame([(None, "plain words about nothing"), (1, None)], "item_id long, text string")
+    rows = contaminated(edge, bench).collect()
+    assert len(rows) == 8 and sorted(r.n_hit for r in rows) == [0] * 6 + [4, 4]
+    assert {s.item for r in rows for s in r.spans} == {"null"}
+    assert contaminated(nothing, bench).count() == 0
+    assert contaminated(edge, bench.limit(0)).filter("n_hit > 0").count() == 0
+    assert drop_contaminated(edge, bench).columns == edge.columns
+    assert drop_contaminated(edge, bench).count() == 6
+
+
+# --- quality rules ---------------------------------------------------------------------------------------------------
+
+def brute_measures(text):
+    text = text or ""
+    solid = re.findall(r"[^\x20\x09-\x0D]+", text)
+    lines = [x for x in text.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+    found = defaultdict(list)
+    for i in range(len(solid) - 4):
+        found[tuple(solid[i : i + 5])].append(i)
+    inside = {i + d for at in found.values() if len(at) > 1 for i in at for d in range(5)}
+    return [
+        len(solid), sum(map(len, solid)), len(re.findall(r"[#*$%&|<>]", text)), len(lines), len(lines) - len(set(lines)), len(inside),
+    ]
+
+
+def test_measures():
+    rng = random.Random(2)
+    texts = ["", None, "\n\n", "a b c d e a b c d e f", "x\nx\n x\n\n\n"]
+    for _ in range(200):
+        texts.append("".join(rng.choice(["a", "é", " ", "\n", "#", "x y z w v ", "\t", "日"]) for _ in range(rng.randrange(60))))
+    columns = [c.to_pylist() for c in measure(pa.array(texts, pa.string()))]
+    assert [list(x) for x in zip(*columns)] == [brute_measures(t) for t in texts]
+
+
+def test_hosts(spark):
+    good = "these ten words are all quite different from each other really"
+    rows = [("bad", "short")] * 90 + [("bad", good)] * 10 + [("fine", good)] * 95 + [("fine", "short")] * 5 + [(None, good)] * 3
+    docs = spark.createDataFrame([(i, h, t) for i, (h, t) in enumerate(rows)], "doc_id long, source string, text string")
+    got = quality_rules(docs).groupBy("source").agg(F.sum(F.col("kept").cast("int")).alias("n")).collect()
+    assert {r.source: r.n for r in got} == {"bad": 0, "fine": 95, None: 3}
+    # one failing document of a small host is no reason to drop the host
+    assert keep_good(docs.union(spark.createDataFrame([(900, "new", "short"), (901, "new", good)], docs.schema))).filter("source = 'new'").count() == 1
+
+
+def test_prior():
+    assert prior(0, None, None, None) == (0.0, 1.0)
+    mean, strength = prior(10, 1000, 100, 10 * 10**2 / 100)  # every host at the mean rate
+    assert mean == 0.1 and strength == 1e6
+
+
+def test_quality_edges(edge, nothing):
+    got = quality_rules(edge)
+    assert got.columns == ["doc_id", "text", "source", *MEASURES, "base_failed", "host_rejected", "kept"]
+    rows = {r.doc_id: r for r in got.collect()}
+    assert rows[3].n_words == 0 and rows[3].base_failed and rows[4].n_words == 30001 and rows[4].base_failed
+    assert quality_rules(nothing).count() == 0
+    loose = Rules(host_limit=1.0)
+    assert keep_good(edge, rules=loose).columns == edge.columns
+    assert sorted(str(r.doc_id) for r in keep_good(edge, rules=loose).collect()) == ["1", "1", "None"]
+
+
+# --- models ----------------------------------------------------------------------------------------------------------
+
+def toxic_samples(n, seed):
+    rng = random.Random(seed)
+    made = []
+    for i in range(n):
+        parts = [sentence(rng, 8, 30) + "." for _ in range(rng.randrange(1, 8))]
+        bad = i % 4 == 0
+        if bad:
+            parts.insert(rng.randrange(len(parts) + 1), f"you {rng.choice(['grumblet', 'grumblets', 'snarkish'])} {sentence(rng, 2)}.")
+        made.append((" ".join(parts), int(bad)))
+    return made
+
+
+def test_toxicity_learns_and_locates(spark):
+    model = toxicity.fit_toxicity(toxic_samples(400, 1))
+    test = toxic_samples(200, 2)
+    docs = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(test)], "doc_id long, text string")
+    rows = {r.doc_id: r for r in toxicity.score_toxicity(docs, model).collect()}
+    right = sum((rows[i].toxicity >= 0.5) == bool(y) for i, (_, y) in enumerate(test))
+    assert right >= 196
+    located = [(rows[i], t) for i, (t, y) in enumerate(test) if y and rows[i].offending]
+    assert len(located) >= 48
+    assert all(any(w in t[s.begin : s.end] for w in ("grumblet", "snarkish")) for r, t in located for s in r.offending)
+
+
+def test_noisy_or():
+    model = toxicity.fit_toxicity(toxic_samples(400, 1))
+    text = "an be12. you grumblet co3! du el"
+    score, n, spans = toxicity.score_block(next(blocks(pa.array([text]))), model, 0.0)
+    clean = 1.0
+    for s in spans[0]:
+        clean *= 1 - s["score"]
+    assert n[0] == 3 and score[0] == pytest.approx(1 - clean)
+
+
+def test_toxicity_edges(spark, edge, nothing):
+    model = toxicity.fit_toxicity(toxic_samples(100, 1))
+    rows = toxicity.score_toxicity(edge, model).collect()
+    assert len(rows) == 8 and all(0 <= r.toxicity <= 1 for r in rows)
+    assert all(r.toxicity == 0 and r.n_sentences == 0 for r in rows if r.doc_id in (2, 3, 5))
+    assert toxicity.score_toxicity(nothing, model).count() == 0
+    assert toxicity.drop_toxic(edge.withColumn("toxicity", F.lit("mine")), model).columns == [*edge.columns, "toxicity"]
+    blank = toxicity.fit_toxicity([])
+    assert toxicity.score_toxicity(edge, blank).agg(F.max("toxicity")).first()[0] < 1e-3
+
+
+def quality_samples(n, seed):
+    rng = random.Random(seed)
+    made = []
+    for i in range(n):
+        lines = [sentence(rng, rng.randrange(6, 20)).capitalize() + "." for _ in range(rng.randrange(2, 8))]
+        bad = i % 3 == 0
+        if bad:
+            lines[1:] = [" | ".join(x.split()) for x in lines[1:]]
+        made.append(("\n".join(lines), int(not bad)))
+    return made
+
+
+def test_line_quality_learns():
+    field = line_quality.fit_lines(quality_samples(300, 1))
+    test = quality_samples(150, 2)
+    score = np.concatenate([line_quality.score_block(b, field)[0] for b in blocks(pa.array([t for t, _ in test]))])
+    assert ((score >= 0.3) == np.array([y for _, y in test], bool)).mean() >= 0.97
+    mixed = "A good line with plain words in it.\nthis | is | all | pipes | and | no | words\nAnd | more | of | that | kind | of | line"
+    assert len(line_quality.line_labels(mixed, field)) == 3
+
+
+def test_marginals_are_exact():
+    rng = np.random.default_rng(3)
+    first = np.array([0, 1, 5, 8])
+    score, move = rng.normal(size=8), rng.normal(size=(2, 2))
+    good, pairs = line_quality.marginals(score, move, first)
+    expected, counts = np.zeros(8), np.zeros((2, 2))
+    for a, b in zip(first[:-1], first[1:]):
+        weights = {}
+        for code in range(2 ** (b - a)):
+            y = [(code >> i) & 1 for i in range(b - a)]
+            weights[tuple(y)] = np.exp(sum(s for s, v in zip(score[a:b], y) if v) + sum(move[p, q] for p, q in zip(y, y[1:])))
+        whole = sum(weights.values())
+        for y, w in weights.items():
+            expected[a:b] += np.array(y) * w / whole
+            for p, q in zip(y, y[1:]):
+                counts[p, q] += w / whole
+    assert np.allclose(good, expected) and np.allclose(pairs, counts)
+
+
+def test_line_quality_edges(edge, nothing):
+    field = line_quality.fit_lines(quality_samples(60, 1))
+    rows = line_quality.score_quality(edge, field).collect()
+    assert len(rows) == 8 and all(0 <= r.quality <= 1 for r in rows)
+    assert {r.n_lines for r in rows if r.doc_id in (2, 3)} == {1}
+    assert line_quality.score_quality(nothing, field).count() == 0
+    assert {r.quality for r in line_quality.score_quality(edge, line_quality.fit_lines([])).collect()} == {0.5}
+
+
+# --- near duplicates -------------------------------------------------------------------------------------------------
+
+def brute_classes(texts, threshold=0.8):
+    """(class, links, copy) by row, rows numbered in order."""
+    sets, copies = {}, defaultdict(list)
+    for i, t in enumerate(texts):
+        w = words(t)
+        copies[tuple(w)].append(i)
+        sets[i] = {tuple(w[j : j + 5]) for j in range(max(1, len(w) - 4))} if w else set()
+    heads = [rows[0] for w, rows in copies.items() if w]
+    links, up = defaultdict(int), {h: h for h in heads}
+
+    def root(x):
+        while up[x] != x:
+            x = up[x]
+        return x
+
+    for i, a in enumerate(heads):
+        for b in heads[:i]:
+            if len(sets[a] & sets[b]) >= threshold * len(sets[a] | sets[b]):
+                links[a] += 1
+                links[b] += 1
+                up[max(root(a), root(b))] = min(root(a), root(b))
+    least = defaultdict(lambda: 10**9)
+    for h in heads:
+        least[root(h)] = min(least[root(h)], h)
+    return {i: (least[root(rows[0])], links[rows[0]], rows[0]) if w else (i, 0, i) for w, rows in copies.items() for i in rows}
+
+
+def near_copies(rng, groups=12):
+    texts = []
+    for _ in range(groups):
+        base = sentence(rng, rng.choice([3, 30, 80, 200])).split()
+        for _ in range(rng.randrange(1, 14)):
+            w = list(base)
+            for _ in range(rng.randrange(4)):
+                w[rng.randrange(len(w))] = rng.choice(SYLLABLES) + str(rng.randrange(999))
+            texts.append(rng.choice([" ", ", "]).join(w))
+    return texts + ["", "", "?!"]
+
+
+@pytest.mark.parametrize("block", [256, 3])
+def test_near_duplicates_are_exact(spark, block):
+    texts = near_copies(random.Random(9))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
+    got = jaccard_join.near_duplicates(docs, join=jaccard_join.Join(block=block)).collect()
+    assert {r.doc_id: (r.class_id, r.n_links, r.copy_id) for r in got} == brute_classes(texts)
+
+
+def test_bayesian_pruning():
+    join = jaccard_join.Join()
+    assert jaccard_join.tail(0.8, 25, 25) > 0.99 and jaccard_join.tail(0.8, 0, 25) < 1e-15
+    least = jaccard_join.least_matches(join)
+    assert list(least) == [*range(25, join.values, 25), join.values] and all(0 < m < n for n, m in least.items())
+    rng = np.random.default_rng(1)
+    for similarity, kept in ((0.85, 1.0), (0.3, 0.0)):
+        a = rng.integers(0, 1 << 16, (400, join.values), dtype=np.uint16)
+        b = np.where(rng.random(a.shape) < similarity, a, rng.integers(0, 1 << 16, a.shape, dtype=np.uint16))
+        at = np.arange(400)
+        assert len(jaccard_join.staying(np.concatenate([a, b]), at, at + 400, join)) / 400 == kept
+
+
+def test_keep_one(spark, edge, nothing):
+    texts = near_copies(random.Random(4))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").withColumn("class_id", F.lit("mine"))
+    kept = jaccard_join.keep_one(docs)
+    assert kept.columns == docs.columns
+    assert sorted(r.doc_id for r in kept.collect()) == sorted({c for c, _, _ in brute_classes(texts).values()})
+    rows = jaccard_join.keep_one(edge).collect()
+    assert sorted(str(r.doc_id) for r in rows) == ["1", "2", "3", "4", "5", "6", "None"]
+    assert jaccard_join.keep_one(nothing).count() == 0
+
+
+def test_components(spark):
+    rng = random.Random(6)
+    edges = [(rng.randrange(400), rng.randrange(400)) for _ in range(250)] + [(i, i + 1) for i in range(500, 560)] + [(5, 5)]
+    up = {n: n for e in edges if e[0] != e[1] for n in e}
+
+    def root(x):
+        while up[x] != x:
+            x = up[x]
+        return x
+
+    for a, b in edges:
+        if a != b:
+            up[max(root(a), root(b))] = min(root(a), root(b))
+    got = components(spark.createDataFrame(edges, "a long, b long"), F.col("a"), F.col("b")).collect()
+    assert {r.node: r.root for r in got} == {n: root(n) for n in up} and len(got) == len(up)
+    assert components(spark.createDataFrame([], "a long, b long"), F.col("a"), F.col("b")).count() == 0
