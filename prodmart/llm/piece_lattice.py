@@ -209,8 +209,10 @@ def lattices(block: Block, words: Vocabulary) -> Lattices:
     p = weight * total[to] / total[origin]
     wide = np.flatnonzero(~short[origin])
     p[wide] = np.exp(score[wide] + beta[to[wide]] - beta[origin[wide]])
-    running = np.cumsum(p)
-    upto = running - np.concatenate([[0.0], running])[offset[:-1]][origin]
+    upto = p.copy()  # summed node by node, so that it does not depend on what else the block holds
+    for d in range(1, int(degree.max()) if n else 0):
+        e = offset[:-1][degree > d] + d
+        upto[e] += upto[e - 1]
     upto[offset[1:][degree > 0] - 1] = 2.0
     log_p = np.log(p)
     log_p[wide] = score[wide] + beta[to[wide]] - beta[origin[wide]]

@@ -7,7 +7,8 @@ again and again emits distinct segmentations in the order of their keys. With th
 threshold, a segmentation of log probability l has the inclusion probability 1 - exp(-exp(l - threshold)), which is
 returned as its logarithm.
 
-All random numbers are hashes of the row's key, so a row gives the same samples wherever it is computed. A subtree
+All random numbers are hashes of the row's key, so a row gives the same segmentations wherever it is computed; its scores
+agree up to the last bits. A subtree
 whose log probability is 45 below that of its path's root wins with a chance of about e^-40, less than that of
 a collision of the hashes; such siblings are not drawn.
 
@@ -32,7 +33,7 @@ from .textscan import Block, blocks, mix
 from .tokenizers import TOKENIZERS, file_bytes
 
 MODEL = "piece_bpe_32k.model"
-BLOCK = 1 << 21
+BLOCK = 1 << 20
 DEPTH = 45.0
 SAMPLE = T.StructType([
     T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("log_prob", T.DoubleType()),
@@ -101,6 +102,23 @@ def ragged(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return np.arange(total) - np.repeat(begin - starts, counts)
 
 
+def sums_before(values: np.ndarray, size: np.ndarray, narrow: int = 512) -> np.ndarray:
+    """Sum of the values before each value within its row; the same for a row whatever stands beside it."""
+    out = np.empty(len(values))
+    begin = np.cumsum(size) - size
+    rows = np.flatnonzero((size > 0) & (size <= narrow))
+    if len(rows):
+        at = ragged(begin[rows], size[rows])
+        row = np.repeat(np.arange(len(rows)), size[rows])
+        square = np.zeros((len(rows), int(size[rows].max()) + 1))
+        square[row, at - begin[rows][row] + 1] = values[at]
+        out[at] = np.cumsum(square, axis=1)[row, at - begin[rows][row]]
+    for r in np.flatnonzero(size > narrow):
+        part = values[begin[r] : begin[r] + size[r]]
+        out[begin[r] : begin[r] + size[r]] = np.concatenate([[0.0], np.cumsum(part)[:-1]])
+    return out
+
+
 class Search:
     """The A* search of all rows of a block at once."""
 
@@ -136,9 +154,7 @@ class Search:
                 break
             size[going] = np.minimum(left[going], 4 * size[going])
         row, slot = np.repeat(np.arange(n), size), ragged(start, size)
-        total = np.concatenate([[0.0], np.cumsum(lat.log_p[path.edge[slot]])])
-        begin = np.cumsum(size) - size
-        prefix = total[:-1] - total[begin][row] if len(row) else total[:-1]
+        prefix = sums_before(lat.log_p[path.edge[slot]], size)
         wanted = np.flatnonzero(prefix >= -DEPTH)
         slot, row, prefix = slot[wanted], row[wanted], prefix[wanted] + path.base[row[wanted]]
         node = lat.origin[path.edge[slot]]
@@ -222,8 +238,8 @@ def segment_block(block: Block, seed: np.ndarray, words: Vocabulary, k: int) ->
     order = np.lexsort((np.repeat(np.arange(len(search.paths)), [len(p.rows) for p in search.paths]), rows))
     log_prob, key, size = [], [], []
     for p in search.paths:
-        total = np.concatenate([[0.0], np.cumsum(lat.log_p[p.edge])])
-        log_prob.append(total[p.at[1:]] - total[p.at[:-1]])
+        sums = np.add.reduceat(np.append(lat.log_p[p.edge], 0.0), p.at[:-1])
+        log_prob.append(np.where(np.diff(p.at) > 0, sums, 0.0))
         key.append(p.key)
         size.append(np.diff(p.at))
     log_prob, key, size = (np.concatenate(x)[order] for x in (log_prob, key, size))

@@ -45,7 +45,7 @@ class Fit:
     screen: standard deviations by which a feature's share of toxic documents must exceed that of all.
     """
 
-    sample: int = 6000
+    sample: int = 4000
     min_docs: int = 4
     screen: float = 5.0
     max_features: int = 20000
