@@ -118,7 +118,8 @@ def merged_headers(stored: Column, fresh: Column) -> Column:
 def resolve_revisits(records: DataFrame, bucket: int = BUCKET) -> DataFrame:
     """One row per revisit: record_id, url, at, `outcome` (resolved, mismatch, unvalidated, missing), `refers_to`, merged
     `headers` and `body` (both null unless resolved)."""
-    keyed = records.withColumn("key", canonical_url("url"))
+    # parsed once; the steps below then read only their columns, bodies only the last one
+    keyed = written(records.withColumn("key", canonical_url("url")), "records")
     full = keyed.filter((F.col("kind") == "response") & (F.col("status") == "200"))
     revisits = keyed.filter(F.col("kind") == "revisit")
     checks = ["record_id", "etag", "last_modified", "digest"]
