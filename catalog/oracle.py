@@ -165,7 +165,7 @@ STEPS = {
     ),
     "snap_new": (["snap_in"], versions("snap_in", "code", "last_modified_at")),
     "state_old": ([], state(CUT)),
-    "state_new": ([], state("2000-01-01")),
+    "state_new": ([], state("9999-12-31")),
     "cust_old": (["state_old"], versions("state_old", "o_custkey", "seen_at")),
     "cust_new": (["state_new"], versions("state_new", "o_custkey", "seen_at")),
     "cust": (["cust_old", "cust_new"], merged("cust_old", "cust_new", "o_custkey", "o_custkey, status, o_orderkey, seen_at")),

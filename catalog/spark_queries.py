@@ -370,7 +370,7 @@ def q_snapshot_table(m: Model) -> DataFrame:
 
 def order_history(m: Model) -> DataFrame:
     orders = m.table("orders")
-    states = [customer_state(orders.where(F.col("o_orderdate") < cut)) for cut in (CUT, "2000-01-01")]
+    states = [customer_state(orders.where(F.col("o_orderdate") < CUT)), customer_state(orders)]
     history = first_versions(states[0], "o_custkey", "seen_at")
     return scd2_apply(history, states[1], "o_custkey", "seen_at")
 

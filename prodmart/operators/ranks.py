@@ -75,16 +75,15 @@ def dense_ids(df: DataFrame, order: list[str], out: str, ranges: int = RANGES) -
 def exact_quantiles(long: DataFrame, group: str, value: str, points: list[float], ranges: int = RANGES) -> DataFrame:
     """Linear-interpolation quantiles of `value` per `group`, one column `q0, q1, ...` per point.
 
-    `group` has few values by contract (the names of profiled columns): one row per group is
-    broadcast. Values are counted first, so repeated ones shuffle once, and no group is gathered
-    in one task.
+    One row per group is joined back; Spark broadcasts them when their size allows. Values are counted
+    first, so repeated ones shuffle once, and no group is gathered in one task.
     """
     counted = long.where(F.col(value).isNotNull()).groupBy(group, value).agg(F.count(F.lit(1)).alias("_n"))
     ranked = running_total(counted, [group, value], F.col("_n"), "_upto", ranges)
     sizes = counted.groupBy(group).agg(F.sum("_n").alias("_size"))
     before = Window.orderBy(group).rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select(group, "_size", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_start"))
-    rows = ranked.join(F.broadcast(starts), group).withColumn("_rank", F.col("_upto") - F.col("_start"))
+    rows = ranked.join(starts, group).withColumn("_rank", F.col("_upto") - F.col("_start"))
 
     lows, highs = [], []
     for i, point in enumerate(points):

@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import functools
 import re
-import tempfile
 import uuid
 from datetime import datetime
 
@@ -119,38 +117,22 @@ def write_batch(df: DataFrame, path: str, batch_id: str) -> None:
     write_table(df.drop("batch_id"), f"{path}/batch_id={batch_id}")
 
 
-@functools.cache
-def _local_dir() -> str:
-    return tempfile.mkdtemp(prefix="prodmart-")
-
-
-def work_dir(spark: SparkSession) -> str | None:
-    """The shared folder named by `spark.checkpoint.dir`.
-
-    Where it is unset, a local session gets a folder of its own; on a cluster there is none.
-    """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder and spark.conf.get("spark.master", "").startswith("local"):
-        folder = _local_dir()
-    return folder.rstrip("/") if folder else None
+def work_dir(spark: SparkSession) -> str:
+    """The folder driver and executors share: `spark.checkpoint.dir`, or where that is unset the warehouse."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir") + "/_work"
+    return folder.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path below the work folder."""
-    folder = work_dir(spark)
-    if folder is None:
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    return f"{folder}/{name}-{uuid.uuid4().hex}"
+    return f"{work_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def store(df: DataFrame, name: str) -> DataFrame:
     """Write an intermediate that several consumers read, and return the written table.
 
     Unlike a cache it survives lost executors, and its readers prune columns and push filters.
-    Without a shared folder the plan is returned as it is and each consumer computes it.
     """
-    if work_dir(df.sparkSession) is None:
-        return df
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)

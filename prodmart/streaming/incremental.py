@@ -40,9 +40,11 @@ def ingest_pages(
         stamp = F.current_timestamp() if as_of is None else as_of
         # Two outputs; a block lost with its executor is parsed again.
         batch.persist(StorageLevel.DISK_ONLY)
-        write_batch(bad_pages(batch), lake.path("raw", "quarantine"), batch_id)
-        load_raw(lake, clean_products(page_rows(batch), batch_id, stamp), batch_id)
-        batch.unpersist()
+        try:
+            write_batch(bad_pages(batch), lake.path("raw", "quarantine"), batch_id)
+            load_raw(lake, clean_products(page_rows(batch), batch_id, stamp), batch_id)
+        finally:
+            batch.unpersist()
 
     return (
         pages.writeStream.foreachBatch(load)
