@@ -78,8 +78,9 @@ SNAPSHOT = (
 META = "scd_id, updated_at, valid_from, valid_to"
 
 
-def versions(source: str, key: str, at: str) -> str:
-    return f"""SELECT *, md5(CAST({key} AS VARCHAR) || '|' || CAST({at} AS VARCHAR)) AS scd_id, {at} AS updated_at,
+def versions(source: str, key: str, at: str, moment: str = "epoch_us({})") -> str:
+    """`moment` is what of the change time enters the id: microseconds, of a time without zone its text."""
+    return f"""SELECT *, md5(CAST({key} AS VARCHAR) || '|' || CAST({moment.format(at)} AS VARCHAR)) AS scd_id, {at} AS updated_at,
         {at} AS valid_from, CAST(NULL AS TIMESTAMP) AS valid_to FROM {source}"""
 
 
@@ -157,17 +158,20 @@ STEPS = {
             FROM bridge_brand b JOIN nut n ON b.code = n.code GROUP BY upper(b.brand_name) HAVING count(b.code) > 2""",
     ),
     "snap": (["stg"], f"SELECT {', '.join(SNAPSHOT)}, lang FROM stg"),
-    "snap_old": (["snap"], versions("(SELECT * EXCLUDE (lang) FROM snap WHERE lang IN ('en', 'unknown'))", "code", "last_modified_at")),
+    "snap_old": (["snap"], versions(
+        """(SELECT * EXCLUDE (lang) REPLACE (CASE WHEN lang IN ('en', 'unknown') THEN code ELSE 'old-' || code END AS code)
+            FROM snap)""", "code", "last_modified_at",
+    )),
     "snap_in": (
         ["snap"],
-        f"""SELECT * EXCLUDE (lang) REPLACE ({MOVED} AS last_modified_at) FROM snap
-            WHERE nutriscore_grade IS NULL OR nutriscore_grade != 'e'""",
+        f"""SELECT * EXCLUDE (lang) REPLACE ({MOVED} AS last_modified_at,
+            CASE WHEN nutriscore_grade = 'e' THEN 'new-' || code ELSE code END AS code) FROM snap""",
     ),
     "snap_new": (["snap_in"], versions("snap_in", "code", "last_modified_at")),
     "state_old": ([], state(CUT)),
     "state_new": ([], state("9999-12-31")),
-    "cust_old": (["state_old"], versions("state_old", "o_custkey", "seen_at")),
-    "cust_new": (["state_new"], versions("state_new", "o_custkey", "seen_at")),
+    "cust_old": (["state_old"], versions("state_old", "o_custkey", "seen_at", "{}")),
+    "cust_new": (["state_new"], versions("state_new", "o_custkey", "seen_at", "{}")),
     "cust": (["cust_old", "cust_new"], merged("cust_old", "cust_new", "o_custkey", "o_custkey, status, o_orderkey, seen_at")),
 }
 
@@ -208,10 +212,17 @@ def count_check(name: str, label: str, column: str, table: str, condition: str)
     return check(name, label, column, f"SELECT count(*) FROM {table} WHERE {condition}")
 
 
+def value_check(column: str, values: str) -> str:
+    return check(
+        "accepted_values", "stg_products", column,
+        f"SELECT count(DISTINCT {column}) FROM stg WHERE {column} NOT IN {values}",
+    )
+
+
 def parent_check(column: str, parent: str) -> str:
     return check(
         "relationships", "fact_products", column,
-        f"""SELECT count(DISTINCT {column}) FROM fact WHERE {column} IS NOT NULL
+        f"""SELECT count(*) FROM fact WHERE {column} IS NOT NULL
             AND {column} NOT IN (SELECT {column} FROM {parent})""",
     )
 
@@ -224,9 +235,7 @@ STAR = " UNION ALL ".join(
         null_check("raw_products", "raw", "product_name"),
         null_check("stg_products", "stg", "code"), unique_check("stg_products", "stg", "code"),
         null_check("stg_products", "stg", "product_name"),
-        count_check("accepted_values", "stg_products", "nutriscore_grade", "stg",
-                    "nutriscore_grade NOT IN ('a', 'b', 'c', 'd', 'e')"),
-        count_check("accepted_values", "stg_products", "nova_group", "stg", "nova_group NOT IN (1, 2, 3, 4)"),
+        value_check("nutriscore_grade", "('a', 'b', 'c', 'd', 'e')"), value_check("nova_group", "(1, 2, 3, 4)"),
         null_check("stg_products", "stg", "completeness"),
         count_check("completeness_range", "stg_products", "completeness", "stg", "completeness < 0 OR completeness > 1"),
         null_check("dim_brand", "dim_brand", "brand_id"), unique_check("dim_brand", "dim_brand", "brand_id"),
@@ -388,7 +397,7 @@ ORACLE = {
         WHERE nutriscore_grade NOT IN ('a', 'b', 'c', 'd', 'e') GROUP BY nutriscore_grade""",
     ),
     "q_dq_relationships": """SELECT o_custkey, count(*) AS n_records FROM orders WHERE o_custkey IS NOT NULL
-        AND o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal > 0) GROUP BY o_custkey""",
+        AND o_custkey NOT IN (SELECT CASE WHEN c_acctbal > 0 THEN c_custkey ELSE -c_custkey END FROM customer) GROUP BY o_custkey""",
     "q_dq_ranges": sql(
         "fx cleaned",
         " UNION ALL ".join(
@@ -454,7 +463,7 @@ ORACLE = {
     ),
 }
 ORACLE["q_csv_extract"] = sql("fx", f"SELECT {', '.join(FILLED)} FROM fx")
-ORACLE["q_union_batches"] = """SELECT doc_id, text, lang FROM documents
+ORACLE["q_union_batches"] = """SELECT * FROM documents
     UNION ALL BY NAME SELECT conv_id, turn, role, text FROM conversations"""
 ORACLE["q_load_raw"] = sql(
     "cleaned",
@@ -462,6 +471,19 @@ ORACLE["q_load_raw"] = sql(
     CASE WHEN lang = 'en' THEN 'first' ELSE 'second' END AS batch_id
     FROM cleaned QUALIFY row_number() OVER (PARTITION BY code ORDER BY lang != 'en', page_no, pos) = 1""",
 )
+ORACLE["q_read_pages"] = sql(
+    "fx",
+    """SELECT code, product_name, lang, nutriscore_score, created_t, NULL AS body FROM fx
+    WHERE code IS NOT NULL AND product_name IS NOT NULL
+    QUALIFY row_number() OVER (PARTITION BY code ORDER BY pos % 2 DESC, pos) = 1
+    UNION ALL SELECT NULL, NULL, NULL, NULL, NULL, '<html>502'""",
+)
+ORACLE["q_load_csv"] = sql(
+    "cleaned",
+    """SELECT code, product_name, lang, energy_kcal_100g, fat_level FROM cleaned
+    QUALIFY row_number() OVER (PARTITION BY code ORDER BY pos % 2 DESC, pos) = 1""",
+)
+ORACLE["q_publish_after_gate"] = "SELECT c_custkey, c_name FROM customer"
 ORACLE["q_snapshot_table"] = ORACLE["q_scd2_apply"]
 TABLES = {"dim_brand": "dim_brand", "dim_category": "dim_category", "bridge_product_country": "bridge_country",
           "bridge_product_brand": "bridge_brand", "dim_country": "dim_country", "fact_products": "fact",

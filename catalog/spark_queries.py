@@ -23,8 +23,8 @@ from prodmart.plans.load import load_raw, read_raw
 from prodmart.plans.snapshot import snapshot_rows
 from prodmart.schema import COLUMNS, ORDER_COLUMNS, RAW_COLUMNS, conform
 from prodmart.session import pin_utc
-from prodmart.sources.landing import read_extract_csv, union_batches
-from prodmart.sources.tables import Lakehouse, scratch_path, store, write_csv
+from prodmart.sources.landing import read_extract_csv, read_pages, union_batches
+from prodmart.sources.tables import Lakehouse, read_model_runs, scratch_path, store, write_csv
 
 from .fixture import PRODUCT, fx, table
 
@@ -37,7 +37,8 @@ MODELS = [
 ]
 
 # Columns the fixture fills; the other kept fields are NULL and left out of the compared results.
-FILLED = [c for c in PRODUCT if c not in ORDER_COLUMNS]
+FEED_ORDER = ["page_no", "pos"]
+FILLED = [c for c in PRODUCT if c not in FEED_ORDER]
 DERIVED = [c for c in RAW_COLUMNS if c not in COLUMNS]
 STAGED = [staging.TIMES.get(c, c) for c in FILLED + DERIVED]
 
@@ -61,7 +62,7 @@ class Model:
 
     @cached_property
     def raw(self) -> DataFrame:
-        return first_wins(self.cleaned, ["code"], ORDER_COLUMNS).select(*RAW_COLUMNS)
+        return first_wins(self.cleaned, ["code"], FEED_ORDER).select(*RAW_COLUMNS)
 
     @cached_property
     def stored(self) -> "Model":
@@ -171,11 +172,11 @@ def q_drop_missing(m: Model) -> DataFrame:
 
 
 def q_clean_products(m: Model) -> DataFrame:
-    return m.cleaned.select(*ORDER_COLUMNS, *FILLED, *DERIVED)
+    return m.cleaned.select(*FEED_ORDER, *FILLED, *DERIVED)
 
 
 def q_first_wins(m: Model) -> DataFrame:
-    return first_wins(drop_missing_keys(m.fx), ["code"], ORDER_COLUMNS).select("code", "page_no", "pos", "lang")
+    return first_wins(drop_missing_keys(m.fx), ["code"], FEED_ORDER).select("code", "page_no", "pos", "lang")
 
 
 def q_first_wins_lineitem(m: Model) -> DataFrame:
@@ -184,8 +185,8 @@ def q_first_wins_lineitem(m: Model) -> DataFrame:
 
 def q_append_new(m: Model) -> DataFrame:
     rows = drop_missing_keys(m.fx).select("code", "page_no", "pos", "lang")
-    stored = first_wins(rows.where("page_no <= 5"), ["code"], ORDER_COLUMNS)
-    return append_new(stored, rows, ["code"], ORDER_COLUMNS)  # the whole feed comes again
+    stored = first_wins(rows.where("page_no <= 5"), ["code"], FEED_ORDER)
+    return append_new(stored, rows, ["code"], FEED_ORDER)  # the whole feed comes again
 
 
 def q_append_new_orders(m: Model) -> DataFrame:
@@ -203,8 +204,42 @@ def q_csv_extract(m: Model) -> DataFrame:
     return read_extract_csv(m.spark, path).select(*FILLED)
 
 
+def by_day(m: Model) -> DataFrame:
+    """The feed dealt to two day folders, so that rows of one code lie in different files, the later row in the first day."""
+    return m.fx.withColumn("day", F.expr("'d' || (2 - pos % 2)"))
+
+
+def q_read_pages(m: Model) -> DataFrame:
+    """Landed pages of several folders, a broken one and one without records among them; first row of each code."""
+    path = scratch_path(m.spark, "landing")
+    records = by_day(m).groupBy("day", F.expr("pos DIV 100").alias("page")).agg(
+        F.sort_array(F.collect_list(F.struct("pos", F.struct(*FILLED).alias("product")))).alias("records")
+    )
+    pages = records.select("day", "page", F.to_json(F.struct(F.col("records.product").alias("products"))).alias("value"))
+    odd = m.spark.createDataFrame([("d3", 0, "<html>502"), ("d3", 1, '{"count": 0}')], "day string, page long, value string")
+    pages.unionByName(odd).write.partitionBy("day", "page").text(path)
+
+    rows, quarantine = read_pages(m.spark, path)
+    first = first_wins(drop_missing_keys(rows), ["code"], ORDER_COLUMNS)
+    return first.select(
+        "code", "product_name", "lang", "nutriscore_score", "created_t", F.lit(None).cast("string").alias("body")
+    ).unionByName(quarantine.select(F.btrim("body", F.lit("\n")).alias("body")), allowMissingColumns=True)
+
+
+def q_load_csv(m: Model) -> DataFrame:
+    """Extracts of several folders loaded as one batch; first row of each code in file order."""
+    path = scratch_path(m.spark, "extracts")
+    extract = by_day(m).repartition("day").sortWithinPartitions("day", "pos")
+    extract.select("day", *FILLED).write.partitionBy("day").csv(
+        path, header=True, escape='"', emptyValue="", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
+    )
+    lake = Lakehouse(m.spark, scratch_path(m.spark, "lake"))
+    load_raw(lake, clean_products(read_extract_csv(m.spark, path, multi_line=False), "csv", AS_OF), "csv")
+    return read_raw(lake).select("code", "product_name", "lang", "energy_kcal_100g", "fat_level")
+
+
 def q_union_batches(m: Model) -> DataFrame:
-    return union_batches(m.table("documents").drop("source", "n_chars"), m.table("conversations"))
+    return union_batches(m.table("documents"), m.table("conversations"))
 
 
 def q_load_raw(m: Model) -> DataFrame:
@@ -337,15 +372,20 @@ def q_group_totals_lineitem(m: Model) -> DataFrame:
 # --- history ---------------------------------------------------------------------------------------------------------
 
 def generations(m: Model) -> tuple[DataFrame, DataFrame]:
-    """Stored: the English and unknown products. Input: all but grade e, with change times moved by NOVA group."""
+    """All products twice, the second time with change times moved by NOVA group.
+
+    Codes are changed by language in the first and by grade in the second, so that keys vanish and appear.
+    """
+    known = F.col("lang").isin("en", "unknown")
     stg = m.stg
-    stored = snapshot_rows(stg.where(F.col("lang").isin("en", "unknown")))
+    stored = snapshot_rows(stg.withColumn("code", F.when(known, F.col("code")).otherwise(F.concat(F.lit("old-"), "code"))))
     moved = (
         F.when(F.col("nova_group") <= 2, F.col("last_modified_at") + F.expr("INTERVAL 1 HOUR"))
         .when(F.col("nova_group") == 3, F.col("last_modified_at") - F.expr("INTERVAL 1 HOUR"))
         .otherwise(F.col("last_modified_at"))
     )
-    incoming = snapshot_rows(stg.where("nutriscore_grade IS NULL OR nutriscore_grade != 'e'"))
+    fresh = F.when(F.col("nutriscore_grade") == "e", F.concat(F.lit("new-"), "code")).otherwise(F.col("code"))
+    incoming = snapshot_rows(stg.withColumn("code", fresh))
     return stored, incoming.withColumn("last_modified_at", moved)
 
 
@@ -428,8 +468,8 @@ def q_dq_accepted(m: Model) -> DataFrame:
 
 
 def q_dq_relationships(m: Model) -> DataFrame:
-    rich = m.table("customer").where("c_acctbal > 0")
-    return quality.relationships(m.table("orders"), "o_custkey", rich, "c_custkey")
+    keys = m.table("customer").select(F.expr("IF(c_acctbal > 0, c_custkey, -c_custkey)").alias("c_custkey"))
+    return quality.relationships(m.table("orders"), "o_custkey", keys, "c_custkey")
 
 
 def q_dq_ranges(m: Model) -> DataFrame:
@@ -519,11 +559,25 @@ def q_element_count(m: Model) -> DataFrame:
 
 
 def q_audit(m: Model) -> DataFrame:
-    """Audit rows of the models that have rows in this directory."""
-    stg = m.stg
-    built = stg.agg(F.count(F.lit(1)).alias("n")).where("n > 0")
-    names = F.explode(F.array(*[F.lit(n) for n in MODELS])).alias("model_name")
-    return built.select(names).select("model_name", F.lit(AS_OF).cast("timestamp").alias("run_at"))
+    """The audit log after each model was logged, if this directory has rows to build from."""
+    lake = Lakehouse(m.spark, scratch_path(m.spark, "lake"))
+    for name in MODELS if not m.stg.isEmpty() else []:
+        lake.log_model_run(name, AS_OF)
+    return read_model_runs(m.spark, lake.path("audit", "model_runs"))
+
+
+def q_publish_after_gate(m: Model) -> DataFrame:
+    """The build served after a second one, in which every tenth name is missing, failed its check."""
+    lake = Lakehouse(m.spark, scratch_path(m.spark, "lake"))
+    customers = m.table("customer").select("c_custkey", "c_name")
+    broken = customers.withColumn("c_name", F.expr("IF(c_custkey % 10 = 0, NULL, c_name)"))
+    checks = [quality.check_not_null("customer", "c_name")]
+    for rows in (customers, broken):
+        try:
+            lake.refresh(rows, "marts", "customer", check=lambda written: quality.gate(checks, {"customer": written}))
+        except quality.DataQualityError:
+            continue
+    return lake.latest("marts", "customer")
 
 
 def q_build_marts(m: Model) -> DataFrame:

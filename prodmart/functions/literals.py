@@ -8,17 +8,29 @@ from pyspark.sql import Column, functions as F
 # this one is also needed for quotes escaped inside quotes.
 _JSON = {"allowBackslashEscapingAnyCharacter": "true"}
 
-# Bare tokens that JSON spells differently.
+# Pieces of a literal that are stepped over whole: quoted text with its escapes, and bare text up to
+# the next token. All loops are possessive, so long texts are matched without recursion or backtracking.
+_QUOTED = r"""\"(?:[^\"\\]++|\\.)*+\"|'(?:[^'\\]++|\\.)*+'"""
+
+
+def _bare_token(token: str) -> str:
+    """Pattern of `token` outside quotes: group 1 is the text since the match before, group 2 the token."""
+    return rf"(?s)\G((?:[^\"'\w-]++|{_QUOTED}|(?!(?:{token})\b)(?:-|\w++))*+)({token})\b"
+
+
+_MISSING = _bare_token("-?(?:None|nan|inf)")
+_BOOLEAN = _bare_token("True|False")
+_HEX_ESCAPE = r"(?s)\G((?:[^\\]++|\\[^x])*+)\\x([0-9a-fA-F]{2})"
+
+# What the three patterns look for.
 _TOKENS = ["None", "nan", "inf", "True", "False", "\\x"]
-_VALUE_START = r"(?<=[:,\[]\s{0,3})"
-_VALUE_END = r"(?=\s*[,}\]])"
 
 
 def to_json_notation(col: Column) -> Column:
     """Rewrite bare None/nan/True/False values and \\xNN escapes; quoted text stays as it is."""
-    rewritten = F.regexp_replace(col, rf"{_VALUE_START}(None|nan|-?inf){_VALUE_END}", "null")
-    rewritten = F.regexp_replace(rewritten, rf"{_VALUE_START}(True|False){_VALUE_END}", '"$1"')
-    rewritten = F.regexp_replace(rewritten, r"\\x([0-9a-f]{2})", r"\\u00$1")
+    rewritten = F.regexp_replace(col, _MISSING, "$1null")
+    rewritten = F.regexp_replace(rewritten, _BOOLEAN, '$1"$2"')
+    rewritten = F.regexp_replace(rewritten, _HEX_ESCAPE, r"$1\\u00$2")
     suspect = F.lit(False)
     for token in _TOKENS:
         suspect = suspect | col.contains(token)

@@ -10,8 +10,9 @@ def nan_to_null(col: Column) -> Column:
 
 
 def parse_double(col: Column) -> Column:
-    """Number or NULL; never raises under ANSI mode."""
-    return nan_to_null(col.try_cast("double"))
+    """Finite number or NULL; never raises under ANSI mode."""
+    value = col.try_cast("double")
+    return F.when(F.abs(value) < float("inf"), value)
 
 
 def parse_long(col: Column) -> Column:

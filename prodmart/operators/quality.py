@@ -76,6 +76,7 @@ class Check:
     fails: Column | None = None
     rows: Callable[[dict[str, DataFrame]], DataFrame] | None = None
     severity: str = "error"
+    weight: str | None = None  # column of `rows` that is summed as the number of failures; default: their count
 
     def failing(self, frames: dict[str, DataFrame]) -> DataFrame:
         if self.rows is not None:
@@ -88,7 +89,8 @@ def check_not_null(model: str, col: str) -> Check:
 
 
 def check_accepted(model: str, col: str, values: list) -> Check:
-    return Check("accepted_values", model, col, fails=~F.col(col).isin(values))
+    """Counts failing values."""
+    return Check("accepted_values", model, col, rows=lambda frames: accepted_values(frames[model], col, values))
 
 
 def check_expression(name: str, model: str, col: str, fails: Column, severity: str = "error") -> Check:
@@ -100,8 +102,10 @@ def check_unique(model: str, col: str) -> Check:
 
 
 def check_relationships(model: str, col: str, parent: str, field: str) -> Check:
+    """Counts failing rows."""
     return Check(
-        "relationships", model, col, rows=lambda frames: relationships(frames[model], col, frames[parent], field)
+        "relationships", model, col, rows=lambda frames: relationships(frames[model], col, frames[parent], field),
+        weight="n_records",
     )
 
 
@@ -121,7 +125,7 @@ def _result(check: Check, failures: Column) -> Column:
 
 
 def run_checks(checks: list[Check], frames: dict[str, DataFrame]) -> DataFrame:
-    """One row per check: failing rows (per-value checks: failing values) and status.
+    """One row per check: failing rows (`unique` and `accepted_values`: failing values) and status.
 
     All row checks of a model share one scan.
     """
@@ -134,7 +138,8 @@ def run_checks(checks: list[Check], frames: dict[str, DataFrame]) -> DataFrame:
             parts.append(counts.select(F.inline(results)))
         for c in checks:
             if c.model == model and c.fails is None:
-                counts = c.failing(frames).agg(F.count(F.lit(1)).alias("n"))
+                total = F.count(F.lit(1)) if c.weight is None else F.coalesce(F.sum(c.weight), F.lit(0))
+                counts = c.failing(frames).agg(total.alias("n"))
                 parts.append(counts.select(F.inline(F.array(_result(c, F.col("n"))))))
     return reduce(DataFrame.unionByName, parts)
 

@@ -3,18 +3,25 @@
 A window without partition keys moves everything into one task. Here the rows are cut into
 value ranges; only the per-range totals (at most `ranges` rows) meet in one place.
 
-The cut points are rows with the smallest hashes, i.e. a uniform sample that depends on the
-data alone. They steer balance and never the result, and a recomputed task (lost executor)
-sees the same ranges.
+The cut points are one row per hash bucket, the one with the smallest hash: a uniform sample that
+depends on the data alone and is reduced before the shuffle, so that no task meets more than one row
+per bucket and input task. The cut points steer balance and never the result, and a recomputed task
+(lost executor) sees the same ranges.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 RANGES = 1024
 
 
+def range_count(spark: SparkSession) -> int:
+    """Ranges for a job: a power of two, 1024 or as many as the session has shuffle partitions."""
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(RANGES, 1 << (partitions - 1).bit_length())
+
+
 def _sort_key(order: list[str]) -> str:
     """Comparable struct that sorts NULL last in every column."""
     return "struct(" + ", ".join(f"`{name}` IS NULL, `{name}`" for name in order) + ")"
@@ -24,17 +31,20 @@ def nulls_last(order: list[str]) -> list[Column]:
     return [F.col(name).asc_nulls_last() for name in order]
 
 
-def with_ranges(df: DataFrame, order: list[str], sampled: DataFrame | None = None, ranges: int = RANGES) -> DataFrame:
-    """Add `_range`, a number in 0 .. ranges - 1 (a power of two) that grows with `order`.
+def with_ranges(
+    df: DataFrame, order: list[str], sampled: DataFrame | None = None, ranges: int | None = None
+) -> DataFrame:
+    """Add `_range`, a number in 0 .. ranges - 1 (a power of two, default `range_count`) that grows with `order`.
 
     `sampled` is where the cut points come from, default `df`.
     """
     key = _sort_key(order)
+    ranges = ranges or range_count(df.sparkSession)
     cuts = (
         (df if sampled is None else sampled)
         .select(F.expr(key).alias("k"))
-        .orderBy(F.xxhash64("k"), "k")
-        .limit(ranges - 1)
+        .groupBy(F.pmod(F.xxhash64("k"), F.lit(ranges - 1)).alias("bucket"))
+        .agg(F.min(F.struct(F.xxhash64("k").alias("h"), "k"))["k"].alias("k"))
         .agg(F.array_sort(F.collect_list("k")).alias("cuts"))
         .scalar()
     )
@@ -49,7 +59,7 @@ def with_ranges(df: DataFrame, order: list[str], sampled: DataFrame | None = Non
     return df.select("*", cuts.alias("_cuts")).selectExpr("*", *search).select(*df.columns, found)
 
 
-def running_total(df: DataFrame, order: list[str], weight: Column, out: str, ranges: int = RANGES) -> DataFrame:
+def running_total(df: DataFrame, order: list[str], weight: Column, out: str, ranges: int | None = None) -> DataFrame:
     """Add the running sum of the positive `weight` over the global order; `order` must identify the rows."""
     weighted = df.withColumn("_weight", weight.cast("bigint"))
     # Looking at the weight keeps the sampled plan equal to `df`, so that its shuffle is reused.
@@ -67,12 +77,12 @@ def running_total(df: DataFrame, order: list[str], weight: Column, out: str, ran
     )
 
 
-def dense_ids(df: DataFrame, order: list[str], out: str, ranges: int = RANGES) -> DataFrame:
+def dense_ids(df: DataFrame, order: list[str], out: str, ranges: int | None = None) -> DataFrame:
     """Consecutive ids 1..n in the order of `order` (NULL last), which must identify the rows."""
     return running_total(df, order, F.lit(1), out, ranges).select(out, *df.columns)
 
 
-def exact_quantiles(long: DataFrame, group: str, value: str, points: list[float], ranges: int = RANGES) -> DataFrame:
+def exact_quantiles(long: DataFrame, group: str, value: str, points: list[float], ranges: int | None = None) -> DataFrame:
     """Linear-interpolation quantiles of `value` per `group`, one column `q0, q1, ...` per point.
 
     One row per group is joined back; Spark broadcasts them when their size allows. Values are counted

@@ -1,27 +1,39 @@
 """Slowly changing dimension, type 2, with the timestamp strategy.
 
 Rules: a new key is inserted; a row newer than the open one closes it and is inserted; an equal
-or older row changes nothing; a key missing from the input stays open.
+or older row changes nothing; a key missing from the input stays open. Of several input rows with
+one key the newest counts; a missing key is a key like any other.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from ..sources.tables import committed
+from ..sources.tables import commit, committed
+from .keyed import first_wins
 
 META = ["scd_id", "updated_at", "valid_from", "valid_to"]
 
 
-def version_id(key: Column, updated_at: Column) -> Column:
-    return F.md5(F.concat_ws("|", key.cast("string"), updated_at.cast("string")))
+def version_id(df: DataFrame, key: str, updated_at: str) -> Column:
+    """Hash of the key and the change time. A moment counts in microseconds, so no session zone enters; other types as text."""
+    moment = F.col(updated_at)
+    if isinstance(df.schema[updated_at].dataType, T.TimestampType):
+        moment = F.unix_micros(moment)
+    return F.md5(F.concat_ws("|", F.col(key).cast("string"), moment.cast("string")))
+
+
+def newest_per_key(incoming: DataFrame, key: str, updated_at: str) -> DataFrame:
+    """One row per key: the newest, of equally new ones the least by its other columns."""
+    comparable = [f.name for f in incoming.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
+    return first_wins(incoming, [key], [F.col(updated_at).desc_nulls_last(), *comparable])
 
 
 def first_versions(incoming: DataFrame, key: str, updated_at: str) -> DataFrame:
     """Every incoming row as an open version."""
     return incoming.select(
         "*",
-        version_id(F.col(key), F.col(updated_at)).alias("scd_id"),
+        version_id(incoming, key, updated_at).alias("scd_id"),
         F.col(updated_at).alias("updated_at"),
         F.col(updated_at).alias("valid_from"),
         F.lit(None).cast(incoming.schema[updated_at].dataType).alias("valid_to"),
@@ -29,15 +41,15 @@ def first_versions(incoming: DataFrame, key: str, updated_at: str) -> DataFrame:
 
 
 def merge_open(open_rows: DataFrame, incoming: DataFrame, key: str, updated_at: str) -> DataFrame:
-    """Open versions against the input, both with one row per key: a single full outer join.
+    """Open versions against the input: a single full outer join, whose shuffle also serves to pick the newest rows.
 
     Returns rows still open and rows closed just now.
     """
     names = incoming.columns + META
-    new = first_versions(incoming, key, updated_at)
+    new = first_versions(newest_per_key(incoming, key, updated_at), key, updated_at)
     pairs = open_rows.select(F.col(key).alias("_old_key"), F.struct(*names).alias("_old")).join(
         new.select(F.col(key).alias("_new_key"), F.struct(*names).alias("_new")),
-        F.col("_old_key") == F.col("_new_key"),
+        F.col("_old_key").eqNullSafe(F.col("_new_key")),
         "full_outer",
     )
     newer = F.col("_new.updated_at") > F.col("_old.updated_at")
@@ -52,7 +64,7 @@ def merge_open(open_rows: DataFrame, incoming: DataFrame, key: str, updated_at:
 def scd2_apply(current: DataFrame | None, incoming: DataFrame, key: str, updated_at: str) -> DataFrame:
     """The whole history after one input; closed versions pass by without a shuffle."""
     if current is None:
-        return first_versions(incoming, key, updated_at)
+        return first_versions(newest_per_key(incoming, key, updated_at), key, updated_at)
     closed = current.where(F.col("valid_to").isNotNull())
     merged = merge_open(current.where(F.col("valid_to").isNull()), incoming, key, updated_at)
     return closed.unionByName(merged)
@@ -69,8 +81,8 @@ class SnapshotTable:
     """History on plain Parquet: `<path>/version=N/is_open=true|false`.
 
     Version N holds all versions open after run N and those that run closed, so closed history
-    is never rewritten or reshuffled. A version counts once its `_SUCCESS` marker exists: a run that
-    dies halfway leaves the previous version in force, and the next run overwrites the remains.
+    is never rewritten or reshuffled. A version counts once its commit marker, written after the data, exists: a
+    run that dies halfway leaves the previous version in force, and the next run overwrites the remains.
     """
 
     def __init__(self, spark: SparkSession, path: str):
@@ -97,7 +109,7 @@ class SnapshotTable:
         """Merge one input into the next version and return its number."""
         last = self.version()
         if last == 0:
-            merged = first_versions(incoming, key, updated_at)
+            merged = first_versions(newest_per_key(incoming, key, updated_at), key, updated_at)
         else:
             open_rows = self._files().where((F.col("version") == last) & F.col("is_open"))
             merged = merge_open(open_rows.drop("version", "is_open"), incoming, key, updated_at)
@@ -106,4 +118,5 @@ class SnapshotTable:
             .write.mode("overwrite").option("partitionOverwriteMode", "static")
             .partitionBy("is_open").parquet(f"{self.path}/version={last + 1}")
         )
+        commit(self.spark, f"{self.path}/version={last + 1}")
         return last + 1

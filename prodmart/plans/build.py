@@ -31,8 +31,8 @@ def build_marts(
     """Build every model below `out` and return the tables.
 
     Staging stays a view: each consumer reads only its columns of `raw`, which is cheaper than
-    caching sixty columns. A model is checked right after it is written; a failing check raises, and
-    nothing that depends on the model is built. `fused` computes the summary marts without
+    caching sixty columns. A model is checked after it is written and before it is published; a failing
+    check raises, the build before stays in force, and nothing that depends on the model is built. `fused` computes the summary marts without
     joining by `code`, which the uniqueness check on the source justifies.
     """
     lake = Lakehouse(spark, out)
@@ -45,9 +45,12 @@ def build_marts(
             quality.gate(checks, tables)
 
     def build(name: str, model: Callable[[], DataFrame], checks: list[quality.Check]) -> None:
-        tables[name] = lake.refresh(model(), "marts", name)
-        lake.log_model_run(name, as_of or datetime.now(timezone.utc))
-        check(checks)
+        def accept(written: DataFrame) -> None:
+            tables[name] = written
+            lake.log_model_run(name, as_of or datetime.now(timezone.utc))
+            check(checks)
+
+        tables[name] = lake.refresh(model(), "marts", name, check=accept)
 
     check(quality.source_checks() + quality.staging_checks())
     snapshot = SnapshotTable(spark, lake.path("snapshots", "products_snapshot"))

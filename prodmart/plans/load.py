@@ -49,22 +49,31 @@ def read_raw(lake: Lakehouse) -> DataFrame:
 
 
 def load_raw(lake: Lakehouse, cleaned: DataFrame, batch_id: str) -> LoadCounts:
-    """Append the new keys of a cleaned batch.
+    """Append the new keys of a cleaned batch; of several rows with one key the first in reading order.
 
     The cleaned rows are written once; validation, first-wins and the counts then read that
-    table instead of parsing the landed files again.
+    table instead of parsing the landed files again. Rows without any place in the reading order
+    raise, as the choice among them would be left to chance.
     """
     stamped = conform(cleaned, STAGED_COLUMNS).withColumn("batch_id", F.lit(batch_id))
     flagged = flag_rows(with_defaults(stamped), load_rules(stamped.columns + ["source"]))
     staged = _batch(lake, "staged", flagged, batch_id)
 
+    counts = staged.agg(
+        F.count(F.lit(1)).alias("received"),
+        F.count("reject_reason").alias("rejected"),
+        F.count_if(F.coalesce(*[F.col(c).cast("string") for c in ORDER_COLUMNS]).isNull()).alias("unordered"),
+    ).first()
+    if counts["unordered"]:
+        raise ValueError(f"{counts['unordered']} rows of {batch_id} lack a reading order ({', '.join(ORDER_COLUMNS)})")
+
     good = staged.where(F.col("reject_reason").isNull()).drop("reject_reason")
-    rejected = _batch(lake, "rejected", staged.where(F.col("reject_reason").isNotNull()), batch_id)
+    _batch(lake, "rejected", staged.where(F.col("reject_reason").isNotNull()), batch_id)
 
     stored = read_raw(lake).where(F.col("batch_id") != batch_id)
     fresh = append_new(stored, good, KEYS, ORDER_COLUMNS).drop(*ORDER_COLUMNS)
     inserted = _batch(lake, "products", fresh, batch_id)
-    return LoadCounts(staged.count(), rejected.count(), inserted.count())
+    return LoadCounts(counts["received"], counts["rejected"], inserted.count())
 
 
 def _batch(lake: Lakehouse, table: str, df: DataFrame, batch_id: str) -> DataFrame:

@@ -60,8 +60,10 @@ NUTRIENT_FIELDS = {
 LEVEL_COLUMNS = list(LEVEL_FIELDS.values())
 NUTRIENT_COLUMNS = list(NUTRIENT_FIELDS.values())
 
-# Reading position inside a batch; it decides which duplicate of a key wins.
-ORDER_COLUMNS = ["page_no", "pos"]
+# Reading position inside a batch, unique per row; it decides which duplicate of a key wins. `source_file` is
+# the file's path in natural order, `page_no` the page's number (of an extract: the byte where a split
+# starts), `pos` the place in there.
+ORDER_COLUMNS = ["source_file", "page_no", "pos"]
 
 
 def tag_twins(names: list[str]) -> list[str]:
@@ -73,7 +75,7 @@ def tag_twins(names: list[str]) -> list[str]:
 def field_type(name: str) -> T.DataType:
     if name in DOUBLE_COLUMNS or name in NUTRIENT_COLUMNS:
         return T.DoubleType()
-    if name in EPOCH_COLUMNS or name in ORDER_COLUMNS:
+    if name in EPOCH_COLUMNS or name in ("page_no", "pos"):
         return T.LongType()
     if name == "ingested_at":
         return T.TimestampType()

@@ -41,17 +41,33 @@ def known_text(col: Column, na_values: list[str] | None = None) -> Column:
     return F.when(~col.isin(["", *(na_values or [])]), col)
 
 
+def reading_key(path: Column) -> Column:
+    """Text that sorts paths the way people do: folder by folder, `page_2` before `page_10`.
+
+    Runs of digits are padded to 20 places. The path itself follows, so that no two files share a key.
+    Names decide rather than modification times, which change when a folder is copied.
+    """
+    padded = F.regexp_replace(path, r"(\d+)", "0" * 20 + "$1")
+    return F.concat_ws(" ", F.regexp_replace(padded, r"\d*(\d{20})", "$1"), path)
+
+
+def page_number(file_name: Column) -> Column:
+    """The digits after `page` in a file name, else its last digits, else NULL."""
+    named = F.regexp_extract(file_name, r"(?i)page\D?(\d+)", 1).try_cast("bigint")
+    return F.coalesce(named, F.regexp_extract(file_name, r"(\d+)(?=\D*$)", 1).try_cast("bigint"))
+
+
 def page_rows(pages: DataFrame, na_values: list[str] | None = None) -> DataFrame:
-    """One typed row per record, with its page number (digits of the file name) and position.
+    """One typed row per record, with its place in the reading order: file, page number, position.
 
     A page without `products` yields no rows. Empty text is NULL, as it is in a CSV extract.
     """
-    file_name = F.col("_metadata.file_name")
-    page_no = F.regexp_extract(file_name, r"(\d+)(?=\D*$)", 1).try_cast("bigint")
     return pages.select(
-        F.coalesce(page_no, F.lit(0)).alias("page_no"),
+        reading_key(F.col("_metadata.file_path")).alias("source_file"),
+        page_number(F.col("_metadata.file_name")).alias("page_no"),
         F.posexplode("products").alias("pos", "product"),
     ).select(
+        "source_file",
         "page_no",
         F.col("pos").cast("bigint").alias("pos"),
         *[typed(c, known_text(F.col(f"product.{c}"), na_values)).alias(c) for c in COLUMNS],
@@ -105,7 +121,8 @@ def read_extract_csv(
     """CSV extract with a header; columns are matched by name, cast without inference.
 
     `na_values` are texts that mean NULL besides the empty field. `multi_line` is needed for
-    line breaks inside quoted text; without them, turn it off so that big files split.
+    line breaks inside quoted text; without them, turn it off so that big files split. The rows carry
+    their place in the reading order: file, start of the split, place in the split.
     """
     raw = spark.read.csv(
         path, header=True, multiLine=multi_line, escape='"', enforceSchema=False, mode="PERMISSIVE"
@@ -114,10 +131,14 @@ def read_extract_csv(
         missing = [c for c in COLUMNS if c not in raw.columns]
         if missing:
             raise ValueError(f"input lacks columns: {', '.join(missing)}")
-    names = [c for c in COLUMNS + ORDER_COLUMNS if c in raw.columns]
-
-    values = [typed(n, known_text(F.col(n), na_values)).alias(n) for n in names]
-    return conform(raw.select(*values), COLUMNS + [n for n in names if n in ORDER_COLUMNS])
+    values = [typed(n, known_text(F.col(n), na_values)).alias(n) for n in COLUMNS if n in raw.columns]
+    # A task reads a split from start to end, so its row numbers grow with the place in the split.
+    place = [
+        reading_key(F.col("_metadata.file_path")).alias("source_file"),
+        F.col("_metadata.file_block_start").alias("page_no"),
+        F.monotonically_increasing_id().alias("pos"),
+    ]
+    return conform(raw.select(*place, *values), ORDER_COLUMNS + COLUMNS)
 
 
 def union_batches(first: DataFrame, *others: DataFrame) -> DataFrame:

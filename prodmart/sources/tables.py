@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import uuid
+from collections.abc import Callable
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession, types as T
@@ -11,6 +12,8 @@ from pyspark.sql import DataFrame, SparkSession, types as T
 # Layer names.
 LAYERS = ["raw", "staging", "marts", "audit", "snapshots"]
 
+COMMITTED = "_COMMITTED"
+
 AUDIT_SCHEMA = T.StructType(
     [T.StructField("model_name", T.StringType()), T.StructField("run_at", T.TimestampType())]
 )
@@ -40,17 +43,27 @@ class Lakehouse:
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).parquet(path)
 
-    def refresh(self, df: DataFrame, layer: str | None, table: str, keep: int = 2) -> DataFrame:
+    def refresh(
+        self,
+        df: DataFrame,
+        layer: str | None,
+        table: str,
+        keep: int = 2,
+        check: Callable[[DataFrame], None] | None = None,
+    ) -> DataFrame:
         """Full refresh; returns the written table.
 
-        Each refresh is a new `build=N` directory that counts once its write is committed. Readers of the
-        build before stay undisturbed, and a refresh that dies leaves the table as it was. Builds
-        older than the last `keep` are removed.
+        Each refresh is a new `build=N` directory that counts once it is written and `check`, called with
+        the written rows, did not raise. Readers of the build before stay undisturbed, and a refresh that dies or
+        fails its check leaves the table as it was. Counted builds older than the last `keep` are removed.
         """
         path = self.path(layer, table)
         done = committed(self.spark, path, "build")
         number = max(done, default=0) + 1
         write_table(df, f"{path}/build={number}")
+        if check is not None:
+            check(self.spark.read.parquet(f"{path}/build={number}"))
+        commit(self.spark, f"{path}/build={number}")
         for old in done[: max(len(done) + 1 - keep, 0)]:
             remove(self.spark, f"{path}/build={old}")
         return self.latest(layer, table)
@@ -88,8 +101,14 @@ def remove(spark: SparkSession, path: str) -> None:
     fs.delete(target, True)
 
 
+def commit(spark: SparkSession, path: str) -> None:
+    """Declare a written directory valid. The marker is our own: Spark's `_SUCCESS` can be turned off."""
+    target, fs = _file_system(spark, f"{path}/{COMMITTED}")
+    fs.create(target, True).close()
+
+
 def committed(spark: SparkSession, path: str, prefix: str) -> list[int]:
-    """Numbers N of the directories `<path>/<prefix>=N` whose write was committed, ascending."""
+    """Numbers N of the directories `<path>/<prefix>=N` that were committed, ascending."""
     target, fs = _file_system(spark, path)
     if not fs.exists(target):
         return []
@@ -97,7 +116,7 @@ def committed(spark: SparkSession, path: str, prefix: str) -> list[int]:
     return sorted(
         int(name.split("=", 1)[1])
         for name in names
-        if name.startswith(f"{prefix}=") and path_exists(spark, f"{path}/{name}/_SUCCESS")
+        if name.startswith(f"{prefix}=") and path_exists(spark, f"{path}/{name}/{COMMITTED}")
     )
 
 

@@ -59,12 +59,26 @@ def test_refresh_keeps_two_builds_and_ignores_unfinished_ones(spark, tmp_path):
         lake.refresh(spark.range(n), "marts", "t")
     folder = tmp_path / "l" / "marts" / "t"
     assert sorted(p.name for p in folder.iterdir()) == ["build=3", "build=4"]
-    (folder / "build=4" / "_SUCCESS").unlink()
+    (folder / "build=4" / "_COMMITTED").unlink()
     assert lake.latest("marts", "t").count() == 3
     with pytest.raises(FileNotFoundError):
         lake.latest("marts", "absent")
 
 
+def test_failing_check_leaves_the_builds_before(spark, tmp_path):
+    lake = Lakehouse(spark, str(tmp_path / "l"))
+
+    def refuse(written):
+        raise DataQualityError(str(written.count()))
+
+    lake.refresh(spark.range(1), "marts", "t")
+    for n in (2, 3, 4):
+        with pytest.raises(DataQualityError, match=str(n)):
+            lake.refresh(spark.range(n), "marts", "t", check=refuse)
+    assert lake.latest("marts", "t").count() == 1
+    assert lake.refresh(spark.range(5), "marts", "t").count() == 5
+
+
 def test_rank_brands(tables):
     ranked = rank_brands(tables["mart_brand_quality"], limit=5).collect()
     values = [r["avg_energy_kcal"] for r in ranked]

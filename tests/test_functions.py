@@ -83,6 +83,13 @@ def test_nutrients(spark):
         ("{'fat': None, 'b': True, 'n': nan, 'z': 1.5}", {"fat": None, "b": "True", "n": None, "z": "1.5"}),
         ("{'t': 'say None, ok', 'u': 'None'}", {"t": "say None, ok", "u": "None"}),
         ('{"k": 69}', {"k": "69"}),
+        ("{'t': 'salt, None, sugar', 'n': None}", {"t": "salt, None, sugar", "n": None}),
+        ('{"t": "a, True, b", "k": 1}', {"t": "a, True, b", "k": "1"}),
+        ("{'fat':     None, 'a': 'b'}", {"fat": None, "a": "b"}),
+        ("{'t': \"it's: nan, inf\", 'x': -inf, 'y': False}", {"t": "it's: nan, inf", "x": None, "y": "False"}),
+        (r"{'p': 'c\\x41', 'q': '\x41', 'u': None}", {"p": r"c\x41", "q": "A", "u": None}),
+        (r"{'e': 'it\'s, None, ok', 'Nones': nan}", {"e": "it's, None, ok", "Nones": None}),
+        ("{'long': '" + "None, " * 50_000 + "', 'n': None}", {"long": "None, " * 50_000, "n": None}),
         ("{'a': \"l'eau\", 'b': 'x\\'y', 'c': 'p\\xa0q'}", {"a": "l'eau", "b": "x'y", "c": "p\xa0q"}),
         ("{}", {}), ("[]", None), ("nope", None), ("", None), (None, None),
     ],
@@ -95,7 +102,8 @@ def test_parse_map(spark, text, expected):
     "text, expected",
     [
         ("['a', 'b']", ["a", "b"]), ("[]", []), ("[\"l'eau\", 'b']", ["l'eau", "b"]),
-        ("[None, None, 'a']", [None, None, "a"]), ("x", None), (None, None),
+        ("[None, None, 'a']", [None, None, "a"]), ('["a, True, b"]', ["a, True, b"]), ("['a, True, b', True]", ["a, True, b", "True"]),
+        ("x", None), (None, None),
     ],
 )
 def test_parse_array(spark, text, expected):
@@ -114,7 +122,7 @@ def test_clip(spark):
 
 
 def test_numbers(spark):
-    assert apply(spark, ["1.5", "x", "NaN", None], fn.parse_double) == [1.5, None, None, None]
+    assert apply(spark, ["1.5", "x", "NaN", None, "Infinity", "-inf"], fn.parse_double) == [1.5] + [None] * 5
     assert apply(spark, ["1600000000", "1600000000.0", "x"], fn.parse_long) == [1600000000, 1600000000, None]
 
 

@@ -2,7 +2,8 @@ import json
 
 import pytest
 
-from prodmart.schema import COLUMNS, conform
+from prodmart.operators.keyed import first_wins
+from prodmart.schema import COLUMNS, ORDER_COLUMNS, conform
 from prodmart.sources.landing import NA_VALUES, page_fields, read_extract_csv, read_pages, union_batches
 from prodmart.sources.tables import write_csv
 
@@ -39,7 +40,7 @@ def pages(tmp_path):
 
 def test_read_pages(spark, pages):
     rows, quarantine = read_pages(spark, pages)
-    assert rows.columns == ["page_no", "pos", *COLUMNS]
+    assert rows.columns == [*ORDER_COLUMNS, *COLUMNS]
     got = {r["code"]: r for r in rows.collect()}
     assert {c: (r["page_no"], r["pos"]) for c, r in got.items()} == {"00123": (1, 0), "2": (1, 1), "3": (10, 0)}
     first = got["00123"]
@@ -70,7 +71,7 @@ def test_csv_keeps_codes_quotes_and_line_breaks(spark, tmp_path):
     )
     (tmp_path / "extract.csv").write_text(body)
     df = read_extract_csv(spark, path)
-    assert df.columns == COLUMNS
+    assert df.columns == ORDER_COLUMNS + COLUMNS
     first, second = df.select("code", "product_name", "nova_group", "created_t", "brands_tags", "url").collect()
     assert tuple(first) == ("00123", 'say "hi"\nthere', 4.0, 1600000000, "['a', 'b']", None)
     assert tuple(second) == ("nan", "NA", None, None, "[]", None)
@@ -87,7 +88,7 @@ def test_csv_round_trip(spark, tmp_path):
         COLUMNS,
     )
     write_csv(df, str(tmp_path / "out"))
-    back = read_extract_csv(spark, str(tmp_path / "out"))
+    back = read_extract_csv(spark, str(tmp_path / "out")).select(*COLUMNS)
     assert sorted(map(tuple, back.collect()), key=str) == sorted(map(tuple, df.collect()), key=str)
 
 
@@ -102,3 +103,30 @@ def test_union_batches(spark):
     a = spark.createDataFrame([("1", "x")], "code string, lang string")
     b = spark.createDataFrame([("2", 3.0)], "code string, nova_group double")
     assert sorted(map(tuple, union_batches(a, b).collect())) == [("1", "x", None), ("2", None, 3.0)]
+
+
+def test_reading_order_of_pages_in_several_folders(spark, tmp_path):
+    names = ["d2/page_1.json", "d1/page_10.json", "d1/page_2.json", "d10/page_1.json", "d1/page_1_of_10.json", "d1/rest.json"]
+    for name in names:
+        (tmp_path / name).parent.mkdir(exist_ok=True)
+        body = {"products": [{"code": c, "product_name": name} for c in (name, "same", "same")]}
+        (tmp_path / name).write_text(json.dumps(body))
+    rows = read_pages(spark, f"{tmp_path}/*")[0]
+    read = [r["product_name"] for r in rows.orderBy(*ORDER_COLUMNS).where("code != 'same'").collect()]
+    assert read == ["d1/page_1_of_10.json", "d1/page_2.json", "d1/page_10.json", "d1/rest.json", "d2/page_1.json", "d10/page_1.json"]
+    assert rows.groupBy(*ORDER_COLUMNS).count().where("count > 1").isEmpty()
+    numbers = {r["code"]: r["page_no"] for r in rows.collect()}
+    assert (numbers["d1/page_1_of_10.json"], numbers["d1/page_10.json"], numbers["d1/rest.json"]) == (1, 10, None)
+    won = first_wins(rows, ["code"], ORDER_COLUMNS).where("code = 'same'").first()
+    assert (won["product_name"], won["pos"]) == ("d1/page_1_of_10.json", 1)
+
+
+@pytest.mark.parametrize("multi_line", [True, False])
+def test_csv_rows_of_the_first_file_win(spark, tmp_path, conf, multi_line):
+    conf("spark.sql.files.maxPartitionBytes", "20000")  # several splits per file, the larger file scheduled first
+    for name, n in (("extract_2.csv", 5000), ("extract_10.csv", 20_000)):
+        lines = [f"{i % 5000},{name} {i}" for i in range(n)]
+        (tmp_path / name).write_text("code,product_name\n" + "\n".join(lines) + "\n")
+    rows = read_extract_csv(spark, str(tmp_path), multi_line=multi_line)
+    won = first_wins(rows, ["code"], ORDER_COLUMNS).select("code", "product_name").collect()
+    assert len(won) == 5000 and all(r["product_name"] == f"extract_2.csv {r['code']}" for r in won)

@@ -82,6 +82,12 @@ def test_bad_rows_do_not_fail_the_batch(spark, lake):
     assert sorted(r["reject_reason"] for r in reasons.collect()) == ["code_too_long", "lang_too_long"]
 
 
+def test_rows_without_a_reading_order_raise(spark, lake):
+    rows = clean_products(batch(spark, (None, None, "a", "n")), "b1", NOW)
+    with pytest.raises(ValueError, match="1 rows of b1 lack a reading order"):
+        load_raw(lake, rows, "b1")
+
+
 def test_empty_batch(spark, lake):
     rows = clean_products(batch(spark, (1, 0, None, "n")), "b1", NOW)
     counts = load_raw(lake, rows, "b1")

@@ -46,6 +46,13 @@ def test_run_checks_and_gate(spark, df):
     assert len(q.gate([checks[4], checks[5]], frames)) == 2
 
 
+def test_failures_count_values_or_rows(spark):
+    rows = spark.createDataFrame([("x", 5), ("x", 5), ("a", 1)], "grade string, id long")
+    frames = {"m": rows, "p": spark.createDataFrame([(1,)], "key long")}
+    checks = [q.check_accepted("m", "grade", ["a"]), q.check_relationships("m", "id", "p", "key"), q.check_unique("m", "id")]
+    assert [r["failures"] for r in q.run_checks(checks, frames).collect()] == [1, 2, 1]
+
+
 def test_declared_checks():
     kinds = [c.name for c in q.star_checks()]
     generic = {k: kinds.count(k) for k in ("not_null", "unique", "accepted_values", "relationships")}

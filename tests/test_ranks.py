@@ -33,6 +33,12 @@ def test_ranges_are_balanced(spark):
     assert len(sizes) == RANGES and max(sizes) < 100_000 / RANGES * 12
 
 
+def test_cut_points_are_reduced_before_the_shuffle(spark):
+    df = spark.range(1000).select(F.col("id").cast("string").alias("t"))
+    plan = dense_ids(df, ["t"], "id")._jdf.queryExecution().executedPlan().toString()
+    assert "TakeOrderedAndProject" not in plan and "partial_min" in plan
+
+
 def test_running_total(spark):
     df = spark.createDataFrame([("c", 5), ("a", 2), ("b", 3)], "k string, w long")
     got = [tuple(r) for r in running_total(df, ["k"], F.col("w"), "t").orderBy("k").collect()]

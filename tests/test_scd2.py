@@ -82,8 +82,31 @@ def test_unfinished_version_is_ignored(spark, tmp_path):
     first_versions(frame(spark, ("zz", "zz", T1)), "code", "changed").withColumn("is_open", F.lit(True)).write.partitionBy(
         "is_open"
     ).parquet(f"{path}/version=2")
-    (tmp_path / "snap" / "version=2" / "_SUCCESS").unlink()
     assert table.version() == 1
     assert [r["code"] for r in table.read().collect()] == ["a"]
     assert table.apply(frame(spark, ("a", "a2", T2)), "code", "changed") == 2
     assert sorted(r["name"] for r in table.read().collect()) == ["a1", "a2"]
+
+
+def test_versions_count_without_success_markers(spark, tmp_path, conf):
+    conf("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
+    table = SnapshotTable(spark, str(tmp_path / "snap"))
+    assert [table.apply(frame(spark, ("a", n, t)), "code", "changed") for n, t in (("a1", T1), ("a2", T2))] == [1, 2]
+    assert history_sorted(table.read()) == [("a", "a1", T1, T2), ("a", "a2", T2, None)]
+
+
+def test_repeated_and_missing_keys_leave_one_open_version(spark):
+    current = scd2_apply(None, frame(spark, ("a", "x", T1), ("a", "w", T1), (None, "n", T1)), "code", "changed")
+    second = frame(spark, ("a", "y", T2), ("a", "z", T3), (None, "n", T1), (None, "m", T2))
+    got = history_sorted(scd2_apply(current, second, "code", "changed"))
+    expected = [("a", "w", T1, T3), ("a", "z", T3, None), (None, "n", T1, T2), (None, "m", T2, None)]
+    assert got == sorted(expected, key=key)
+
+
+def test_ids_do_not_depend_on_the_session_zone(spark, conf):
+    ids = []
+    for zone in ("UTC", "Asia/Tokyo"):
+        conf("spark.sql.session.timeZone", zone)
+        moment = spark.range(1).select(F.lit("a").alias("code"), F.timestamp_micros(F.lit(1)).alias("changed"))
+        ids.append(first_versions(moment, "code", "changed").first()["scd_id"])
+    assert ids[0] == ids[1]
