@@ -31,6 +31,7 @@ class Vocabulary:
     check: np.ndarray
     piece: np.ndarray  # id of the piece that ends in a state, or -1
     score: np.ndarray  # log weight by id
+    weight: np.ndarray  # exp(score + SCALE * size) by id
     size: np.ndarray  # bytes of each piece
     byte_id: np.ndarray  # id of each byte's own piece
     surface: tuple[bytes, ...]
@@ -57,7 +58,9 @@ def vocabulary(model: bytes) -> Vocabulary:
     base, check, piece = _trie(usable)
     used = np.zeros(256, bool)
     used[np.frombuffer(b"".join(usable), np.uint8)] = True
-    return Vocabulary(base, check, piece, score, np.array([len(x) for x in surface]), byte_id, tuple(surface), ~used & (np.arange(256) < 128))
+    size = np.array([len(x) for x in surface])
+    weight = np.exp(score + SCALE * size)
+    return Vocabulary(base, check, piece, score, weight, size, byte_id, tuple(surface), ~used & (np.arange(256) < 128))
 
 
 def _trie(words: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -183,36 +186,38 @@ def lattices(block: Block, words: Vocabulary) -> Lattices:
     left = chunk_end - position
     longest = int(left.max()) if n else 0
     order = np.argsort(left.astype(np.int16) if longest < 1 << 15 else left, kind="stable")
-    bounds = np.searchsorted(left[order], np.arange(1, longest + 2))
     origin = np.repeat(position, degree)
     score = words.score[ids]
-    weight = np.exp(score + SCALE * words.size[ids])
+    weight = words.weight[ids]
     total = np.ones(n + 1)  # total[-1]: the end of a chunk
     beta = np.zeros(n + 1)
     short = np.repeat(size <= SHORT, size)
-    for r in range(longest):
-        nodes = order[bounds[r] : bounds[r + 1]]
-        nodes = nodes[degree[nodes] > 0]
-        for part, plain in ((nodes[short[nodes]], True), (nodes[~short[nodes]], False)):
-            if not len(part):
-                continue
-            edge, deg = offset[part], degree[part]
-            found_sum = weight[edge] * total[to[edge]] if plain else score[edge] + beta[to[edge]]
-            for d in range(1, int(deg.max())):
-                wide = np.flatnonzero(deg > d)
-                e = edge[wide] + d
-                if plain:
-                    found_sum[wide] += weight[e] * total[to[e]]
-                else:
-                    found_sum[wide] = np.logaddexp(found_sum[wide], score[e] + beta[to[e]])
-            (total if plain else beta)[part] = found_sum
+    order = order[degree[order] > 0]
+    for plain in (True, False):
+        # the nodes in this order, their edges side by side
+        nodes = order[short[order] == plain]
+        bounds = np.searchsorted(left[nodes], np.arange(1, longest + 2))
+        begin = np.concatenate([[0], np.cumsum(degree[nodes])])
+        edge = np.arange(begin[-1]) + np.repeat(offset[nodes] - begin[:-1], degree[nodes])
+        value, target, known = (weight if plain else score)[edge], to[edge], total if plain else beta
+        for r in np.flatnonzero(np.diff(bounds)):
+            a, b = bounds[r], bounds[r + 1]
+            here = slice(begin[a], begin[b])
+            at_node = begin[a:b] - begin[a]
+            if plain:
+                known[nodes[a:b]] = np.add.reduceat(value[here] * known[target[here]], at_node)
+            else:
+                known[nodes[a:b]] = np.logaddexp.reduceat(value[here] + known[target[here]], at_node)
     p = weight * total[to] / total[origin]
     wide = np.flatnonzero(~short[origin])
     p[wide] = np.exp(score[wide] + beta[to[wide]] - beta[origin[wide]])
     upto = p.copy()  # summed node by node, so that it does not depend on what else the block holds
-    for d in range(1, int(degree.max()) if n else 0):
-        e = offset[:-1][degree > d] + d
+    many = np.flatnonzero(degree > 1)
+    e, rest = offset[many], degree[many]
+    while len(e):
+        e, rest = e + 1, rest - 1
         upto[e] += upto[e - 1]
+        e, rest = e[rest > 1], rest[rest > 1]
     upto[offset[1:][degree > 0] - 1] = 2.0
     log_p = np.log(p)
     log_p[wide] = score[wide] + beta[to[wide]] - beta[origin[wide]]

@@ -33,7 +33,7 @@ from .textscan import Block, blocks, mix
 from .tokenizers import TOKENIZERS, file_bytes
 
 MODEL = "piece_bpe_32k.model"
-BLOCK = 1 << 20
+BLOCK = 1 << 18
 DEPTH = 45.0
 SAMPLE = T.StructType([
     T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("log_prob", T.DoubleType()),
@@ -187,23 +187,30 @@ class Search:
         """New paths: each leaves an old path of its row at a step by another edge and goes on at random."""
         lat, number = self.lat, len(self.paths)
         rows = np.array([r for r, *_ in taken])
+        # the rest of the token that the new edge is in
+        edge, steps = np.array([t[4] for t in taken]), np.array([t[3] for t in taken])
+        chunks, live, draw = [[e] for e in edge.tolist()], np.flatnonzero(lat.to[edge] >= 0), 0
+        while len(live):
+            node = lat.to[edge[live]]
+            u = uniform(self.seed[rows[live]] ^ np.uint64(number + 7), draw + (steps[live] << 10))
+            e = lat.offset[node]
+            open_ = np.flatnonzero(u > lat.upto[e])
+            while len(open_):
+                e[open_] += 1
+                open_ = open_[u[open_] > lat.upto[e[open_]]]
+            for i, x in zip(live.tolist(), e.tolist()):
+                chunks[i].append(x)
+            edge[live] = e
+            live, draw = live[lat.to[e] >= 0], draw + 1
         kept: list[np.ndarray] = []
         begin = np.empty(len(taken), np.int64)
-        for i, (r, _, old, step, edge, _) in enumerate(taken):
+        for i, (r, _, old, step, _, _) in enumerate(taken):
             path = self.paths[old]
             start = int(path.at[self.place[old][r]])
             # the token that the step is in: as many tokens as edges before it that end a chunk
             before = path.edge[start : start + step]
             begin[i] = int((lat.to[before] < 0).sum()) + 1
-            chunk = [edge]
-            draw = 0
-            while lat.to[chunk[-1]] >= 0:  # the rest of the token
-                node = lat.to[chunk[-1]]
-                u = float(uniform(self.seed[r : r + 1] ^ np.uint64(number + 7), np.array([draw + (step << 10)]))[0])
-                options = lat.upto[lat.offset[node] : lat.offset[node + 1]]
-                chunk.append(int(lat.offset[node] + min(int(np.searchsorted(options, u)), len(options) - 1)))
-                draw += 1
-            kept.append(np.concatenate([before, np.array(chunk)]))
+            kept.append(np.concatenate([before, np.array(chunks[i])]))
         later, counts = self.tokens(rows, begin, number)
         bound = np.concatenate([[0], np.cumsum(counts)])
         parts = [x for i in range(len(taken)) for x in (kept[i], later[bound[i] : bound[i + 1]])]
