@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import unicodedata
 
 from pyspark.sql import Column, functions as F
@@ -20,37 +21,58 @@ WHITESPACE = "".join(
 # Letters without a canonical decomposition, then signs, then Greek and Cyrillic romanisation.
 SPELLED = {
     "ß": "ss", "æ": "ae", "œ": "oe", "ø": "o", "ł": "l", "đ": "d", "ð": "d", "þ": "th",
-    "ħ": "h", "ı": "i", "ŋ": "ng", "ĳ": "ij",
-    "‘": "'", "’": "'", "“": '"', "”": '"', "–": "-", "—": "--", "…": "...", "«": "<<", "»": ">>",
-    "€": "EUR", "©": "(c)", "®": "(r)", "™": "(tm)", "°": "deg", "×": "x", "•": "*",
+    "ħ": "h", "ı": "i", "ŋ": "ng", "ĳ": "ij", "ĸ": "k", "ŧ": "t", "ƒ": "f", "ə": "e", "µ": "u",
+    "‘": "'", "’": "'", "‚": ",", "‛": "'", "“": '"', "”": '"', "„": '"', "′": "'", "″": '"', "ʼ": "'", "ʻ": "'",
+    "‹": "<", "›": ">", "«": "<<", "»": ">>", "¡": "!", "¿": "?", "´": "'", "¨": '"', "¯": "-", "¸": ",",
+    "‐": "-", "‑": "-", "‒": "-", "–": "-", "—": "--", "―": "--", "−": "-", "⁄": "/", "∕": "/", "÷": "/", "×": "x",
+    "±": "+-", "•": "*", "·": "*", "…": "...", "¦": "|", "°": "deg", "§": "SS", "¶": "P", "©": "(c)", "®": "(r)", "™": "(tm)",
+    "€": "EUR", "£": "PS", "¥": "Y=", "¢": "C/",
     "α": "a", "β": "b", "γ": "g", "δ": "d", "ε": "e", "ζ": "z", "η": "e", "θ": "th", "ι": "i",
     "κ": "k", "λ": "l", "μ": "m", "ν": "n", "ξ": "x", "ο": "o", "π": "p", "ρ": "r", "σ": "s",
     "ς": "s", "τ": "t", "υ": "u", "φ": "ph", "χ": "kh", "ψ": "ps", "ω": "o",
     "а": "a", "б": "b", "в": "v", "г": "g", "д": "d", "е": "e", "ж": "zh", "з": "z", "и": "i",
     "й": "i", "к": "k", "л": "l", "м": "m", "н": "n", "о": "o", "п": "p", "р": "r", "с": "s",
     "т": "t", "у": "u", "ф": "f", "х": "kh", "ц": "ts", "ч": "ch", "ш": "sh", "щ": "shch",
-    "ы": "y", "э": "e", "ю": "iu", "я": "ia", "ё": "io",
+    "ъ": "'", "ы": "y", "ь": "'", "э": "e", "ю": "iu", "я": "ia", "ё": "io",
+    "ђ": "dj", "ѓ": "gj", "є": "ie", "ѕ": "dz", "і": "i", "ї": "yi", "ј": "j", "љ": "lj", "њ": "nj",
+    "ћ": "tsh", "ќ": "kj", "ў": "u", "џ": "dzh", "ґ": "g",
 }
 
-
-def _decomposed() -> dict[str, str]:
-    """Characters that decompose to one ASCII character plus marks: Latin, compatibility signs, spaces, full width."""
-    table = {}
-    for first, last in ((0xA0, 0x24F), (0x1E00, 0x1EFF), (0x2000, 0x200A), (0x2070, 0x2079), (0xFF01, 0xFF5E)):
-        for point in range(first, last + 1):
-            plain = "".join(
-                ch for ch in unicodedata.normalize("NFKD", chr(point)) if not unicodedata.combining(ch)
-            )
-            if len(plain) == 1 and plain.isascii():
-                table[chr(point)] = plain
-    for vowel in "άέήίόύώ":
-        table[vowel] = SPELLED[unicodedata.normalize("NFD", vowel)[0]]
-    return table
-
-
-_SINGLE = _decomposed() | {source: spelled for source, spelled in SPELLED.items() if len(spelled) == 1}
-_FROM, _TO = "".join(_SINGLE), "".join(_SINGLE.values())
-_SEVERAL = {source: spelled for source, spelled in SPELLED.items() if len(spelled) > 1}
+# Japanese syllables whose spelling differs from their Unicode name.
+SYLLABLES = {"si": "shi", "ti": "chi", "tu": "tsu"}
+KANA = re.compile(r"(?:HIRAGANA|KATAKANA) LETTER (?:SMALL )?([A-Z]{1,3})$")
+
+# Blocks that are folded as a whole: Latin, Greek, Cyrillic, punctuation, currency, letter-like signs, fractions,
+# enclosed numbers, kana, ligatures, full and half width.
+BLOCKS = [
+    (0xA0, 0x24F), (0x2B0, 0x2FF), (0x370, 0x45F), (0x490, 0x491), (0x1E00, 0x1FFF), (0x2000, 0x209C), (0x20A0, 0x20BF), (0x2100, 0x218B),
+    (0x2212, 0x2215), (0x2460, 0x24FF), (0x3000, 0x30FF), (0xFB00, 0xFB06), (0xFF01, 0xFF9F),
+]
+INVISIBLE = "\u00ad\u200b\u200c\u200d\u200e\u200f\u2060\ufeff"
+
+
+def _spell(ch: str) -> str | None:
+    """ASCII for one character: as listed, by the name of a kana, or by what it decomposes to, marks left out."""
+    if ch.isascii() or ch in SPELLED:
+        return SPELLED.get(ch, ch)
+    kana = KANA.match(unicodedata.name(ch, ""))
+    if kana:
+        return SYLLABLES.get(kana[1].lower(), kana[1].lower())
+    parts = [p for p in unicodedata.normalize("NFKD", ch) if not unicodedata.combining(p)]
+    spelled = [_spell(p) for p in parts] if parts != [ch] else [None]
+    return None if None in spelled else "".join(spelled)
+
+
+def _blocks() -> dict[str, str]:
+    """Every character of `BLOCKS` that has a spelling. A voiced kana keeps its own name, not that of its base."""
+    table = {chr(point): _spell(chr(point)) for first, last in BLOCKS for point in range(first, last + 1)}
+    return {ch: spelled for ch, spelled in table.items() if spelled}
+
+
+_TABLE = _blocks() | SPELLED
+_SINGLE = {source: spelled for source, spelled in _TABLE.items() if len(spelled) == 1}
+_FROM, _TO = "".join(_SINGLE) + INVISIBLE, "".join(_SINGLE.values())
+_SEVERAL = {source: spelled for source, spelled in _TABLE.items() if len(spelled) > 1}
 _FREQUENT = ["ß", "æ", "œ"]
 _RARE_CLASS = "[" + "".join(source for source in _SEVERAL if source not in _FREQUENT) + "]"
 
@@ -70,10 +92,20 @@ def _quoted(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
+def _lookup(first: str, last: str) -> str:
+    """Spelling of `ch` among those of one script, so that a character is looked for in few entries."""
+    entries = "|".join(f"{source}={spelled}" for source, spelled in _SEVERAL.items() if first <= source <= last)
+    return f"coalesce(try_element_at(str_to_map({_quoted(entries)}, '\\\\|', '='), ch), ch)"
+
+
 # One character at a time, those spelled with several letters replaced.
 _SPELL_OUT = f"""
-    array_join(transform(split(t, ''), ch -> coalesce(try_element_at(str_to_map(
-        {_quoted("|".join(f"{source}={spelled}" for source, spelled in _SEVERAL.items()))}, '\\\\|', '='), ch), ch)), '')
+    array_join(transform(split(t, ''), ch -> CASE
+        WHEN ch < '\u0080' THEN ch
+        WHEN ch < '\u0400' THEN {_lookup(chr(0x80), chr(0x3FF))}
+        WHEN ch < '\u1e00' THEN {_lookup(chr(0x400), chr(0x1DFF))}
+        WHEN ch < '\u3000' THEN {_lookup(chr(0x1E00), chr(0x2FFF))}
+        ELSE {_lookup(chr(0x3000), chr(0xFFFF))} END), '')
 """
 
 # Western text is ASCII after its letters are translated; only what is left needs the costly passes.
@@ -85,7 +117,7 @@ _FINISH = f"""
 
 
 def fold_text(col: Column) -> Column:
-    """Fold to ASCII; expects lower case. Scripts outside the table pass through unchanged."""
+    """Fold to ASCII; expects lower case. Scripts outside `BLOCKS` (Han, Hebrew, Arabic, Indic) pass through unchanged."""
     latin = col
     for source in _FREQUENT:
         latin = F.replace(latin, F.lit(source), F.lit(_SEVERAL[source]))
