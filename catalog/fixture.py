@@ -40,12 +40,58 @@ PRODUCT = {
                   || CAST(p_partkey % 12 AS STRING) ELSE '' END || '}' END""",
 }
 
-FX_SQL = "SELECT " + ", ".join(f"{expr} AS {name}" for name, expr in PRODUCT.items()) + " FROM part"
+QUOTE = "chr(39)"
+
+
+def _list(column: str, *items: str) -> str:
+    """A list literal of the items; empty for every ninth row, missing for every fourteenth."""
+    inner = " || ', ' || ".join(f"{QUOTE} || {item} || {QUOTE}" for item in items)
+    return f"CASE WHEN p_partkey % 9 = {len(column) % 9} THEN '[]' WHEN p_partkey % 14 = 1 THEN NULL ELSE '[' || {inner} || ']' END"
+
+
+# The other kept fields: foldable texts with blanks of several kinds around them, lists with a comma inside a tag,
+# plain columns beside their normalised twins, missing shares, undefined numbers.
+_TEXT = {
+    "generic_name": "chr(9) || 'Crème ' || p_name || chr(160)",
+    "quantity": "CAST(p_size AS STRING) || ' G' || chr(10)",
+    "product_quantity_unit": "CASE WHEN p_partkey % 6 = 0 THEN NULL WHEN p_partkey % 6 = 1 THEN 'ML ' ELSE 'g' END",
+    "serving_size": "' ' || CAST(p_size AS STRING) || ' Gräm'",
+    "purchase_places": "CASE WHEN p_partkey % 5 = 0 THEN '' ELSE chr(13) || 'Orléans, Łódź'  END",
+    "nutrition_data_per": "CASE WHEN p_partkey % 3 = 0 THEN '100G' ELSE 'Serving' END",
+    "ecoscore_grade": "CASE p_partkey % 5 WHEN 0 THEN ' Unknown ' WHEN 1 THEN NULL WHEN 2 THEN 'A' ELSE 'b' END",
+    "ingredients_text": "'Bœuf, Größe, None, ' || p_type || ' ½'",
+}
+_LISTS = """manufacturing_places_tags categories_tags categories_hierarchy food_groups_tags countries_hierarchy origins_tags
+allergens_tags traces_tags additives_tags ingredients_analysis_tags labels_tags packaging_tags packaging_materials_tags
+packaging_recycling_tags""".split()
+TWINS = ["brands", "categories", "food_groups", "countries", "origins", "labels", "packaging"]
+MORE = {
+    **_TEXT,
+    **{name: _list(name, "'en:' || lower(p_brand)", "'fr:é, " + name + "'") for name in _LISTS},
+    **{name: f"'{name} ' || p_brand" for name in TWINS},
+    "completeness": "CASE WHEN p_partkey % 17 = 0 THEN NULL WHEN p_partkey % 17 = 1 THEN CAST('NaN' AS DOUBLE) "
+                    "ELSE CAST(p_partkey % 13 AS DOUBLE) / 10 - 0.1 END",
+    "product_quantity": "CASE WHEN p_partkey % 8 = 0 THEN NULL ELSE CAST(p_size AS DOUBLE) * 2.5 END",
+    "ecoscore_score": "CASE WHEN p_partkey % 7 = 0 THEN NULL ELSE CAST(p_partkey % 101 AS DOUBLE) END",
+    "ingredients_n": "CASE WHEN p_partkey % 10 = 0 THEN NULL ELSE CAST(p_size % 12 AS DOUBLE) END",
+    "additives_n": "CAST(p_partkey % 4 AS DOUBLE)",
+    "last_updated_t": "CASE WHEN p_partkey % 15 = 0 THEN NULL ELSE 1650000000 + p_partkey * 60 END",
+    **{name: f"'https://images.example.org/{name}/' || CAST(p_partkey AS STRING) || '?Q=É'"
+       for name in ("url", "image_url", "image_front_url", "image_front_small_url")},
+}
+EVERY = PRODUCT | MORE
+
+
+def select_sql(columns: dict[str, str]) -> str:
+    return "SELECT " + ", ".join(f"{expr} AS {name}" for name, expr in columns.items()) + " FROM part"
+
+
+FX_SQL = select_sql(PRODUCT)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def fx(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "part").selectExpr(*[f"{expr} AS {name}" for name, expr in PRODUCT.items()])
+def fx(spark: SparkSession, sf_dir: str, columns: dict[str, str] = PRODUCT) -> DataFrame:
+    return table(spark, sf_dir, "part").selectExpr(*[f"{expr} AS {name}" for name, expr in columns.items()])

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .fixture import FX_SQL, PRODUCT
+from .fixture import EVERY, FX_SQL, PRODUCT, TWINS, select_sql
 from .spark_queries import CUT, FILLED, MODELS, STAGED
 
 NUTRIENTS = ["energy_kcal_100g", "fat_100g", "saturated_fat_100g", "sugars_100g", "salt_100g", "proteins_100g", "fiber_100g"]
@@ -43,6 +43,24 @@ CLEANED = {
     "nutriscore_grade": clean("nutriscore_grade"),
     "completeness": "CASE WHEN completeness IS NULL THEN NULL ELSE greatest(0.0, least(1.0, completeness)) END",
 }
+ALL_TEXTS = [
+    "generic_name", "quantity", "product_quantity_unit", "serving_size", "purchase_places", "nutrition_data_per",
+    "ecoscore_grade", "ingredients_text",
+]
+
+
+def clean_any(col: str) -> str:
+    """As `clean`, with blanks of any kind, letters that do not decompose, and a fraction."""
+    text = rf"lower(regexp_replace({col}, '^[\s\x0b\x{{a0}}]+|[\s\x0b\x{{a0}}]+$', '', 'g'))"
+    return f"strip_accents(replace(replace(replace(replace({text}, 'ß', 'ss'), 'œ', 'oe'), 'ł', 'l'), '½', '1/2'))"
+
+
+# An undefined share is unknown; DuckDB would take it for the largest number.
+CLEANED_ALL = CLEANED | {c: clean_any(c) for c in ALL_TEXTS} | {
+    "completeness": "CASE WHEN NOT isnan(completeness) THEN greatest(0.0, least(1.0, completeness)) END",
+    "manufacturing_places_tags": "nullif(manufacturing_places_tags, '[]')",
+}
+CLEAN_ALL_SQL = ", ".join(f"{CLEANED_ALL.get(c, c)} AS {c}" for c in EVERY if c not in TWINS)
 CLEAN_SQL = ", ".join(f"{CLEANED.get(c, c)} AS {c}" for c in PRODUCT)
 
 # what stands before the first comma, without brackets and quotes
@@ -104,6 +122,18 @@ def state(cut: str) -> str:
         QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) = 1"""
 
 
+KEEP = """energy_kcal_100g < 1000 AND sugars_100g < 100 AND fat_100g < 100 AND proteins_100g < 100 AND salt_100g < 100"""
+FACT_ALL = FACT_COLUMNS + ["ecoscore_grade", "ecoscore_score", "ingredients_n", "additives_n"]
+SNAPSHOT_ALL = SNAPSHOT + ["ecoscore_grade", "ecoscore_score"]
+
+
+def joined_fact(staged: str, columns: list[str]) -> str:
+    chosen = ", ".join({"brand_id": "b.brand_id", "category_id": "c.category_id"}.get(n, "s." + n) for n in columns)
+    return f"""SELECT {chosen} FROM (SELECT *, {FIRST_TAG} AS first_tag FROM {staged}) s
+        LEFT JOIN dim_brand b ON s.first_tag = b.brand_name
+        LEFT JOIN dim_category c ON s.pnns_groups_1 = c.pnns_groups_1 AND s.pnns_groups_2 = c.pnns_groups_2"""
+
+
 # Named steps in dependency order.
 STEPS = {
     "fx": ([], FX_SQL),
@@ -147,11 +177,23 @@ STEPS = {
     ),
     "fact": (
         ["stg", "dim_brand", "dim_category"],
-        f"""SELECT {', '.join({'brand_id': 'b.brand_id', 'category_id': 'c.category_id'}.get(n, 's.' + n) for n in FACT_COLUMNS)}
-            FROM (SELECT *, {FIRST_TAG} AS first_tag FROM stg) s
-            LEFT JOIN dim_brand b ON s.first_tag = b.brand_name
-            LEFT JOIN dim_category c ON s.pnns_groups_1 = c.pnns_groups_1 AND s.pnns_groups_2 = c.pnns_groups_2""",
-    ),
+        joined_fact("stg", FACT_COLUMNS),
+    ),
+    "all_fx": ([], select_sql(EVERY)),
+    "all_cleaned": (
+        ["all_fx"],
+        f"""SELECT {CLEAN_ALL_SQL}, {LEVEL_SQL}, {NUTRIENT_SQL}, 'batch' AS batch_id, {STAMP} AS ingested_at
+            FROM all_fx WHERE code IS NOT NULL AND product_name IS NOT NULL""",
+    ),
+    "all_stg": (
+        ["all_cleaned"],
+        f"""SELECT * EXCLUDE (page_no, pos, created_t, last_modified_t, last_updated_t)
+                REPLACE (CASE WHEN trim(nutriscore_grade) IN ('not-applicable', 'unknown') THEN NULL ELSE nutriscore_grade END
+                         AS nutriscore_grade),
+                {epoch('created_t')} AS created_at, {epoch('last_modified_t')} AS last_modified_at, {epoch('last_updated_t')} AS last_updated_at
+            FROM (FROM all_cleaned QUALIFY row_number() OVER (PARTITION BY code ORDER BY page_no, pos) = 1) WHERE {KEEP}""",
+    ),
+    "all_fact": (["all_stg", "dim_brand", "dim_category"], joined_fact("all_stg", FACT_ALL)),
     "quality": (
         ["bridge_brand", "nut"],
         f"""SELECT upper(b.brand_name) AS brand_name, count(b.code) AS total_products, {AVG_SQL}
@@ -327,6 +369,12 @@ ORACLE = {
     ),
     "q_time_sanity": sql("raw", "SELECT code, created_t, last_modified_t FROM raw WHERE NOT (last_modified_t < created_t)"),
     "q_time_travel_rows": sql("raw", "SELECT count(*) AS n_rows FROM raw WHERE last_modified_t < created_t"),
+    "q_clean_products_all": sql("all_cleaned", "SELECT * FROM all_cleaned"),
+    "q_stg_products_all": sql("all_stg", "SELECT * FROM all_stg"),
+    "q_fact_products_all": sql("all_fact", "SELECT * FROM all_fact"),
+    "q_products_snapshot_all": sql(
+        "all_stg", versions(f"(SELECT {', '.join(SNAPSHOT_ALL)} FROM all_stg)", "code", "last_modified_at")
+    ),
     "q_stg_products": sql("stg", "SELECT * FROM stg"),
     "q_stg_products_energy_null": sql(
         "raw",

@@ -26,7 +26,7 @@ from prodmart.session import pin_utc
 from prodmart.sources.landing import read_extract_csv, read_pages, union_batches
 from prodmart.sources.tables import Lakehouse, read_model_runs, scratch_path, store, write_csv
 
-from .fixture import PRODUCT, fx, table
+from .fixture import EVERY, PRODUCT, fx, table
 
 BATCH = "batch"
 AS_OF = datetime(2024, 1, 1, tzinfo=timezone.utc)
@@ -36,7 +36,7 @@ MODELS = [
     "fact_products", "mart_nutrient_profile", "mart_brand_quality",
 ]
 
-# Columns the fixture fills; the other kept fields are NULL and left out of the compared results.
+# Columns the narrow fixture fills; the other kept fields are NULL there and compared by the queries `q_..._all`.
 FEED_ORDER = ["page_no", "pos"]
 FILLED = [c for c in PRODUCT if c not in FEED_ORDER]
 DERIVED = [c for c in RAW_COLUMNS if c not in COLUMNS]
@@ -46,15 +46,20 @@ STAGED = [staging.TIMES.get(c, c) for c in FILLED + DERIVED]
 class Model:
     """The models of one scale-factor directory, wired together."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark, self.sf_dir = pin_utc(spark), sf_dir
+    def __init__(self, spark: SparkSession, sf_dir: str, columns: dict[str, str] = PRODUCT):
+        self.spark, self.sf_dir, self.columns = pin_utc(spark), sf_dir, columns
 
     def table(self, name: str) -> DataFrame:
         return table(self.spark, self.sf_dir, name)
 
     @cached_property
     def fx(self) -> DataFrame:
-        return fx(self.spark, self.sf_dir)
+        return fx(self.spark, self.sf_dir, self.columns)
+
+    @cached_property
+    def every(self) -> "Model":
+        """The same models with every kept field filled."""
+        return Model(self.spark, self.sf_dir, EVERY)
 
     @cached_property
     def cleaned(self) -> DataFrame:
@@ -67,7 +72,7 @@ class Model:
     @cached_property
     def stored(self) -> "Model":
         """The same models over a written raw table, for queries that read it more than once."""
-        model = Model(self.spark, self.sf_dir)
+        model = Model(self.spark, self.sf_dir, self.columns)
         model.raw = store(self.raw, "raw")
         return model
 
@@ -175,6 +180,11 @@ def q_clean_products(m: Model) -> DataFrame:
     return m.cleaned.select(*FEED_ORDER, *FILLED, *DERIVED)
 
 
+def q_clean_products_all(m: Model) -> DataFrame:
+    """Every kept field: blanks of several kinds, twins, empty lists, undefined numbers."""
+    return m.every.cleaned.select(*FEED_ORDER, *RAW_COLUMNS)
+
+
 def q_first_wins(m: Model) -> DataFrame:
     return first_wins(drop_missing_keys(m.fx), ["code"], FEED_ORDER).select("code", "page_no", "pos", "lang")
 
@@ -278,6 +288,10 @@ def q_stg_products(m: Model) -> DataFrame:
     return m.stg.select(*STAGED)
 
 
+def q_stg_products_all(m: Model) -> DataFrame:
+    return m.every.stg
+
+
 def q_stg_products_energy_null(m: Model) -> DataFrame:
     return staging.stg_products(m.raw, energy_rule="null").select("code", "energy_kcal_100g")
 
@@ -324,6 +338,10 @@ def q_fact_products(m: Model) -> DataFrame:
     return filled_fact(m.fact)
 
 
+def q_fact_products_all(m: Model) -> DataFrame:
+    return m.every.stored.fact
+
+
 def q_mart_nutrient_profile(m: Model) -> DataFrame:
     m = m.stored
     return marts.mart_nutrient_profile(m.stg, m.nutrients)
@@ -393,6 +411,10 @@ def q_products_snapshot(m: Model) -> DataFrame:
     return first_versions(snapshot_rows(m.stg), "code", "last_modified_at").drop("ecoscore_grade", "ecoscore_score")
 
 
+def q_products_snapshot_all(m: Model) -> DataFrame:
+    return first_versions(snapshot_rows(m.every.stg), "code", "last_modified_at")
+
+
 def q_scd2_apply(m: Model) -> DataFrame:
     m = m.stored
     stored, incoming = generations(m)
