@@ -25,6 +25,7 @@ from prodmart.schema import COLUMNS, ORDER_COLUMNS, RAW_COLUMNS, conform
 from prodmart.session import pin_utc
 from prodmart.sources.landing import read_extract_csv, read_pages, union_batches
 from prodmart.sources.tables import Lakehouse, read_model_runs, scratch_path, store, write_csv
+from prodmart.streaming.incremental import ingest_pages
 
 from .fixture import EVERY, PRODUCT, fx, table
 
@@ -219,15 +220,20 @@ def by_day(m: Model) -> DataFrame:
     return m.fx.withColumn("day", F.expr("'d' || (2 - pos % 2)"))
 
 
-def q_read_pages(m: Model) -> DataFrame:
-    """Landed pages of several folders, a broken one and one without records among them; first row of each code."""
-    path = scratch_path(m.spark, "landing")
+def landed(m: Model) -> DataFrame:
+    """Bodies of pages in several day folders, a broken one and one without records among them."""
     records = by_day(m).groupBy("day", F.expr("pos DIV 100").alias("page")).agg(
         F.sort_array(F.collect_list(F.struct("pos", F.struct(*FILLED).alias("product")))).alias("records")
     )
     pages = records.select("day", "page", F.to_json(F.struct(F.col("records.product").alias("products"))).alias("value"))
     odd = m.spark.createDataFrame([("d3", 0, "<html>502"), ("d3", 1, '{"count": 0}')], "day string, page long, value string")
-    pages.unionByName(odd).write.partitionBy("day", "page").text(path)
+    return pages.unionByName(odd)
+
+
+def q_read_pages(m: Model) -> DataFrame:
+    """Landed pages; first row of each code, and the bodies in quarantine."""
+    path = scratch_path(m.spark, "landing")
+    landed(m).write.partitionBy("day", "page").text(path)
 
     rows, quarantine = read_pages(m.spark, path)
     first = first_wins(drop_missing_keys(rows), ["code"], ORDER_COLUMNS)
@@ -236,6 +242,17 @@ def q_read_pages(m: Model) -> DataFrame:
     ).unionByName(quarantine.select(F.btrim("body", F.lit("\n")).alias("body")), allowMissingColumns=True)
 
 
+def q_ingest_pages(m: Model) -> DataFrame:
+    """Two passes of the incremental ingest, the second day landing after the first pass."""
+    path, checkpoint = scratch_path(m.spark, "landing"), scratch_path(m.spark, "ingest")
+    lake = Lakehouse(m.spark, scratch_path(m.spark, "lake"))
+    for late in (False, True):
+        landing = landed(m).where((F.col("day") == "d2") == F.lit(late))
+        landing.write.mode("append").partitionBy("day", "page").text(path)
+        ingest_pages(m.spark, path, lake, checkpoint, "feed", as_of=AS_OF).awaitTermination()
+    return read_raw(lake).select("code", "product_name", "lang", "energy_kcal_100g", "fat_level")
+
+
 def q_load_csv(m: Model) -> DataFrame:
     """Extracts of several folders loaded as one batch; first row of each code in file order."""
     path = scratch_path(m.spark, "extracts")

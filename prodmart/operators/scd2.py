@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from ..sources.tables import commit, committed
+from ..sources.tables import commit, committed, path_exists, remove
 from .keyed import first_wins
 
 META = ["scd_id", "updated_at", "valid_from", "valid_to"]
@@ -83,40 +83,53 @@ class SnapshotTable:
     Version N holds all versions open after run N and those that run closed, so closed history
     is never rewritten or reshuffled. A version counts once its commit marker, written after the data, exists: a
     run that dies halfway leaves the previous version in force, and the next run overwrites the remains.
+    With `keep`, only the last `keep` versions can still be read as of then: the open rows of older ones, which later
+    versions hold again, are removed after each commit, so that storage does not grow by a table with every run.
     """
 
-    def __init__(self, spark: SparkSession, path: str):
+    def __init__(self, spark: SparkSession, path: str, keep: int | None = None):
+        if keep is not None and keep < 1:
+            raise ValueError("at least one version must be kept")
         self.spark = spark
         self.path = path.rstrip("/")
+        self.keep = keep
 
     def version(self) -> int:
         """Last committed version, 0 when there is none."""
         return max(committed(self.spark, self.path, "version"), default=0)
 
-    def _files(self, schema: T.StructType | None = None) -> DataFrame:
-        reader = self.spark.read if schema is None else self.spark.read.schema(schema)
-        return reader.option("basePath", self.path).parquet(self.path)
+    def _part(self, version: int, is_open: bool) -> str:
+        return f"{self.path}/version={version}/is_open={str(is_open).lower()}"
+
+    def _rows(self, parts: list[str]) -> DataFrame:
+        """Rows of the given parts; parts without rows have no directory, and no other directory is listed."""
+        present = [part for part in parts if path_exists(self.spark, part)]
+        if not present:
+            raise FileNotFoundError(f"no committed rows in {self.path}")
+        return self.spark.read.option("basePath", self.path).parquet(*present).drop("version", "is_open")
 
     def read(self, version: int | None = None) -> DataFrame:
         """The history as of a version, default the last one."""
-        at = self.version() if version is None else version
-        files = self._files()
-        in_force = (F.col("version") == at) & F.col("is_open")
-        history = (F.col("version") <= at) & ~F.col("is_open")
-        return files.where(in_force | history).drop("version", "is_open")
+        known = committed(self.spark, self.path, "version")
+        at = max(known, default=0) if version is None else version
+        if self.keep is not None and at in known[: -self.keep]:
+            raise ValueError(f"version {at} is older than the {self.keep} kept")
+        return self._rows([self._part(at, True)] + [self._part(v, False) for v in known if v <= at])
 
     def apply(self, incoming: DataFrame, key: str, updated_at: str) -> int:
         """Merge one input into the next version and return its number."""
         last = self.version()
-        if last == 0:
+        if last == 0 or not path_exists(self.spark, self._part(last, True)):
             merged = first_versions(newest_per_key(incoming, key, updated_at), key, updated_at)
         else:
-            open_rows = self._files().where((F.col("version") == last) & F.col("is_open"))
-            merged = merge_open(open_rows.drop("version", "is_open"), incoming, key, updated_at)
+            merged = merge_open(self._rows([self._part(last, True)]), incoming, key, updated_at)
         (
             merged.withColumn("is_open", F.col("valid_to").isNull())
             .write.mode("overwrite").option("partitionOverwriteMode", "static")
             .partitionBy("is_open").parquet(f"{self.path}/version={last + 1}")
         )
         commit(self.spark, f"{self.path}/version={last + 1}")
+        if self.keep is not None:
+            for old in committed(self.spark, self.path, "version")[: -self.keep]:
+                remove(self.spark, self._part(old, True))
         return last + 1

@@ -53,7 +53,7 @@ def build_marts(
         tables[name] = lake.refresh(model(), "marts", name, check=accept)
 
     check(quality.source_checks() + quality.staging_checks())
-    snapshot = SnapshotTable(spark, lake.path("snapshots", "products_snapshot"))
+    snapshot = SnapshotTable(spark, lake.path("snapshots", "products_snapshot"), keep=2)
     snapshot.apply(snapshot_rows(stg), SNAPSHOT_KEY, SNAPSHOT_UPDATED_AT)
 
     build("dim_brand", lambda: dim_brand(stg), quality.dim_brand_checks())

@@ -1,5 +1,6 @@
 from datetime import datetime
 
+import pytest
 from pyspark.sql import functions as F
 
 from prodmart.operators.scd2 import SnapshotTable, first_versions, scd2_apply, valid_at
@@ -75,6 +76,31 @@ def test_snapshot_table(spark, tmp_path):
     assert sorted(r["name"] for r in open_then.collect()) == ["a2", "b1", "c1"]
 
 
+def test_old_open_rows_are_removed_and_history_stays(spark, tmp_path):
+    path = tmp_path / "snap"
+    table = SnapshotTable(spark, str(path), keep=2)
+    expected = None
+    for rows in (
+        frame(spark, ("a", "a1", T1), ("b", "b1", T1)), frame(spark, ("a", "a2", T2)), frame(spark, ("a", "a3", T3)),
+    ):
+        table.apply(rows, "code", "changed")
+        expected = scd2_apply(expected, rows, "code", "changed")
+    assert history_sorted(table.read()) == history_sorted(expected)
+    assert sorted(p.parent.name for p in path.glob("version=*/is_open=true")) == ["version=2", "version=3"]
+    assert history_sorted(table.read(2)) == sorted(
+        [("a", "a1", T1, T2), ("a", "a2", T2, None), ("b", "b1", T1, None)], key=key
+    )
+    with pytest.raises(ValueError):
+        table.read(1)
+
+
+def test_empty_first_input(spark, tmp_path):
+    table = SnapshotTable(spark, str(tmp_path / "snap"))
+    rows = frame(spark, ("a", "a1", T1))
+    assert [table.apply(r, "code", "changed") for r in (rows.limit(0), rows, rows.limit(0))] == [1, 2, 3]
+    assert history_sorted(table.read()) == [("a", "a1", T1, None)]
+
+
 def test_unfinished_version_is_ignored(spark, tmp_path):
     path = str(tmp_path / "snap")
     table = SnapshotTable(spark, path)
