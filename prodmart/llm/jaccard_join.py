@@ -12,7 +12,8 @@ spanning star), never the pairs. The cost of counting all links of a group of di
 grows with the pairs in it; copies cost nothing, as they share a class.
 
 Defined results: a text without words has no shingles, so it is alone and has no link; a text of fewer than five words
-is one shingle; a null id takes part like any other, and ids of classes ignore it; repeated rows are
+is one shingle; a null id takes part like any other, and ids of classes ignore it; an id may
+stand with several texts, as classes are told apart by `class_hash` and not by their ids; repeated rows are
 copies of each other; a result column replaces an input column of its name.
 """
 
@@ -351,8 +352,9 @@ def verified(members: DataFrame, join: Join) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", join: Join | None = None) -> DataFrame:
     """One row per input row: `doc_id`, `class_id` (least id of its class: all rows that links and copies connect),
-    `copy_id` (least id of the rows with the same words), `n_copies`, `n_links` (other word sequences whose
-    similarity reaches the threshold, counted once each) and `row_hash` of the text."""
+    `class_hash` (the class itself, as ids may be null or repeat: the least hash of its word sequences, null for a text
+    without words), `copy_id` (least id of the rows with the same words), `n_copies`, `n_links` (other word sequences
+    whose similarity reaches the threshold, counted once each), `row_hash` of the text and `alone` (without words)."""
     join = join or Join()
     inner = Inner(docs)
     rows = inner.df.select(F.col(inner[doc_id]).alias("id"), inner.text(text).alias("_text"))
@@ -384,7 +386,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     nodes = classes.select("node", "copy_id", "n_copies").join(counted, "node", "left").join(roots, "node", "left")
     nodes = written(nodes.withColumn("root", F.coalesce("root", "node")), "nodes")
     heads = nodes.groupBy("root").agg(F.min("copy_id").alias("class_id"))
-    nodes = nodes.join(heads, "root").select("node", "class_id", "copy_id", "n_copies", "n_links")
+    nodes = nodes.join(heads, "root").select("node", "root", "class_id", "copy_id", "n_copies", "n_links")
     alone = F.col("node").isNull()
     return signed.select("id", "hash", "node").join(nodes, "node", "left").select(
         F.col("id").alias(doc_id),
@@ -392,6 +394,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         F.when(alone, F.col("id")).otherwise(F.col("copy_id")).alias("copy_id"),
         F.coalesce("n_copies", F.lit(1)).cast("long").alias("n_copies"),
         F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
+        F.col("root").alias("class_hash"),
         F.col("hash").alias("row_hash"),
         alone.alias("alone"),
     )
@@ -405,7 +408,7 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", join:
     inner = Inner(docs)
     found = near_duplicates(docs, doc_id, text, join)
     chosen = (
-        found.filter("not alone").groupBy("class_id")
+        found.filter("not alone").groupBy("class_hash")
         .agg(F.min(F.struct(F.col(doc_id).isNull().alias("last"), F.col(doc_id).alias("id"), "row_hash")).alias("pick"))
         .select("pick.id", "pick.row_hash", F.lit(False).alias("alone"))
     )

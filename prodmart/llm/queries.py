@@ -116,7 +116,7 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    return found.select("doc_id", "class_id", "n_links", "copy_id", "n_copies")
+    return found.select("doc_id", "class_id", "n_links", "copy_id", "n_copies", F.hex("class_hash").alias("class_hash"))
 
 
 def op7_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:

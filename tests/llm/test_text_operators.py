@@ -319,6 +319,19 @@ def test_keep_one(spark, edge, nothing):
     assert jaccard_join.keep_one(nothing).count() == 0
 
 
+def test_classes_with_null_and_repeated_ids(spark):
+    rng = random.Random(11)
+    a, b, c, d = (sentence(rng, 60) for _ in range(4))
+    near = " ".join([*c.split()[:-1], "other"])
+    rows = [(None, a), (None, a), (None, b), (7, c), (7, d), (7, d), (8, near), (None, ""), (7, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = jaccard_join.near_duplicates(docs).filter("not alone").collect()
+    sizes = sorted(sum(r.class_hash == h for r in found) for h in {r.class_hash for r in found})
+    assert sizes == [1, 2, 2, 2]
+    kept = sorted((str(r.doc_id), r.text) for r in jaccard_join.keep_one(docs).collect())
+    assert kept == sorted([("None", a), ("None", b), ("7", c), ("7", d), ("None", ""), ("7", "")])
+
+
 def test_components(spark):
     rng = random.Random(6)
     edges = [(rng.randrange(400), rng.randrange(400)) for _ in range(250)] + [(i, i + 1) for i in range(500, 560)] + [(5, 5)]
