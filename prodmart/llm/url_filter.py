@@ -6,7 +6,8 @@ the corpus is listed if it first misses an even level (or passes all of an odd n
 exact for the complete key universe, and asking needs a few bit look-ups and no join.
 
 Keys are `host/path/`: a host or any parent domain of it, with a prefix of the path that ends in a slash. A URL has
-one key for each of its last host labels and first path segments, up to what the lists use.
+one key for each of its last host labels and first path segments, up to what the lists use; and, whether it has a path or
+not, `host/` for each of those labels. The universe holds all of these.
 
 Everything here is DataFrame expressions. Bitmaps are bounded by `max_bits`; longer lists get fewer bits a key,
 which adds levels and leaves the answers exact.
@@ -144,7 +145,10 @@ def filter_urls(
     host, path = host_and_path(F.col(inner[url]).cast("string"))
     rows = inner.df.withColumns({"host": host, "path": path})
     keys = url_keys(F.col("host"), F.col("path"), labels, segments)
-    universe = rows.select(F.explode(F.array(*keys)).alias("key")).filter("key is not null")
+    # host keys have no path beyond the slash, and are asked of URLs without a path too
+    hosts = [F.concat(F.when(F.size(F.split("host", r"\.")) >= n, F.substring_index("host", ".", -n)), F.lit("/"))
+             for n in range(1, labels + 1)]
+    universe = rows.select(F.explode(F.array(*keys, *hosts)).alias("key")).filter("key is not null")
     universe = written(universe.union(spark.createDataFrame([(k,) for k in every], "key string")).distinct(), "universe")
     found = {name: build_cascade(universe, spark.createDataFrame([(k,) for k in ks], "key string")) for name, ks in lists.items()}
 
@@ -154,9 +158,6 @@ def filter_urls(
         F.when(found[v].lists(key), F.struct(F.length(key).alias("n"), F.lit(v).alias("verdict"), key.alias("key")))
         for key in named for v in ("allow", "block")
     ]
-    # host keys have no path beyond the slash
-    hosts = [F.concat(F.when(F.size(F.split("host", r"\.")) >= n, F.substring_index("host", ".", -n)), F.lit("/"))
-             for n in range(1, labels + 1)]
     rows = rows.withColumns({f"_host{n}": h for n, h in enumerate(hosts)})
     below = reduce(Column.__or__, [found["host"].lists(F.col(f"_host{n}")) for n in range(len(hosts))])
     rows = rows.withColumns({"_best": F.greatest(*fits), "_below": below})

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from prodmart.llm import chat_windows as chat, segmentations
 from prodmart.llm.html_text import extract_text, main_text
 from prodmart.llm.piece_lattice import lattices, vocabulary
+from prodmart.llm.queries import BLOCKED_HOSTS, RULES
 from prodmart.llm.revisits import canonical_url, latest_earlier, parse_records, resolve_revisits
 from prodmart.llm.textscan import blocks
 from prodmart.llm.tokenizers import TOKENIZERS, byte_pair_counter, file_bytes
@@ -63,6 +64,13 @@ def test_rules_and_urls(spark):
         filter_urls(pages, [("block", "net")], [])
 
 
+def test_hosts_without_a_path(spark):
+    hosts = [f"host{i}.example.org" for i in range(5000)]
+    pages = spark.createDataFrame([(f"http://{h}{('', '?q=1', '#x')[i % 3]}",) for i, h in enumerate([*hosts, *BLOCKED_HOSTS])], "url string")
+    rows = filter_urls(pages.union(spark.createDataFrame([("http://",)], "url string")), RULES, BLOCKED_HOSTS).collect()
+    assert sorted(r.host for r in rows if r.verdict == "block") == sorted(BLOCKED_HOSTS) and len(rows) == 5006
+
+
 # --- page text -------------------------------------------------------------------------------------------------------
 
 ARTICLE = "<h1>Head &amp; tail</h1><p>One   two\nthree &lt;b&gt;.</p><p>Short.<p><b>Bold and <i>more</i></b> text<br>here.</p><ul><li>item</ul>"
