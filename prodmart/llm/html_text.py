@@ -2,10 +2,10 @@
 
 The standard library's parser streams events; each block element gives a line of text with the number of tags and
 link characters in it. Lines get their text-to-tag ratio, the ratios are smoothed with a Gaussian, and lines over
-the threshold (the standard deviation of the smoothed ratios) are the content cluster. The region is the
-`article` or `main` element that holds most of the cluster, or else the lowest element that holds nearly
-all of it; the text is every line of the region that is not in a menu, header, footer, sidebar, notice,
-advert, form or comment section.
+the threshold (the standard deviation of the smoothed ratios) are the content cluster. The region covers the whole
+cluster: every innermost `article` or `main` element that holds some of it, and the lowest element that holds all
+lines of the cluster outside of those, with their neighbours; the text is every line of the region that is not in a
+menu, header, footer, sidebar, notice, advert, form or comment section.
 
 Defined results: null and empty pages have no text; broken markup is read as far as it goes; pages of any
 length are fed in slices and read whole; rows repeat as they come; a result column replaces an input
@@ -14,7 +14,9 @@ column of its name.
 
 from __future__ import annotations
 
+import os
 import re
+from collections import Counter
 from dataclasses import dataclass, field
 from html.parser import HTMLParser
 
@@ -26,7 +28,6 @@ from .frames import Inner, add_columns
 
 SLICE = 1 << 16
 SIGMA = 1.0
-MOST = 0.8
 
 # HTML element names.
 BLOCK = set("""address article aside blockquote body caption dd details dialog div dl dt fieldset figcaption figure footer form
@@ -42,6 +43,7 @@ consent contentinfo cookie cookies dialog disqus footer gdpr masthead menu modal
 popup promo related replies reply respond search share sharing sidebar skip social sponsor sponsored subscribe toolbar widget""".split())
 EXEMPT = {"html", "body", "main", "article"}
 PIECES = re.compile(r"[^a-z]+")
+OPEN_COMMENT = re.compile(r"<!--[^<>]*>?")
 
 
 @dataclass
@@ -51,6 +53,7 @@ class Line:
     linked: int
     apart: bool
     path: tuple[int, ...]
+    own: int  # depth of the innermost block element
 
 
 @dataclass
@@ -100,7 +103,8 @@ class Reader(HTMLParser):
         text = " ".join("".join(self.parts).split())
         if text:
             apart = any(e.apart for e in self.open)
-            self.page.lines.append(Line(text, self.tags, self.linked, apart, tuple(e.number for e in self.open)))
+            own = max((d for d, e in enumerate(self.open) if e.tag in BLOCK), default=-1)
+            self.page.lines.append(Line(text, self.tags, self.linked, apart, tuple(e.number for e in self.open), own))
         self.parts, self.tags, self.linked = [], 0, 0
 
     def shut(self, i: int) -> None:
@@ -167,6 +171,9 @@ def read_page(html: str) -> Page:
     reader = Reader()
     for at in range(0, len(html), SLICE):
         reader.feed(html[at : at + SLICE])
+    while reader.rawdata.startswith("<!--"):  # a comment that nothing ends is no text; what follows its words is read
+        reader.rawdata = OPEN_COMMENT.sub("", reader.rawdata, count=1)
+        reader.feed("")
     reader.close()
     reader.flush()
     return reader.page
@@ -194,21 +201,21 @@ def main_lines(page: Page) -> list[str]:
     content = cluster(lines)
     if not content.any():
         content = np.array([not x.apart for x in lines])
-    weight = [len(x.text) if c else 0 for x, c in zip(lines, content)]
-    whole = sum(weight)
-    held: dict[int, int] = {}
-    depth: dict[int, int] = {}
-    for x, w in zip(lines, weight):
-        for d, number in enumerate(x.path):
-            held[number] = held.get(number, 0) + w
-            depth[number] = d
-    region = {n for n in page.articles if n in held and held[n] * 2 >= whole}
-    if region:
-        inside = max(region, key=lambda n: depth[n])
-    else:
-        enough = [n for n, w in held.items() if w >= MOST * whole]
-        inside = max(enough, key=lambda n: depth[n], default=None)
-    return [x.text for x in lines if not x.apart and (inside is None or inside in x.path)]
+    held = Counter(number for x in lines for number in x.path)
+    region: set[int] = set()
+    loose: list[tuple[int, ...]] = []  # the elements around each line of the cluster that is in no article
+    for x in (x for x, c in zip(lines, content) if c):
+        article = next((n for n in reversed(x.path) if n in page.articles), None)
+        if article is not None:
+            region.add(article)
+        else:  # an element that holds this line only is the line itself
+            loose.append(x.path[: x.own + (held[x.path[x.own]] > 1)] if x.own >= 0 else ())
+    if loose:
+        around = os.path.commonprefix(loose)
+        if not around:
+            return [x.text for x in lines if not x.apart]
+        region.add(around[-1])
+    return [x.text for x in lines if not x.apart and not region.isdisjoint(x.path)]
 
 
 def main_text(html: str | None) -> str:

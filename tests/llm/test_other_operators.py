@@ -3,6 +3,7 @@
 import hashlib
 import math
 import random
+import re
 from collections import Counter
 
 import numpy as np
@@ -90,6 +91,19 @@ def test_main_text(shell):
     assert shell.endswith("%s") or main_text(page + "<!-- no end") == EXPECTED
 
 
+@pytest.mark.parametrize("shell", [
+    "<div class=content><h1>Head</h1><p>Lead words.</p><p>%s</p><p>Last words.</p></div>",
+    "<div><div><h1>Head</h1><p>%s</p></div><div><p>The second part of it goes on here.</p></div></div>",
+    "<article><h1>Head</h1><p>%s</p></article><article><p>The second part of it goes on here.</p></article>",
+    "<main><article><p>%s</p></article><article><p>The second part of it goes on here.</p></article></main>",
+])
+@pytest.mark.parametrize("n", [2, 8, 40])
+def test_whole_article(shell, n):
+    page = AROUND % (shell % ("many words " * n).strip())
+    expected = re.sub(r"(<[^>]*>)+", "\n", shell % ("many words " * n).strip()).strip()
+    assert main_text(page) == expected
+
+
 def test_pages(spark):
     rows = [(1, None), (2, ""), (3, AROUND % f"<article>{ARTICLE}</article>"), (4, "just words"), (5, "<article><p>" + "long " * 90000 + "</article>")]
     got = extract_text(spark.createDataFrame(rows, "page_id long, html string").withColumn("text", F.lit("mine")))
