@@ -331,8 +331,7 @@ def verified(members: DataFrame, join: Join) -> DataFrame:
                 i, j = i[near], j[near]
                 stay = staying(signs, i, j, join)
                 i, j = i[stay], j[stay]
-                shared = first_band(signs, i, j, join) >= 0
-                for a, b in zip(i[shared].tolist(), j[shared].tolist()):
+                for a, b in zip(i.tolist(), j.tolist()):
                     if jaccard(values[a], values[b]) >= join.threshold - 1e-12:
                         links[[a, b]] += 1
                         sets.join(a, b)

@@ -295,6 +295,20 @@ def test_near_duplicates_are_exact(spark, block):
     assert {r.doc_id: (r.class_id, r.n_links, r.copy_id) for r in got} == brute_classes(texts)
 
 
+def test_links_in_a_group_need_no_band(spark):
+    rng = random.Random(12)
+    base = sentence(rng, 120).split()
+    texts = [" ".join([*base[:i], f"x{i}", *base[i + 1 :]]) for i in range(0, 110, 10)]
+    join = jaccard_join.Join(bands=4, rows=50)  # hardly any pair shares a band of 50 values
+    block = next(blocks(pa.array(texts)))
+    node, sign = jaccard_join.sign_block(block, join)
+    value, at, _, _ = jaccard_join.shingles_of(block, join.shingle)
+    shingles = [np.unique(value[a:b]).tobytes() for a, b in zip(at[:-1], at[1:])]
+    rows = [(bytearray(n), 1, len(texts), bytearray(s), bytearray(x)) for n, s, x in zip(node, sign, shingles)]
+    members = spark.createDataFrame(rows, "node binary, `group` long, n long, sign binary, shingles binary")
+    assert {bytes(r.node): r.links for r in jaccard_join.verified(members, join).collect()} == dict.fromkeys(node, len(texts) - 1)
+
+
 def test_bayesian_pruning():
     join = jaccard_join.Join()
     assert jaccard_join.tail(0.8, 25, 25) > 0.99 and jaccard_join.tail(0.8, 0, 25) < 1e-15
