@@ -42,12 +42,13 @@ class ToxicityModel:
 class Fit:
     """sample: about how many labelled documents are used; max_features bounds the model that is sent to the tasks.
 
-    screen: standard deviations by which a feature's share of toxic documents must exceed that of all.
+    screen: the least log-likelihood ratio (G) by which a feature's share of toxic documents exceeds that of all. At a
+    share of 13 % that takes 4 purely toxic documents, at 50 % it takes 12, and at 1 % one document never does.
     """
 
     sample: int = 4000
     min_docs: int = 4
-    screen: float = 5.0
+    screen: float = 16.0
     max_features: int = 20000
     steps: int = 300
     rate: float = 0.15
@@ -96,6 +97,13 @@ def _log_clean(z: np.ndarray) -> np.ndarray:
     return -np.logaddexp(0.0, z)
 
 
+def excess(toxic: np.ndarray, n: np.ndarray, share: float) -> np.ndarray:
+    """Log-likelihood ratio (G) of `toxic` of `n` documents against the share of all; negative where there are fewer."""
+    clean = n - toxic  # a count of 0 adds nothing
+    g = 2 * (toxic * np.log(np.maximum(toxic, 1) / (n * share)) + clean * np.log(np.maximum(clean, 1) / (n * (1 - share))))
+    return np.where(toxic > n * share, g, -g)
+
+
 def fit_toxicity(samples: list[tuple[str, int]], fit: Fit | None = None) -> ToxicityModel:
     """Fit from (text, label) pairs: gradient ascent on the noisy-or likelihood of the document labels.
 
@@ -118,9 +126,9 @@ def fit_toxicity(samples: list[tuple[str, int]], fit: Fit | None = None) -> Toxi
     n_docs = np.bincount(feature, minlength=len(vocabulary))
     share = label.mean()
     toxic = np.bincount(feature, label[np.concatenate(doc_seen)], minlength=len(vocabulary))
-    z = (toxic - n_docs * share) / np.sqrt(n_docs * share * (1 - share))
-    order = np.argsort(-z, kind="stable")[: fit.max_features]
-    chosen = vocabulary[np.sort(order[(n_docs[order] >= fit.min_docs) & (z[order] >= fit.screen)])]
+    ratio = excess(toxic, n_docs, share)
+    fits = np.flatnonzero((n_docs >= fit.min_docs) & (ratio >= fit.screen))
+    chosen = vocabulary[np.sort(fits[np.argsort(-ratio[fits], kind="stable")[: fit.max_features]])]
     del seen, doc_seen, vocabulary, feature
 
     cell_sentence, cell, doc_of, n_sent = [], [], [], 0

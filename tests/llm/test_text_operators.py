@@ -176,6 +176,20 @@ def test_toxicity_learns_and_locates(spark):
     assert all(any(w in t[s.begin : s.end] for w in ("grumblet", "snarkish")) for r, t in located for s in r.offending)
 
 
+def test_toxic_words_at_other_shares_of_labels():
+    def known(word, samples, fit=None):
+        _, _, _, features, _ = toxicity.sentences_of(next(blocks(pa.array([word]))))
+        model = toxicity.fit_toxicity(samples, fit)
+        return features[0] in model.features, len(model.features)
+
+    # 2 % toxic: a mixed word, and many words that are seen once, in a toxic document
+    rare = [(" ".join([f"q{i}x{j}" for j in range(20)] * (i < 20) + ["grub"] * (i < 8 or i >= 948) + ["and"]), int(i < 20)) for i in range(1000)]
+    assert known("grub", rare, toxicity.Fit(max_features=50)) == (True, 1)
+    # half toxic: a word of 15 toxic documents and no other
+    half = [("grub and" if i < 15 else "and", int(i < 40)) for i in range(80)]
+    assert known("grub", half) == (True, 1)
+
+
 def test_noisy_or():
     model = toxicity.fit_toxicity(toxic_samples(400, 1))
     text = "an be12. you grumblet co3! du el"
