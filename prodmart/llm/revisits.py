@@ -5,8 +5,8 @@ full response of the same canonical URL (as-of join), its validators are checked
 where they agree the result has the stored body, with the stored headers updated by those headers of the 304
 that may change them.
 
-The as-of join is cut into buckets of time per URL, sized by the URL's number of capture times, so no URL is gathered
-whole: inside a bucket a window carries the last response forward; across buckets only one row per
+The as-of join is cut into buckets, ranges of the order by URL and capture time whose cut points are a sample of the
+captures themselves; a bucket holds about as many of them however they lie in time, so no URL is gathered whole: inside a bucket a window carries the last response forward; across buckets only one row per
 bucket is carried. Bodies take part only in the last join, from a response to the revisits that chose it.
 
 Defined results: records are identified by `record_id`; equal capture times of a URL count as one moment, at which the
@@ -18,10 +18,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ..operators.ranks import with_ranges
 from .frames import written
 from .url_filter import host_and_path
 
 BUCKET = 4096
+MAX_BUCKETS = 1 << 14  # bounds the list of cut points; beyond it buckets get larger
 # Headers a 304 must not change, because they describe the message that carries them.
 NOT_MERGED = """connection content-encoding content-length content-md5 content-range content-type keep-alive
 proxy-authenticate proxy-authorization proxy-connection te trailer transfer-encoding upgrade""".split()
@@ -71,16 +73,17 @@ def parse_records(records: DataFrame, raw: str = "raw") -> DataFrame:
     )
 
 
+def bucketed(moments: DataFrame, bucket: int = BUCKET) -> DataFrame:
+    """Add `bucket`, numbers that grow with (key, at), of about `bucket` rows each."""
+    n = -(-moments.count() // bucket)
+    ranges = min(MAX_BUCKETS, 1 << max(1, (n - 1).bit_length()))
+    return with_ranges(moments, ["key", "at"], ranges=ranges).withColumnRenamed("_range", "bucket")
+
+
 def latest_earlier(moments: DataFrame, bucket: int = BUCKET) -> DataFrame:
     """moments: one row per (key, at), with `found` (null where there is none). Adds `earlier`, the last `found` of the
     key before `at`."""
-    span = moments.groupBy("key").agg(F.count("*").alias("n"), F.min("at").alias("low"), F.max("at").alias("high"))
-    size = F.ceil(F.col("n") / bucket)
-    width = F.unix_micros("high") - F.unix_micros("low") + 1
-    share = (F.unix_micros("at") - F.unix_micros("low")) / width
-    dealt = written(
-        moments.join(span, "key").withColumn("bucket", F.floor(share * size).cast("long")).drop("n", "low", "high"), "moments"
-    )
+    dealt = bucketed(written(moments, "moments"), bucket)
     lasts = dealt.filter("found is not null").groupBy("key", "bucket").agg(F.max_by("found", "at").alias("last"))
     chain = dealt.select("key", "bucket").distinct().join(lasts, ["key", "bucket"], "left")
     before = Window.partitionBy("key").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)

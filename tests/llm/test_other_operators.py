@@ -15,7 +15,7 @@ from prodmart.llm import chat_windows as chat, segmentations
 from prodmart.llm.html_text import extract_text, main_text
 from prodmart.llm.piece_lattice import lattices, vocabulary
 from prodmart.llm.queries import BLOCKED_HOSTS, RULES
-from prodmart.llm.revisits import canonical_url, latest_earlier, parse_records, resolve_revisits
+from prodmart.llm.revisits import bucketed, canonical_url, latest_earlier, parse_records, resolve_revisits
 from prodmart.llm.textscan import blocks
 from prodmart.llm.tokenizers import TOKENIZERS, byte_pair_counter, file_bytes
 from prodmart.llm.url_filter import build_cascade, filter_urls
@@ -188,6 +188,16 @@ def test_latest_earlier(spark, bucket):
         assert got[k, t] == (before[-1][2] if before else None)
 
 
+def test_buckets_follow_the_captures(spark):
+    # one URL with a stray date and a burst
+    rows = [("a", 0)] + [("a", 1_700_000_000 + i) for i in range(6000)] + [(f"k{i}", i) for i in range(50)]
+    frame = spark.createDataFrame(rows, "key string, s long").select("key", F.timestamp_seconds("s").alias("at"))
+    dealt = bucketed(frame, 64).groupBy("key", "bucket").agg(F.count("*").alias("n"), F.min("at").alias("low"), F.max("at").alias("high")).collect()
+    assert max(r.n for r in dealt) <= 64 * 8 and sum(r.n for r in dealt) == len(rows)
+    own = sorted((r for r in dealt if r.key == "a"), key=lambda r: r.bucket)
+    assert all(x.high < y.low for x, y in zip(own, own[1:]))
+
+
 def record(kind, number, url, minute, http="", warc="", body=""):
     status = "HTTP/1.1 200 OK" if kind == "response" else "HTTP/1.1 304 Not Modified"
     return (
