@@ -103,7 +103,8 @@ def training_texts(
 
     The sample is the labelled ids that are not held out whose hash lies below a share of its range, so no
     task sorts or gathers candidates. An id labelled twice counts as 1 when any of its labels is. Of rows
-    that repeat an id, each is used.
+    that repeat an id, the one whose text has the least hash is used: the bound holds for rows, and the others are
+    reduced on Spark, in every task before its rows meet.
     """
     known = (
         labels.filter(F.col("doc_id").isNotNull() & F.col(label).isNotNull() & ~held_out(F.col("doc_id")))
@@ -114,7 +115,9 @@ def training_texts(
         return []
     share = min(1.0, rows / total)
     chosen = known.filter(F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(1 << 20)) < int(share * (1 << 20)))
-    found = docs.select("doc_id", F.col(text).cast("string").alias("text")).join(chosen, "doc_id")
-    table = found.select(F.coalesce("text", F.lit("")).alias("text"), "label", "doc_id").toArrow()
+    texts = docs.select("doc_id", F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
+    found = texts.join(F.broadcast(chosen), "doc_id")  # about `rows` ids; rows of a common id stay where they are
+    first = F.min(F.struct(F.xxhash64("text").alias("hash"), "text"))["text"]
+    table = found.groupBy("doc_id", "label").agg(first.alias("text")).toArrow()
     order = sorted(range(table.num_rows), key=lambda i: (table["doc_id"][i].as_py(), table["text"][i].as_py()))
     return [(table["text"][i].as_py(), table["label"][i].as_py()) for i in order]

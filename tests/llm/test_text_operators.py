@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from prodmart.llm import jaccard_join, line_quality, toxicity
 from prodmart.llm.components import components
 from prodmart.llm.decontaminate import contaminated, drop_contaminated, words
+from prodmart.llm.frames import held_out, training_texts
 from prodmart.llm.quality_rules import MEASURES, Rules, keep_good, measure, prior, quality_rules
 from prodmart.llm.textscan import WORD, blocks, grams, words_of
 
@@ -190,6 +191,14 @@ def test_toxic_words_at_other_shares_of_labels():
     assert known("grub", half) == (True, 1)
 
 
+def test_training_rows_are_bounded(spark):
+    docs = spark.createDataFrame([(1 + i % 30 * (i < 60), f"text {i}") for i in range(600)] + [(3, None)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(1, 40)], "doc_id long, toxic int")
+    got = training_texts(docs, labels, "toxic", 4000)
+    ids = docs.filter(~held_out(F.col("doc_id"))).select("doc_id").distinct().count()
+    assert 20 < len(got) == ids and got == training_texts(docs.repartition(7), labels, "toxic", 4000)
+
+
 def test_noisy_or():
     model = toxicity.fit_toxicity(toxic_samples(400, 1))
     text = "an be12. you grumblet co3! du el"
