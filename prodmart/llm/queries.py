@@ -8,17 +8,21 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from . import chat_windows as chat, line_quality, toxicity
 from .decontaminate import contaminated
-from .frames import held_out, training_texts
+from .exact_dedup import exact_duplicates, full_hash, normalized
+from .frames import held_out, training_texts, written
 from .html_text import extract_text
 from .jaccard_join import near_duplicates
+from .periodic_runs import periodic_runs
 from .quality_rules import MEASURES, quality_measures
 from .revisits import parse_records, resolve_revisits
 from .segmentations import segmentations_only
 from .url_filter import filter_urls
+from .whitening import fit_whitening, identity_error, whiten
 
 QUALITY_LIMIT = 0.3
 TOXICITY_LIMIT = 0.5
 SEGMENTATIONS = 3
+COMPONENTS = 32
 
 RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")]
 BLOCKED_HOSTS = [
@@ -141,11 +145,58 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(pages, RULES, BLOCKED_HOSTS).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    model = fit_whitening(vectors, components=COMPONENTS)
+    rows = written(whiten(vectors, model).select("vec_id", "deviation", "whitened"), "whitened")
+    error = identity_error(rows, model.n, len(model.components))
+    explained = F.array(*(F.lit(x) for x in model.explained)).cast("array<double>")
+    return rows.select("vec_id", "deviation", F.posexplode("whitened").alias("at", "whitened")).select(
+        "vec_id", (F.col("at") + 1).alias("component"), F.lit(model.n).cast("long").alias("n"), "deviation", "whitened",
+        F.get(explained, F.col("at")).alias("explained"), F.lit(error).cast("double").alias("identity_error"),
+    )
+
+
+def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return exact_duplicates(docs, ["doc_id"], more={"text_sha256": full_hash}).select(
+        "doc_id", "keep_id", "group_size", "kept", "text_sha256"
+    )
+
+
+def with_planted_runs(docs: DataFrame) -> DataFrame:
+    """Every tenth document by the crc32 of its id gets a tail that repeats its first words; a null id is left alone."""
+    blank_free = F.trim(normalized(F.col("text")))
+    known = docs.select("doc_id", "text", F.crc32(F.col("doc_id").cast("string").cast("binary")).alias("h"))
+    chosen = known.withColumn("w", F.when((F.col("h") % 10 == 0) & (blank_free != ""), F.split(blank_free, " ")))
+    sized = chosen.withColumn("g", F.expr("h DIV 10")).withColumn("n", F.size("w"))
+    cut = sized.withColumn("a", F.expr("CAST(if(n > 0, g % n, 0) AS INT)"))
+    repeated = cut.withColumn("p", F.expr("CAST(1 + (n - a) DIV (3 + g % 8) AS INT)"))
+    tail = "slice(flatten(array_repeat(slice(w, a + 1, p), CAST(ceil((n - a) / p) AS INT))), 1, n - a)"
+    planted = F.expr(f"array_join(concat(slice(w, 1, a), {tail}), ' ')")
+    return repeated.select("doc_id", F.when(F.col("w").isNotNull(), planted).otherwise(F.col("text")).alias("text"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = periodic_runs(with_planted_runs(docs)).select("doc_id", "runs", "collapsed")
+    best = F.expr("""aggregate(runs, CAST(NULL AS STRUCT<start: BIGINT, length: BIGINT, period: BIGINT>),
+        (best, r) -> if(best IS NULL OR r.length * best.period > best.length * r.period, r, best))""")
+    listed = F.expr("array_join(transform(runs, r -> concat(r.start, ',', r.length, ',', r.period, '\n')), '')")
+    return found.withColumn("best", best).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("1000 * best.length DIV best.period").alias("exponent_milli"),
+        F.sha2(listed.cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_decontamination, op2_line_quality, op3_html_text, op4_revisits, op5_toxicity, op6_near_duplicates,
-        op7_chat_windows, op8_quality_rules, op9_segmentations, op10_url_filter,
+        op7_chat_windows, op8_quality_rules, op9_segmentations, op10_url_filter, op11_whitening, op12_exact_dedup,
+        op13_periodic_runs,
     )
 }
 
@@ -254,6 +305,14 @@ ORACLE = {
                NOT (f1 OR f2) AND NOT host_rejected AS kept
         FROM judged JOIN verdict USING (host)
     """,
+    "op12_exact_dedup": r"""
+        WITH doc AS (
+            SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents
+        )
+        SELECT doc_id, min(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size,
+               row_number() OVER (PARTITION BY t ORDER BY doc_id) = 1 AS kept, sha256(t) AS text_sha256
+        FROM doc
+    """,
     "op10_url_filter": r"""
         WITH page AS (
             SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages
