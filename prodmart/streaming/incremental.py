@@ -11,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ..plans.clean import clean_products
 from ..plans.load import load_raw
 from ..sources.landing import PAGE_OPTIONS, PAGE_SCHEMA, bad_pages, page_rows
-from ..sources.tables import Lakehouse, write_batch
+from ..sources.tables import Lakehouse
 
 
 def ingest_pages(
@@ -26,8 +26,8 @@ def ingest_pages(
     """Start one pass over the new files of a landing directory (`availableNow`).
 
     A micro-batch of at most `files_per_batch` files is parsed once, cleaned and appended like a daily
-    load. Its batch id is made of `name` and the batch number, so a batch repeated after a failure
-    overwrites its own directories; give each checkpoint its own `name`.
+    load, unreadable pages beside it. Its batch id is made of `name` and the batch number, so a batch repeated after a failure
+    replaces itself; give each checkpoint its own `name`.
     """
     reader = spark.readStream.schema(PAGE_SCHEMA).options(**PAGE_OPTIONS)
     pages = (
@@ -41,8 +41,7 @@ def ingest_pages(
         # Two outputs; a block lost with its executor is parsed again.
         batch.persist(StorageLevel.DISK_ONLY)
         try:
-            write_batch(bad_pages(batch), lake.path("raw", "quarantine"), batch_id)
-            load_raw(lake, clean_products(page_rows(batch), batch_id, stamp), batch_id)
+            load_raw(lake, clean_products(page_rows(batch), batch_id, stamp), batch_id, bad_pages(batch))
         finally:
             batch.unpersist()
 

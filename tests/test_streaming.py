@@ -2,7 +2,7 @@ import json
 
 from pyspark.sql import functions as F
 
-from prodmart.plans.load import read_raw
+from prodmart.plans.load import read_quarantine, read_raw
 from prodmart.sources.tables import Lakehouse
 from prodmart.streaming.incremental import ingest_pages
 
@@ -30,7 +30,7 @@ def test_two_passes(spark, tmp_path):
     assert run(spark, folder, lake, tmp_path) == [("a", "a1"), ("b", "b1")]
     page(folder, "page_4.json", ("b", "B2"), ("c", "C1"))
     assert run(spark, folder, lake, tmp_path) == [("a", "a1"), ("b", "b1"), ("c", "c1")]
-    assert spark.read.parquet(lake.path("raw", "quarantine")).count() == 1
+    assert [r["body"] for r in read_quarantine(lake).collect()] == ["<html>"]
 
 
 def test_one_file_per_batch(spark, tmp_path):
