@@ -86,14 +86,16 @@ def exact_quantiles(long: DataFrame, group: str, value: str, points: list[float]
     """Linear-interpolation quantiles of `value` per `group`, one column `q0, q1, ...` per point.
 
     One row per group is joined back; Spark broadcasts them when their size allows. Values are counted
-    first, so repeated ones shuffle once, and no group is gathered in one task.
+    first, so repeated ones shuffle once, and neither a group nor the list of groups is gathered in one task. NULL is a
+    group like any other.
     """
     counted = long.where(F.col(value).isNotNull()).groupBy(group, value).agg(F.count(F.lit(1)).alias("_n"))
     ranked = running_total(counted, [group, value], F.col("_n"), "_upto", ranges)
     sizes = counted.groupBy(group).agg(F.sum("_n").alias("_size"))
-    before = Window.orderBy(group).rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select(group, "_size", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_start"))
-    rows = ranked.join(starts, group).withColumn("_rank", F.col("_upto") - F.col("_start"))
+    starts = running_total(sizes, [group], F.col("_size"), "_end", ranges).select(
+        F.col(group).alias("_group"), "_size", (F.col("_end") - F.col("_size")).alias("_start")
+    )
+    rows = ranked.join(starts, F.col(group).eqNullSafe(F.col("_group"))).withColumn("_rank", F.col("_upto") - F.col("_start"))
 
     lows, highs = [], []
     for i, point in enumerate(points):

@@ -3,13 +3,19 @@
 Rules: a new key is inserted; a row newer than the open one closes it and is inserted; an equal
 or older row changes nothing; a key missing from the input stays open. Of several input rows with
 one key the newest counts; a missing key is a key like any other.
+
+The history adds the columns `META`. A change column of the name `updated_at` is the history's own; any other input
+column of one of these names is kept as `source_<name>`.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from ..sources.tables import commit, committed, path_exists, remove
+from ..sources.commits import CommitLog, Conflict
+from ..sources.tables import path_exists, remove, store
 from .keyed import first_wins
 
 META = ["scd_id", "updated_at", "valid_from", "valid_to"]
@@ -23,30 +29,46 @@ def version_id(df: DataFrame, key: str, updated_at: str) -> Column:
     return F.md5(F.concat_ws("|", F.col(key).cast("string"), moment.cast("string")))
 
 
+def own_columns(incoming: DataFrame, key: str, updated_at: str) -> tuple[DataFrame, str, str]:
+    """The input, its key and its change column under names that do not clash with the history's."""
+    clash = {c: f"source_{c}" for c in incoming.columns if c in META and not c == updated_at == "updated_at"}
+    return incoming.withColumnsRenamed(clash), clash.get(key, key), clash.get(updated_at, updated_at)
+
+
 def newest_per_key(incoming: DataFrame, key: str, updated_at: str) -> DataFrame:
     """One row per key: the newest, of equally new ones the least by its other columns."""
     comparable = [f.name for f in incoming.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
     return first_wins(incoming, [key], [F.col(updated_at).desc_nulls_last(), *comparable])
 
 
+def _opened(rows: DataFrame, key: str, updated_at: str) -> DataFrame:
+    moment = F.col(updated_at)
+    return rows.select(
+        *[c for c in rows.columns if c != "updated_at"],
+        version_id(rows, key, updated_at).alias("scd_id"),
+        moment.alias("updated_at"),
+        moment.alias("valid_from"),
+        F.lit(None).cast(rows.schema[updated_at].dataType).alias("valid_to"),
+    )
+
+
 def first_versions(incoming: DataFrame, key: str, updated_at: str) -> DataFrame:
     """Every incoming row as an open version."""
-    return incoming.select(
-        "*",
-        version_id(incoming, key, updated_at).alias("scd_id"),
-        F.col(updated_at).alias("updated_at"),
-        F.col(updated_at).alias("valid_from"),
-        F.lit(None).cast(incoming.schema[updated_at].dataType).alias("valid_to"),
-    )
+    return _opened(*own_columns(incoming, key, updated_at))
+
 
+def _newest_versions(incoming: DataFrame, key: str, updated_at: str) -> tuple[DataFrame, str]:
+    """The newest row of every key as an open version, and the key's name."""
+    rows, key, updated_at = own_columns(incoming, key, updated_at)
+    return _opened(newest_per_key(rows, key, updated_at), key, updated_at), key
 
-def merge_open(open_rows: DataFrame, incoming: DataFrame, key: str, updated_at: str) -> DataFrame:
-    """Open versions against the input: a single full outer join, whose shuffle also serves to pick the newest rows.
+
+def merge_open(open_rows: DataFrame, new: DataFrame, key: str) -> DataFrame:
+    """Open versions against new ones, at most one a key: a single full outer join.
 
     Returns rows still open and rows closed just now.
     """
-    names = incoming.columns + META
-    new = first_versions(newest_per_key(incoming, key, updated_at), key, updated_at)
+    names = new.columns
     pairs = open_rows.select(F.col(key).alias("_old_key"), F.struct(*names).alias("_old")).join(
         new.select(F.col(key).alias("_new_key"), F.struct(*names).alias("_new")),
         F.col("_old_key").eqNullSafe(F.col("_new_key")),
@@ -62,12 +84,13 @@ def merge_open(open_rows: DataFrame, incoming: DataFrame, key: str, updated_at:
 
 
 def scd2_apply(current: DataFrame | None, incoming: DataFrame, key: str, updated_at: str) -> DataFrame:
-    """The whole history after one input; closed versions pass by without a shuffle."""
+    """The whole history after one input; closed versions pass by without a shuffle. The shuffle of the join
+    with the open ones also serves to pick each key's newest row."""
+    new, key = _newest_versions(incoming, key, updated_at)
     if current is None:
-        return first_versions(newest_per_key(incoming, key, updated_at), key, updated_at)
+        return new
     closed = current.where(F.col("valid_to").isNotNull())
-    merged = merge_open(current.where(F.col("valid_to").isNull()), incoming, key, updated_at)
-    return closed.unionByName(merged)
+    return closed.unionByName(merge_open(current.where(F.col("valid_to").isNull()), new, key))
 
 
 def valid_at(history: DataFrame, moment: Column) -> DataFrame:
@@ -78,58 +101,121 @@ def valid_at(history: DataFrame, moment: Column) -> DataFrame:
 
 
 class SnapshotTable:
-    """History on plain Parquet: `<path>/version=N/is_open=true|false`.
+    """History on plain Parquet, in hash buckets of the key that are copied on write.
+
+    A run reads the key and change time of the open rows in the buckets its input falls in, and writes anew only
+    the buckets in which something changes: `_part=N-x/_open=true/_bucket=B` with their open rows, and the rows it closes
+    beside them. So what a run reads and writes grows with the buckets its input touches, not with the table;
+    an input without changes writes no rows at all. Take about as many buckets as the open rows fill files.
 
-    Version N holds all versions open after run N and those that run closed, so closed history
-    is never rewritten or reshuffled. A version counts once its commit marker, written after the data, exists: a
-    run that dies halfway leaves the previous version in force, and the next run overwrites the remains.
-    With `keep`, only the last `keep` versions can still be read as of then: the open rows of older ones, which later
-    versions hold again, are removed after each commit, so that storage does not grow by a table with every run.
+    The commit of a version names the part that holds each bucket's open rows and the parts with closed rows. A run that
+    dies leaves the version before in force. Of two runs at a time one commits, the other merges again on top of it.
+    With `keep`, only the last `keep` versions can still be read as of then; parts that only older ones need are removed.
     """
 
-    def __init__(self, spark: SparkSession, path: str, keep: int | None = None):
+    BUCKETS = 16
+
+    def __init__(self, spark: SparkSession, path: str, keep: int | None = None, buckets: int = BUCKETS):
         if keep is not None and keep < 1:
             raise ValueError("at least one version must be kept")
         self.spark = spark
         self.path = path.rstrip("/")
         self.keep = keep
+        self.buckets = buckets  # of a new table; a stored one knows its own
+        self.log = CommitLog(spark, self.path)
 
     def version(self) -> int:
         """Last committed version, 0 when there is none."""
-        return max(committed(self.spark, self.path, "version"), default=0)
+        return self.log.version()
 
-    def _part(self, version: int, is_open: bool) -> str:
-        return f"{self.path}/version={version}/is_open={str(is_open).lower()}"
+    def _state(self, version: int) -> dict:
+        return self.log.entry(version) if version else {"buckets": self.buckets, "open": {}, "closed": [], "schema": None}
 
-    def _rows(self, parts: list[str]) -> DataFrame:
-        """Rows of the given parts; parts without rows have no directory, and no other directory is listed."""
-        present = [part for part in parts if path_exists(self.spark, part)]
-        if not present:
-            raise FileNotFoundError(f"no committed rows in {self.path}")
-        return self.spark.read.option("basePath", self.path).parquet(*present).drop("version", "is_open")
+    def _open_dirs(self, state: dict, buckets: list[int] | None = None) -> list[str]:
+        chosen = state["open"] if buckets is None else {str(b) for b in buckets} & set(state["open"])
+        return sorted(f"{self.path}/_part={state['open'][b]}/_open=true/_bucket={b}" for b in chosen)
+
+    def _rows(self, state: dict, dirs: list[str]) -> DataFrame:
+        schema = T.StructType.fromJson(state["schema"])
+        if not dirs:
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).option("basePath", self.path).parquet(*dirs).select(*schema.names)
 
     def read(self, version: int | None = None) -> DataFrame:
         """The history as of a version, default the last one."""
-        known = committed(self.spark, self.path, "version")
-        at = max(known, default=0) if version is None else version
-        if self.keep is not None and at in known[: -self.keep]:
-            raise ValueError(f"version {at} is older than the {self.keep} kept")
-        return self._rows([self._part(at, True)] + [self._part(v, False) for v in known if v <= at])
-
-    def apply(self, incoming: DataFrame, key: str, updated_at: str) -> int:
-        """Merge one input into the next version and return its number."""
         last = self.version()
-        if last == 0 or not path_exists(self.spark, self._part(last, True)):
-            merged = first_versions(newest_per_key(incoming, key, updated_at), key, updated_at)
-        else:
-            merged = merge_open(self._rows([self._part(last, True)]), incoming, key, updated_at)
+        at = last if version is None else version
+        if not 0 < at <= last:
+            raise FileNotFoundError(f"no version {at} of {self.path}")
+        if self.keep is not None and at <= last - self.keep:
+            raise ValueError(f"version {at} is older than the {self.keep} kept")
+        state = self._state(at)
+        closed = [f"{self.path}/_part={part}/_open=false" for part in state["closed"]]
+        return self._rows(state, self._open_dirs(state) + closed)
+
+    def apply(self, incoming: DataFrame, key: str, updated_at: str, attempts: int = 20) -> int:
+        """Merge one input into the next version and return its number. Its columns must be those of the first one."""
+        new, key = _newest_versions(incoming, key, updated_at)
+        rows: DataFrame | None = None
+        for _ in range(attempts):
+            version = self.version() + 1
+            state = self._state(version - 1)
+            schema = T.StructType.fromJson(state["schema"]) if state["schema"] else new.schema
+            if set(schema.names) != set(new.columns):
+                raise ValueError(f"columns of {self.path} are {schema.names}, not {new.columns}")
+            state = {**state, "schema": schema.jsonValue()}
+            bucket = F.pmod(F.xxhash64(key), F.lit(state["buckets"])).cast("int")
+            if rows is None:
+                rows = store(new.select(*schema.names, bucket.alias("_bucket")), "history_input")
+            state = self._merged(state, rows, key, bucket, version)
+            try:
+                self.log.commit(version, state)
+            except Conflict:
+                continue
+            self._remove_old(version)
+            return version
+        raise Conflict(f"{self.path}: lost {attempts} races")
+
+    def _merged(self, state: dict, rows: DataFrame, key: str, bucket: Column, version: int) -> dict:
+        """Write what the input changes and return the new state."""
+        names = T.StructType.fromJson(state["schema"]).names
+        known = self._rows(state, self._open_dirs(state, _buckets(rows))).select(
+            F.col(key).alias("_key"), F.col("updated_at").alias("_since"), F.lit(True).alias("_known")
+        )
+        changes = store(
+            rows.join(known, F.col(key).eqNullSafe(F.col("_key")), "left")
+            .where(F.col("_known").isNull() | (F.col("updated_at") > F.col("_since")))
+            .select(*names, "_bucket"),
+            "history_changes",
+        )
+        touched = _buckets(changes)
+        if not touched:
+            return state
+        part = f"{version}-{uuid.uuid4().hex[:12]}"
+        merged = merge_open(self._rows(state, self._open_dirs(state, touched)), changes.select(*names), key)
         (
-            merged.withColumn("is_open", F.col("valid_to").isNull())
-            .write.mode("overwrite").option("partitionOverwriteMode", "static")
-            .partitionBy("is_open").parquet(f"{self.path}/version={last + 1}")
+            merged.withColumns({"_open": F.col("valid_to").isNull(), "_bucket": bucket})
+            .repartition("_bucket")
+            .write.partitionBy("_open", "_bucket").parquet(f"{self.path}/_part={part}")
         )
-        commit(self.spark, f"{self.path}/version={last + 1}")
-        if self.keep is not None:
-            for old in committed(self.spark, self.path, "version")[: -self.keep]:
-                remove(self.spark, self._part(old, True))
-        return last + 1
+        closes = path_exists(self.spark, f"{self.path}/_part={part}/_open=false")
+        return {
+            **state,
+            "open": {**state["open"], **{str(b): part for b in touched}},
+            "closed": state["closed"] + [part] * closes,
+        }
+
+    def _remove_old(self, version: int) -> None:
+        """Remove the open rows that only versions no longer kept refer to; a run that died before this is made up for."""
+        if self.keep is None or version <= self.keep:
+            return
+        last_gone = version - self.keep
+        kept = {d for _, state in self.log.entries(last_gone, version) for d in self._open_dirs(state)}
+        for _, state in self.log.entries(max(0, last_gone - 8), last_gone):
+            for path in set(self._open_dirs(state)) - kept:
+                remove(self.spark, path)
+
+
+def _buckets(rows: DataFrame) -> list[int]:
+    """Buckets that occur; there are not more than the table has."""
+    return [r[0] for r in rows.select("_bucket").distinct().collect()]

@@ -54,3 +54,17 @@ def test_exact_quantiles(spark):
     got = {r["g"]: r[1:] for r in exact_quantiles(df, "g", "v", points).collect()}
     for name, values in data.items():
         assert got[name] == pytest.approx(np.quantile(values, points), abs=1e-12)
+
+
+def test_exact_quantiles_with_a_null_group(spark):
+    """Groups around NULL keep their offsets, and NULL itself has quantiles."""
+    rows = [("a", 1.0), ("a", 3.0), (None, 5.0), (None, 6.0), ("b", 9.0), (None, None), ("c", None)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    got = {r["g"]: (r["q0"], r["q1"]) for r in exact_quantiles(df, "g", "v", [0.5, 1.0]).collect()}
+    assert got == {"a": (2.0, 3.0), None: (5.5, 6.0), "b": (9.0, 9.0)}
+
+
+def test_many_groups_do_not_meet_in_one_task(spark):
+    df = spark.range(3000).select((F.col("id") % 1000).alias("g"), F.col("id").cast("double").alias("v"))
+    found = exact_quantiles(df, "g", "v", [0.0, 0.5])
+    assert {(r["g"], r["q0"], r["q1"]) for r in found.collect()} == {(g, float(g), float(g + 1000)) for g in range(1000)}
