@@ -511,6 +511,26 @@ ORACLE = {
     ),
 }
 ORACLE["q_csv_extract"] = sql("fx", f"SELECT {', '.join(FILLED)} FROM fx")
+ORACLE["q_csv_headers"] = sql(
+    "fx",
+    f"""SELECT {', '.join(f"CASE WHEN pos % 3 < 2 THEN {c} END AS {c}" if c in ('owner', 'nova_group') else c for c in FILLED)}
+    FROM fx""",
+)
+ORACLE["q_load_batch_counts"] = sql(
+    "cleaned",
+    """SELECT 'first' AS batch_id, count(*) AS received, CAST(0 AS BIGINT) AS rejected, count(DISTINCT code) AS inserted
+    FROM cleaned WHERE lang = 'en'
+    UNION ALL SELECT 'second', count(*), count(*) FILTER (bad), count(DISTINCT code) FILTER (NOT bad AND NOT known)
+    FROM (SELECT code, pos % 6 = 0 AND length(lang) > 1 AS bad, bool_or(lang = 'en') OVER (PARTITION BY code) AS known FROM cleaned)""",
+)
+ORACLE["q_scd2_own_names"] = sql(
+    "cust",
+    """SELECT o_custkey AS source_scd_id, status AS source_valid_to, o_orderkey, scd_id, updated_at, valid_from, valid_to
+    FROM cust""",
+)
+ORACLE["q_quantiles_lineitem"] = """SELECT nullif(l_returnflag, 'R') AS flag,
+    round(quantile_cont(CAST(l_extendedprice AS DOUBLE), 0.25), 4) AS q0, round(quantile_cont(CAST(l_extendedprice AS DOUBLE), 0.5), 4) AS q1,
+    round(quantile_cont(CAST(l_extendedprice AS DOUBLE), 0.75), 4) AS q2 FROM lineitem GROUP BY 1"""
 ORACLE["q_union_batches"] = """SELECT * FROM documents
     UNION ALL BY NAME SELECT conv_id, turn, role, text FROM conversations"""
 ORACLE["q_load_raw"] = sql(

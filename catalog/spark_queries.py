@@ -14,7 +14,7 @@ from prodmart.functions import (
 from prodmart.functions.text import replace_value
 from prodmart.operators import profile, quality
 from prodmart.operators.keyed import append_new, first_wins, validate_rows
-from prodmart.operators.ranks import dense_ids
+from prodmart.operators.ranks import dense_ids, exact_quantiles
 from prodmart.operators.scd2 import SnapshotTable, first_versions, scd2_apply, valid_at
 from prodmart.plans import marts, reports, staging, star
 from prodmart.plans.clean import clean_products, drop_missing_keys, drop_time_travel, modified_before_created
@@ -265,6 +265,16 @@ def q_load_csv(m: Model) -> DataFrame:
     return read_raw(lake).select("code", "product_name", "lang", "energy_kcal_100g", "fat_level")
 
 
+def q_csv_headers(m: Model) -> DataFrame:
+    """Extracts whose files differ in the order and number of their columns."""
+    path = scratch_path(m.spark, "drifting")
+    headers = [FILLED, sorted(FILLED), [c for c in reversed(FILLED) if c not in ("owner", "nova_group")]]
+    for i, names in enumerate(headers):
+        rows = m.fx.where(F.col("pos") % 3 == i).select(*names)
+        write_csv(rows.withColumn("surplus", F.lit("x")) if i == 1 else rows, f"{path}/feed_{i}")
+    return read_extract_csv(m.spark, f"{path}/*").select(*FILLED)
+
+
 def q_union_batches(m: Model) -> DataFrame:
     return union_batches(m.table("documents"), m.table("conversations"))
 
@@ -291,6 +301,18 @@ def q_load_counts(m: Model) -> DataFrame:
     return reduce(DataFrame.unionByName, counts)
 
 
+def q_load_batch_counts(m: Model) -> DataFrame:
+    """What `load_raw` counts while it writes: two batches, the second with names that are too long and known codes."""
+    lake = Lakehouse(m.spark, scratch_path(m.spark, "lake"))
+    long_lang = F.when(F.col("pos") % 6 == 0, F.repeat("lang", F.lit(9))).otherwise(F.col("lang"))
+    feeds = {"first": m.fx.where("lang = 'en'"), "second": m.fx.withColumn("lang", long_lang)}
+    rows = []
+    for batch_id, feed in feeds.items():
+        counts = load_raw(lake, clean_products(feed, batch_id, AS_OF), batch_id)
+        rows.append((batch_id, counts.received, counts.rejected, counts.inserted))
+    return m.spark.createDataFrame(rows, "batch_id string, received long, rejected long, inserted long")
+
+
 def q_time_sanity(m: Model) -> DataFrame:
     return drop_time_travel(m.raw).select("code", "created_t", "last_modified_t")
 
@@ -458,6 +480,16 @@ def q_scd2_orders(m: Model) -> DataFrame:
     return order_history(m)
 
 
+def q_scd2_own_names(m: Model) -> DataFrame:
+    """The order history when the input's columns are named like the history's own, through a stored table."""
+    orders = m.table("orders")
+    table = SnapshotTable(m.spark, scratch_path(m.spark, "snapshot"))
+    for rows in (orders.where(F.col("o_orderdate") < CUT), orders):
+        state = customer_state(rows).withColumnsRenamed({"seen_at": "updated_at", "status": "valid_to", "o_custkey": "scd_id"})
+        table.apply(state, "scd_id", "updated_at")
+    return table.read()
+
+
 def q_scd2_valid_at(m: Model) -> DataFrame:
     return valid_at(order_history(m), F.lit(CUT).cast("timestamp")).select("o_custkey", "status", "seen_at")
 
@@ -569,6 +601,13 @@ def q_describe_lineitem(m: Model) -> DataFrame:
     return rounded_description(profile.describe_numeric(m.table("lineitem"), names))
 
 
+def q_quantiles_lineitem(m: Model) -> DataFrame:
+    """Quartiles of a group that is missing for a third of the rows."""
+    lines = m.table("lineitem").selectExpr("nullif(l_returnflag, 'R') AS flag", "CAST(l_extendedprice AS DOUBLE) AS price")
+    found = exact_quantiles(lines, "flag", "price", [0.25, 0.5, 0.75])
+    return found.select("flag", *[F.round(f"q{i}", 4).alias(f"q{i}") for i in range(3)])
+
+
 def q_sample_values(m: Model) -> DataFrame:
     return profile.sample_values(m.fx)
 
@@ -598,11 +637,9 @@ def q_element_count(m: Model) -> DataFrame:
 
 
 def q_audit(m: Model) -> DataFrame:
-    """The audit log after each model was logged, if this directory has rows to build from."""
-    lake = Lakehouse(m.spark, scratch_path(m.spark, "lake"))
-    for name in MODELS if not m.stg.isEmpty() else []:
-        lake.log_model_run(name, AS_OF)
-    return read_model_runs(m.spark, lake.path("audit", "model_runs"))
+    """The audit log of a gated build over the loaded products."""
+    tables = build_marts(m.spark, m.stored.raw, scratch_path(m.spark, "lake"), as_of=AS_OF)
+    return tables["model_runs"]
 
 
 def q_publish_after_gate(m: Model) -> DataFrame:

@@ -20,18 +20,29 @@ def _bare_token(token: str) -> str:
 
 _MISSING = _bare_token("-?(?:None|nan|inf)")
 _BOOLEAN = _bare_token("True|False")
+# A bare key (number, None, True...) before its colon, and a comma before a closing bracket.
+_KEY = r"[-+.\w]++"
+_BARE_KEY = rf"(?s)\G((?:[^\"'\w.+-]++|{_QUOTED}|(?!{_KEY}\s*+:){_KEY})*+)({_KEY})(?=\s*+:)"
+_LAST_COMMA = rf"(?s)\G((?:[^\"',]++|{_QUOTED}|,(?!\s*+[\]}}]))*+),(?=\s*+[\]}}])"
 _HEX_ESCAPE = r"(?s)\G((?:[^\\]++|\\[^x])*+)\\x([0-9a-fA-F]{2})"
 
-# What the three patterns look for.
+# What the patterns look for.
 _TOKENS = ["None", "nan", "inf", "True", "False", "\\x"]
+_LOOSE = r",\s*+[\]}]|[{,]\s*+[-+.\w]++\s*+:"
 
 
 def to_json_notation(col: Column) -> Column:
-    """Rewrite bare None/nan/True/False values and \\xNN escapes; quoted text stays as it is."""
-    rewritten = F.regexp_replace(col, _MISSING, "$1null")
+    """Rewrite what Python writes and JSON does not; quoted text stays as it is.
+
+    These are bare None/nan/True/False values, \\xNN escapes, keys without quotes (their text becomes the key) and a
+    comma after the last element.
+    """
+    loose = col.rlike(_LOOSE)
+    keyed = F.when(loose, F.regexp_replace(F.regexp_replace(col, _LAST_COMMA, "$1"), _BARE_KEY, '$1"$2"')).otherwise(col)
+    rewritten = F.regexp_replace(keyed, _MISSING, "$1null")
     rewritten = F.regexp_replace(rewritten, _BOOLEAN, '$1"$2"')
     rewritten = F.regexp_replace(rewritten, _HEX_ESCAPE, r"$1\\u00$2")
-    suspect = F.lit(False)
+    suspect = loose
     for token in _TOKENS:
         suspect = suspect | col.contains(token)
     return F.when(suspect, rewritten).otherwise(col)

@@ -48,6 +48,7 @@ def bridge_product_brand(stg: DataFrame, mode: str = "legacy") -> DataFrame:
     return explode_tags(stg, "code", "brands_tags", "brand_name", mode)
 
 
+# Columns of the fact table.
 FACT_COLUMNS: list[str] = [
     "code", "product_name", "lang", "brand_id", "category_id",
     "nutriscore_grade", "nutriscore_score", "nova_group", "ecoscore_grade", "ecoscore_score",

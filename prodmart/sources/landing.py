@@ -2,12 +2,20 @@
 
 from __future__ import annotations
 
+import csv
+import io
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
+from urllib.parse import unquote
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ..functions.numbers import parse_double, parse_long
-from ..schema import COLUMNS, ORDER_COLUMNS, conform, field_type
+from ..schema import COLUMNS, ORDER_COLUMNS, conform, field_type, struct_of
+from .tables import is_folder, open_file, plain_path
 
 CORRUPT = "_corrupt_record"
+HEADER_BYTES = 1 << 16
 
 # List- and dict-valued fields are read as text too: the JSON reader hands over their JSON
 # notation, which the tag and literal functions accept like the Python notation.
@@ -111,6 +119,38 @@ def read_pages(
     return page_rows(pages, na_values), bad_pages(pages)
 
 
+def _first_record(spark: SparkSession, path: str) -> list[str]:
+    """Names in the header of a CSV file; only its beginning is read."""
+    source = open_file(spark, path)
+    try:
+        head = b""
+        while True:
+            more = bytes(source.readNBytes(HEADER_BYTES))
+            head += more
+            text = io.StringIO(head.decode("utf-8-sig", "replace"), newline="")
+            record = next(csv.reader(text), [])
+            # A header cut short, in a quoted name say, takes all there is.
+            if not more or text.read(1):
+                return record
+    finally:
+        source.close()
+
+
+def header_catalogue(spark: SparkSession, path: str, threads: int = 32) -> dict[tuple[str, ...], list[str]]:
+    """The different headers of the CSV files below a path and the files of each.
+
+    The driver opens every file for its first record, many at a time; no data is scanned. It holds what
+    it holds for any scan, the list of files.
+    """
+    files = [unquote(f) for f in spark.read.text(path).inputFiles()]
+    with ThreadPoolExecutor(threads) as pool:
+        headers = pool.map(lambda f: tuple(_first_record(spark, f)), files)
+        groups: dict[tuple[str, ...], list[str]] = {}
+        for file, header in zip(files, headers):
+            groups.setdefault(header, []).append(file)
+    return groups
+
+
 def read_extract_csv(
     spark: SparkSession,
     path: str,
@@ -118,27 +158,44 @@ def read_extract_csv(
     strict: bool = False,
     multi_line: bool = True,
 ) -> DataFrame:
-    """CSV extract with a header; columns are matched by name, cast without inference.
+    """CSV extracts with headers; columns are matched by name, file by file, and cast without inference.
+
+    Files may differ in the order and number of their columns: those that have the kept columns at the same places are read
+    together, by place. A kept column that a file lacks is NULL there, other columns are ignored; of several columns with
+    one name the first counts. `strict` raises when any file lacks a kept column. An empty file has no rows.
 
     `na_values` are texts that mean NULL besides the empty field. `multi_line` is needed for
     line breaks inside quoted text; without them, turn it off so that big files split. The rows carry
     their place in the reading order: file, start of the split, place in the split.
     """
-    raw = spark.read.csv(
-        path, header=True, multiLine=multi_line, escape='"', enforceSchema=False, mode="PERMISSIVE"
-    )
-    if strict:
-        missing = [c for c in COLUMNS if c not in raw.columns]
-        if missing:
-            raise ValueError(f"input lacks columns: {', '.join(missing)}")
-    values = [typed(n, known_text(F.col(n), na_values)).alias(n) for n in COLUMNS if n in raw.columns]
-    # A task reads a split from start to end, so its row numbers grow with the place in the split.
-    place = [
-        reading_key(F.col("_metadata.file_path")).alias("source_file"),
-        F.col("_metadata.file_block_start").alias("page_no"),
-        F.monotonically_increasing_id().alias("pos"),
-    ]
-    return conform(raw.select(*place, *values), ORDER_COLUMNS + COLUMNS)
+    layouts: dict[tuple[int | None, ...], list[str]] = {}
+    for header, files in header_catalogue(spark, path).items():
+        places = tuple(header.index(n) if n in header else None for n in COLUMNS)
+        if header:
+            layouts.setdefault(places, []).extend(files)
+    folder = is_folder(spark, path)
+    parts = []
+    for places, files in layouts.items():
+        width = max((p + 1 for p in places if p is not None), default=1)
+        fields = T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(width)])
+        reader = spark.read.schema(fields).option("basePath", path) if folder else spark.read.schema(fields)
+        raw = reader.csv([plain_path(f) for f in files], header=True, multiLine=multi_line, escape='"', mode="PERMISSIVE")
+        found = {n: F.col(f"_c{p}") for n, p in zip(COLUMNS, places) if p is not None}
+        found |= {n: F.col(n) for n in COLUMNS if n not in found and n in raw.columns}  # named by a folder `name=value`
+        missing = [n for n in COLUMNS if n not in found]
+        if strict and missing:
+            raise ValueError(f"input lacks columns: {', '.join(missing)}; see {files[0]}")
+        values = [typed(n, known_text(c.cast("string"), na_values)).alias(n) for n, c in found.items()]
+        # A task reads a split from start to end, so its row numbers grow with the place in the split.
+        place = [
+            reading_key(F.col("_metadata.file_path")).alias("source_file"),
+            F.col("_metadata.file_block_start").alias("page_no"),
+            F.monotonically_increasing_id().alias("pos"),
+        ]
+        parts.append(conform(raw.select(*place, *values), ORDER_COLUMNS + COLUMNS))
+    if not parts:
+        return spark.createDataFrame([], struct_of(ORDER_COLUMNS + COLUMNS))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def union_batches(first: DataFrame, *others: DataFrame) -> DataFrame:

@@ -96,6 +96,23 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(target)
 
 
+def is_folder(spark: SparkSession, path: str) -> bool:
+    """Whether a path names one directory; a pattern of several does not."""
+    target, fs = _file_system(spark, path)
+    return fs.exists(target) and fs.getFileStatus(target).isDirectory()
+
+
+def open_file(spark: SparkSession, path: str):
+    """Input stream of a file on any file system."""
+    target, fs = _file_system(spark, path)
+    return fs.open(target)
+
+
+def plain_path(path: str) -> str:
+    """A file's path as a reader takes it: characters of path patterns stand for themselves."""
+    return re.sub(r"([\[\]{}*?\\])", r"\\\1", path)
+
+
 def remove(spark: SparkSession, path: str) -> None:
     target, fs = _file_system(spark, path)
     fs.delete(target, True)

@@ -54,15 +54,16 @@ def test_replace_value(spark):
     assert apply(spark, ["XX", "xx", "xxl", None], build) == ["unknown", "unknown", "xxl", None]
 
 
-LEVELS = "{'fat': 'moderate', 'salt': 'low', 'saturated-fat': 'high', 'sugars': 'low'}"
+LEVELS = "{'salt': 'high', 'sugars': 'moderate', 'fat': 'low', 'saturated-fat': 'moderate'}"
 
 
 @pytest.mark.parametrize(
     "text, expected",
     [
-        (LEVELS, ("moderate", "low", "high", "low")),
-        (LEVELS.replace("'", '"'), ("moderate", "low", "high", "low")),
-        ("{'fat': 'moderate', 'salt': 'low'}", ("moderate", "low", "unknown", "unknown")),
+        (LEVELS, ("low", "high", "moderate", "moderate")),
+        (LEVELS.replace("'", '"'), ("low", "high", "moderate", "moderate")),
+        ("{'salt': 'moderate', 'fat': 'high', }", ("high", "moderate", "unknown", "unknown")),
+        ("{1: 'x', 'fat': 'low', None: 2, -1.5: 'say {2: 3,}', True: [1, ], }", ("low", "unknown", "unknown", "unknown")),
         ("{'fat': None}", (None, "unknown", "unknown", "unknown")),
         ("{}", ("unknown",) * 4),
         ("", (None,) * 4), (None, (None,) * 4), ("garbage", (None,) * 4), ("[]", (None,) * 4),

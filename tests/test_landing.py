@@ -4,7 +4,7 @@ import pytest
 
 from prodmart.operators.keyed import first_wins
 from prodmart.schema import COLUMNS, ORDER_COLUMNS, conform
-from prodmart.sources.landing import NA_VALUES, page_fields, read_extract_csv, read_pages, union_batches
+from prodmart.sources.landing import NA_VALUES, header_catalogue, page_fields, read_extract_csv, read_pages, union_batches
 from prodmart.sources.tables import write_csv
 
 
@@ -130,3 +130,50 @@ def test_csv_rows_of_the_first_file_win(spark, tmp_path, conf, multi_line):
     rows = read_extract_csv(spark, str(tmp_path), multi_line=multi_line)
     won = first_wins(rows, ["code"], ORDER_COLUMNS).select("code", "product_name").collect()
     assert len(won) == 5000 and all(r["product_name"] == f"extract_2.csv {r['code']}" for r in won)
+
+
+@pytest.mark.parametrize("multi_line", [True, False])
+def test_csv_files_with_different_headers(spark, tmp_path, multi_line):
+    """Order and number of columns differ by file, as do quoting, repeated names, a byte order mark and odd file names."""
+    files = {
+        "a 1.csv": "code,product_name,lang\n1,one,en\n2,two,fr\n",
+        "b[2].csv": "lang,extra,product_name,more,code\nde,x,three,y,3\n",
+        "c{3}.csv": '\ufeff"code","na""me","product_name"\n4,x,"four, 4"\n',
+        "d*.csv": "product_name,code,code,brands\nfive,5,other,b\n",
+        "e.csv": "other,columns\nx,y\n",
+        "f.csv": "",
+        "g.csv": "code,product_name",
+        "h.csv": "code,product_name,lang\n6,six\n7,seven,it,beyond\n",
+    }
+    for name, body in files.items():
+        (tmp_path / name).write_text(body, encoding="utf-8")
+    found = header_catalogue(spark, str(tmp_path))
+    assert sorted(len(f) for f in found.values()) == [1, 1, 1, 1, 1, 1, 2] and ("code", 'na"me', "product_name") in found
+    rows = read_extract_csv(spark, str(tmp_path), multi_line=multi_line)
+    assert rows.columns == ORDER_COLUMNS + COLUMNS
+    got = sorted((r["code"] or "", r["product_name"], r["lang"], r["brands"]) for r in rows.collect())
+    assert got == [
+        ("", None, None, None), ("1", "one", "en", None), ("2", "two", "fr", None), ("3", "three", "de", None),
+        ("4", "four, 4", None, None), ("5", "five", None, "b"), ("6", "six", None, None), ("7", "seven", "it", None),
+    ]
+    with pytest.raises(ValueError, match="input lacks columns"):
+        read_extract_csv(spark, str(tmp_path), strict=True)
+
+
+def test_csv_headers_of_any_length(spark, tmp_path):
+    """A header longer than the first look, with a line break in a quoted name."""
+    names = [f"column_{i}" for i in range(20_000)] + ["two\nlines", "code"]
+    body = ",".join(f'"{n}"' for n in names) + "\n" + ",".join("x" for _ in names[:-1]) + ",42\n"
+    (tmp_path / "wide.csv").write_text(body)
+    assert list(header_catalogue(spark, str(tmp_path))) == [tuple(names)]
+    (tmp_path / "wide.csv").unlink()
+    (tmp_path / "empty.csv").write_text("")
+    assert read_extract_csv(spark, str(tmp_path)).count() == 0
+
+
+def test_csv_columns_named_by_folders(spark, tmp_path):
+    for lang in ("en", "fr"):
+        (tmp_path / f"lang={lang}").mkdir()
+        (tmp_path / f"lang={lang}" / "x.csv").write_text(f"code,product_name\n{lang}1,n\n")
+    got = sorted((r["code"], r["lang"]) for r in read_extract_csv(spark, str(tmp_path)).collect())
+    assert got == [("en1", "en"), ("fr1", "fr")]

@@ -7,7 +7,7 @@ from datetime import datetime, timedelta
 
 from pyspark.sql import functions as F
 
-from prodmart.functions import clean_text, explode_tags, first_tag, nutrient_levels, nutrients, parse_array
+from prodmart.functions import clean_text, explode_tags, first_tag, nutrient_levels, nutrients, parse_array, parse_map
 from prodmart.operators.keyed import append_new
 from prodmart.operators.scd2 import scd2_apply
 from prodmart.plans.staging import plausible
@@ -113,6 +113,29 @@ def test_clean_text_follows_python(spark):
     assert got == [fold(t) for t in texts]
 
 
+def test_loose_literals_follow_python(spark):
+    """Keys of any plain kind, commas after the last element, blanks anywhere; text that looks like such things stays."""
+    rng = random.Random(9)
+    texts, expected = [], []
+    keys = [7, 23, -4, 2.5, "k", "fat_100g", "a b", None, True, "x: 1, }", "it's"]
+    values = ["'v'", "\"it's, }\"", "None", "3", "'{1: 2,}'", "True", "'a,]'", "''"]
+    for _ in range(300):
+        chosen = rng.sample(keys, rng.randrange(len(keys)))
+        blank = lambda: rng.choice(["", " ", "\n ", "\t"])
+        items = [f"{blank()}{k!r}{blank()}:{blank()}{rng.choice(values)}{blank()}" for k in chosen]
+        text = "{" + ",".join(items) + ("," + blank() if items and rng.random() < 0.5 else "") + "}"
+        texts.append(text)
+        shown = lambda v: None if v is None else str(v)
+        expected.append({str(k): shown(v) for k, v in ast.literal_eval(text).items()})
+    df = spark.createDataFrame(list(enumerate(texts)), "i long, x string")
+    got = [r[0] for r in df.orderBy("i").select(parse_map(F.col("x"))).collect()]
+    assert got == expected
+    lists = ["['a', 'b',]", "['a' , ]", "[',]', 1,\n]", "[]", "['{1: 2}']"]
+    df = spark.createDataFrame(list(enumerate(lists)), "i long, x string")
+    got = [r[0] for r in df.orderBy("i").select(parse_array(F.col("x"))).collect()]
+    assert got == [[str(v) for v in ast.literal_eval(x)] for x in lists]
+
+
 def test_plausible_is_three_valued(spark):
     rng = random.Random(8)
     names = ["energy_kcal_100g", "sugars_100g", "fat_100g", "proteins_100g", "salt_100g"]
