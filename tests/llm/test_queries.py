@@ -12,7 +12,6 @@ import corpus_pipeline
 from prodmart.llm import toxicity
 from prodmart.llm.decontaminate import words
 from prodmart.llm.frames import training_texts
-from prodmart.llm.html_text import main_text
 from prodmart.llm.queries import ORACLE, QUERIES
 from prodmart.llm.quality_rules import keep_good
 from prodmart.llm.textscan import blocks
@@ -36,11 +35,6 @@ def test_query(spark, sf_dir, tables, name):
     assert rows == expected
 
 
-def test_html_text_query(spark, sf_dir):
-    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "html").collect()
-    got = [(r.page_id, r.text, r.n_chars) for r in QUERIES["op3_html_text"](spark, sf_dir).collect()]
-    expected = [(p.page_id, main_text(p.html)) for p in pages]
-    assert sorted(got) == sorted((i, t, len(t)) for i, t in expected)
 
 
 def test_near_duplicates_query(spark, sf_dir):
