@@ -62,9 +62,9 @@ def captures(pages: DataFrame) -> DataFrame:
 
     The capture of page p is at minute 1000 * p; revisits follow after (p mod 5000) and after 1000 * (p mod 7) + 1
     minutes. Entity tags are the pages' digests; of the revisits, some name a changed tag, some only a
-    modification date or payload digest, some nothing.
+    modification date or payload digest, some nothing. A page without an id counts as page -1.
     """
-    p, nl = F.col("page_id"), F.lit("\r\n")
+    p, nl = F.coalesce("page_id", F.lit(-1)), F.lit("\r\n")
     body = F.coalesce("html", F.lit(""))
     digest = F.md5(body.cast("binary"))
 
@@ -74,7 +74,7 @@ def captures(pages: DataFrame) -> DataFrame:
     def record(kind, number, minute, extra, http, text):  # noqa: ANN001, ANN202
         return F.concat(
             F.lit("WARC/1.0"), nl, F.lit(f"WARC-Type: {kind}"), nl, F.lit("WARC-Record-ID: "),
-            F.format_string(f"{number}-%012d", p.cast("long")), nl,
+            F.concat(F.lit(f"{number}-"), F.lpad(p.cast("string"), 12, "0")), nl,
             F.lit("WARC-Target-URI: "), F.coalesce("url", F.lit("")), nl, F.lit("WARC-Date: "), day(minute), nl, extra,
             nl, http, nl, text,
         )
@@ -99,7 +99,7 @@ def captures(pages: DataFrame) -> DataFrame:
 
 
 def op4_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    resolved = resolve_revisits(parse_records(captures(table(spark, sf_dir, "pages").filter("page_id is not null"))))
+    resolved = resolve_revisits(parse_records(captures(table(spark, sf_dir, "pages"))))
     names = F.transform("headers", lambda h: F.concat(h["name"], F.lit(": "), h["value"]))
     return resolved.select(
         "record_id", F.unix_seconds("at").alias("second"), "outcome", "refers_to",
@@ -230,10 +230,10 @@ ORACLE = {
     """,
     "op4_revisits": r"""
         WITH page AS (
-            SELECT page_id AS p, coalesce(html, '') AS body, '"' || md5(coalesce(html, '')) || '"' AS tag,
+            SELECT coalesce(page_id, -1) AS p, coalesce(html, '') AS body, '"' || md5(coalesce(html, '')) || '"' AS tag,
                    split_part(regexp_replace(substr(url, strpos(url, '://') + 3), '^[A-Za-z0-9.-]*', ''), '#', 1) AS tail,
                    regexp_replace(lower(regexp_extract(url, '://([^/?#]*)', 1)), '^(www|m)\.', '') AS host
-            FROM pages WHERE page_id IS NOT NULL
+            FROM pages
         ), canon AS (
             SELECT *, host || coalesce(nullif(regexp_replace(split_part(tail, '?', 1), '(\.html)?/*$', ''), ''), '/')
                 || coalesce('?' || nullif(array_to_string(list_sort(list_filter(string_split(split_part(tail, '?', 2), '&'),

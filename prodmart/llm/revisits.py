@@ -10,7 +10,7 @@ captures themselves; a bucket holds about as many of them however they lie in ti
 bucket is carried. Bodies take part only in the last join, from a response to the revisits that chose it.
 
 Defined results: records are identified by `record_id`; equal capture times of a URL count as one moment, at which the
-response with the greatest id stands; a null URL, time or id never matches; a revisit without any validator
+response with the greatest id stands; a null URL, time (an unreadable date is one) or id never matches; a revisit without any validator
 is `unvalidated` and gets no body; empty tables give empty results.
 """
 
@@ -56,14 +56,18 @@ def header(lines: Column, name: str) -> Column:
 
 
 def parse_records(records: DataFrame, raw: str = "raw") -> DataFrame:
-    """WARC records as text -> record_id, kind, url, at, status, headers, body and validators."""
+    """WARC records as text -> record_id, kind, url, at, profile, status, headers, body and validators.
+
+    Dates may have fractions of a second or a lower precision; an unreadable one is null.
+    """
     parts = F.split(F.col(raw), r"\r\n\r\n", 3)
     warc, http = header_lines(F.get(parts, 0)), header_lines(F.get(parts, 1))
     return records.select(warc.alias("warc"), http.alias("headers"), parts.alias("parts")).select(
         header(F.col("warc"), "warc-record-id").alias("record_id"),
         header(F.col("warc"), "warc-type").alias("kind"),
         header(F.col("warc"), "warc-target-uri").alias("url"),
-        F.to_timestamp(header(F.col("warc"), "warc-date"), "yyyy-MM-dd'T'HH:mm:ssX").alias("at"),
+        F.try_to_timestamp(header(F.col("warc"), "warc-date")).alias("at"),
+        header(F.col("warc"), "warc-profile").alias("profile"),
         F.regexp_extract(F.get("parts", 1), r"^HTTP/[\d.]+ (\d{3})", 1).alias("status"),
         "headers",
         F.coalesce(F.get("parts", 2), F.lit("")).alias("body"),
@@ -119,21 +123,27 @@ def merged_headers(stored: Column, fresh: Column) -> Column:
 
 
 def resolve_revisits(records: DataFrame, bucket: int = BUCKET) -> DataFrame:
-    """One row per revisit: record_id, url, at, `outcome` (resolved, mismatch, unvalidated, missing), `refers_to`, merged
-    `headers` and `body` (both null unless resolved)."""
+    """One row per revisit: record_id, url, at, `outcome` (resolved, mismatch, unvalidated, missing, other), `refers_to`, merged
+    `headers` and `body` (both null unless resolved).
+
+    Only not-modified revisits are looked up: those whose profile says so, and those without a profile whose status is 304 or
+    absent. Others, such as identical payloads of a full response, have the outcome `other`.
+    """
     # parsed once; the steps below then read only their columns, bodies only the last one
     keyed = written(records.withColumn("key", canonical_url("url")), "records")
     full = keyed.filter((F.col("kind") == "response") & (F.col("status") == "200"))
     revisits = keyed.filter(F.col("kind") == "revisit")
+    not_modified = F.coalesce(F.col("profile").contains("not-modified"), F.col("status").isin("304", ""), F.lit(True))
     checks = ["record_id", "etag", "last_modified", "digest"]
 
     usable = F.col("key").isNotNull() & F.col("at").isNotNull()
     stored = full.filter(usable & F.col("record_id").isNotNull()).select("key", "at", F.struct(*checks).alias("found"))
-    asked = revisits.filter(usable).select("key", "at", F.lit(None).cast(stored.schema["found"].dataType).alias("found"))
+    looked_up = revisits.filter(usable & not_modified)
+    asked = looked_up.select("key", "at", F.lit(None).cast(stored.schema["found"].dataType).alias("found"))
     moments = stored.union(asked).groupBy("key", "at").agg(F.max("found").alias("found"))
     earlier = latest_earlier(moments, bucket)
 
-    matched = revisits.join(earlier, ["key", "at"], "left")
+    matched = looked_up.join(earlier, ["key", "at"], "left")
     agrees = validators_agree({c: F.col(c) for c in checks[1:]}, {c: F.col(f"earlier.{c}") for c in checks[1:]})
     outcome = (
         F.when(F.col("earlier").isNull(), "missing").when(F.col("agrees").isNull(), "unvalidated")
@@ -143,13 +153,22 @@ def resolve_revisits(records: DataFrame, bucket: int = BUCKET) -> DataFrame:
         "record_id", "url", "at", outcome.alias("outcome"), F.col("earlier.record_id").alias("refers_to"),
         F.col("headers").alias("fresh"),
     )
+    rest = revisits.filter(~(usable & not_modified)).select(
+        "record_id", "url", "at", F.when(not_modified, "missing").otherwise("other").alias("outcome"),
+        F.lit(None).cast("string").alias("refers_to"), F.lit(None).cast(keyed.schema["headers"].dataType).alias("headers"),
+        F.lit(None).cast("string").alias("body"),
+    )
     bodies = full.select(F.col("record_id").alias("stored_id"), F.col("headers").alias("stored"), "body")
     bodies = bodies.dropDuplicates(["stored_id"])
     resolved = F.col("outcome") == "resolved"
-    wanted = F.when(resolved, F.col("refers_to"))
-    joined = judged.withColumn("wanted", wanted).join(bodies, F.col("wanted") == F.col("stored_id"), "left")
+    # A revisit that is not resolved wants no body; it gets a key of its own, which no record id equals, so that these
+    # rows do not meet in one task.
+    own = F.concat(F.lit("\0"), F.xxhash64("record_id", "url", "at").cast("string"))
+    joined = judged.withColumn("wanted", F.when(resolved, F.col("refers_to")).otherwise(own)).join(
+        bodies, F.col("wanted") == F.col("stored_id"), "left"
+    )
     return joined.select(
         "record_id", "url", "at", "outcome", "refers_to",
         F.when(resolved, merged_headers(F.col("stored"), F.col("fresh"))).alias("headers"),
         F.when(resolved, F.col("body")).alias("body"),
-    )
+    ).union(rest)

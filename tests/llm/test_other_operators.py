@@ -232,6 +232,47 @@ def test_revisits(spark, nothing):
     assert resolve_revisits(records.limit(0)).count() == 0
 
 
+def test_dates_and_profiles(spark):
+    """Dates with fractions and of low precision, unreadable ones, and revisits that are not of the not-modified kind."""
+    profile = "\r\nWARC-Profile: http://netpreserve.org/warc/1.1/revisit/"
+
+    def dated(text, when):
+        return re.sub(r"WARC-Date: \S+", f"WARC-Date: {when}", text, count=1)
+
+    def full(text):
+        return text.replace("304 Not Modified", "200 OK")
+
+    tag = 'ETag: "1"'
+    raw = [
+        dated(record("response", "r1", "http://a.com/", 0, tag, body="one"), "2020-01-02T00:00:00.123456Z"),
+        dated(record("response", "r0", "http://a.com/", 0, tag, body="never"), "garbage"),
+        dated(record("revisit", "early", "http://a.com/", 0, tag), "2020-01-02T00:00:00.123455Z"),
+        dated(record("revisit", "late", "http://a.com/", 0, tag), "2020-01-02T00:00:00.123457Z"),
+        dated(record("revisit", "year", "http://a.com/", 0, tag), "2021"),
+        dated(record("revisit", "unread", "http://a.com/", 0, tag), "garbage"),
+        record("revisit", "named", "http://a.com/", 1, tag, profile + "server-not-modified"),
+        full(record("revisit", "named200", "http://a.com/", 1, tag, profile + "server-not-modified")),
+        full(record("revisit", "same", "http://a.com/", 1, tag, profile + "identical-payload-digest")),
+        full(record("revisit", "plain200", "http://a.com/", 1, tag)),
+    ]
+    rows = resolve_revisits(parse_records(spark.createDataFrame([(x,) for x in raw], "raw string"))).collect()
+    assert {r.record_id: (r.outcome, r.body) for r in rows} == {
+        "early": ("missing", None), "late": ("resolved", "one"), "year": ("resolved", "one"), "unread": ("missing", None),
+        "named": ("resolved", "one"), "named200": ("resolved", "one"), "same": ("other", None), "plain200": ("other", None),
+    }
+
+
+def test_unresolved_revisits_do_not_meet(spark, conf):
+    """Rows that want no body are dealt out evenly before the last join."""
+    raw = [record("response", f"r{i}", f"http://a.com/{i}", 1, 'ETag: "1"') for i in range(20)]
+    raw += [record("revisit", f"v{i}", f"http://b.com/{i % 7}", 2, 'ETag: "1"') for i in range(800)]
+    conf("spark.sql.adaptive.enabled", "false")
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    found = resolve_revisits(parse_records(spark.createDataFrame([(x,) for x in raw], "raw string")))
+    sizes = Counter(r.p for r in found.select(F.spark_partition_id().alias("p"), "body").collect())
+    assert sum(sizes.values()) == 800 and max(sizes.values()) < 200
+
+
 # --- segmentations ---------------------------------------------------------------------------------------------------
 
 @pytest.fixture(scope="module")
