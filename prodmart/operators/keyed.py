@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..schema import MAX_LENGTH
 
+MAX_KEYS = 10_000
+
 
 def first_wins(df: DataFrame, keys: list[str], order: list[str | Column]) -> DataFrame:
     """First row per key by `order` (add a unique tail to `order` for a reproducible choice).
@@ -30,6 +32,17 @@ def append_new(existing: DataFrame, incoming: DataFrame, keys: list[str], order:
     return fresh.join(known, keys, "left_anti").select(*incoming.columns)
 
 
+def rows_to_compare(stored: DataFrame, incoming: DataFrame, key: str, limit: int = MAX_KEYS) -> DataFrame:
+    """The stored rows that can have a key of the input.
+
+    The keys of a small input, at most `limit`, become a filter on the scan, which asks the statistics and Bloom filters of
+    the stored row groups (`write_table` with `index`) and reads only those that may hold one. For a larger input all
+    stored rows are returned, as nearly every row group would be read anyway; the join decides in both cases.
+    """
+    keys = [r[0] for r in incoming.select(key).distinct().limit(limit + 1).collect()]
+    return stored if len(keys) > limit else stored.where(F.col(key).isin(keys))
+
+
 def load_rules(columns: list[str]) -> dict[str, Column]:
     """What the raw table accepts: a key, a name, and texts within their declared length."""
     rules = {f"{c}_missing": F.col(c).isNotNull() for c in ("code", "product_name") if c in columns}

@@ -15,7 +15,7 @@ from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import Column, DataFrame, Observation, functions as F, types as T
 
-from ..operators.keyed import append_new, flag_rows, load_rules
+from ..operators.keyed import append_new, flag_rows, load_rules, rows_to_compare
 from ..schema import ORDER_COLUMNS, RAW_COLUMNS, conform, struct_of
 from ..sources.commits import CommitLog, Conflict, children
 from ..sources.tables import Lakehouse, remove, write_table
@@ -143,7 +143,8 @@ def load_raw(
         tries[table] = f"{version + 1}-{uuid.uuid4().hex[:12]}"
         seen = Observation()
         rows = rows.drop("batch_id").observe(seen, *counts) if counts else rows.drop("batch_id")
-        write_table(rows, f"{lake.path('raw', table)}/batch_id={batch_id}/try={tries[table]}", mode="errorifexists")
+        path = f"{lake.path('raw', table)}/batch_id={batch_id}/try={tries[table]}"
+        write_table(rows, path, mode="errorifexists", index=KEYS[0] if table == "products" else None)
         return seen.get if counts else {}
 
     counts = write(
@@ -160,7 +161,8 @@ def load_raw(
 
     for _ in range(attempts):
         others = {b: t for b, t in batches.items() if b != batch_id}
-        fresh = append_new(log.rows("products", RAW_SCHEMA, others), good, KEYS, ORDER_COLUMNS).drop(*ORDER_COLUMNS)
+        stored = rows_to_compare(log.rows("products", RAW_SCHEMA, others), good, KEYS[0])
+        fresh = append_new(stored, good, KEYS, ORDER_COLUMNS).drop(*ORDER_COLUMNS)
         inserted = write("products", fresh, F.count(F.lit(1)).alias("inserted"))["inserted"]
         try:
             log.commit(version + 1, batches, batch_id, tries)
