@@ -531,6 +531,24 @@ ORACLE["q_scd2_own_names"] = sql(
 ORACLE["q_quantiles_lineitem"] = """SELECT nullif(l_returnflag, 'R') AS flag,
     round(quantile_cont(CAST(l_extendedprice AS DOUBLE), 0.25), 4) AS q0, round(quantile_cont(CAST(l_extendedprice AS DOUBLE), 0.5), 4) AS q1,
     round(quantile_cont(CAST(l_extendedprice AS DOUBLE), 0.75), 4) AS q2 FROM lineitem GROUP BY 1"""
+# Sums of numbers with at most two digits after the point, counted in hundredths; half away from zero without doubles.
+EXACT_AVG_SQL = ", ".join(
+    f"""(2 * 100 * CAST(round(sum({c}) * 100) AS BIGINT) + 100 * count({c})) // (2 * 100 * count({c})) / 100.0::DOUBLE AS {a}"""
+    for c, a in zip(NUTRIENTS, AVG_NAMES)
+)
+ORACLE["q_mart_incremental"] = sql(
+    "stg bridge_brand nut",
+    f"""SELECT 'mart_nutrient_profile' AS mart, pnns_groups_1 AS name, count(*) AS total_products, {EXACT_AVG_SQL}
+    FROM stg WHERE pnns_groups_1 IS NOT NULL GROUP BY pnns_groups_1
+    UNION ALL SELECT 'mart_brand_quality', upper(brand_name), count(*), {EXACT_AVG_SQL}
+    FROM bridge_brand JOIN nut USING (code) GROUP BY upper(brand_name) HAVING count(*) > 2""",
+)
+ORACLE["q_dim_brand_stable"] = sql(
+    "stg",
+    f""", member AS (SELECT {FIRST_TAG} AS brand_name, owner, bool_or(lang = 'en') AS early FROM stg
+        WHERE brands_tags IS NOT NULL AND brands_tags != '[]' GROUP BY 1, 2 HAVING brand_name != '')
+    SELECT row_number() OVER (ORDER BY NOT early, brand_name, owner NULLS LAST) AS brand_id, brand_name, owner FROM member""",
+)
 ORACLE["q_union_batches"] = """SELECT * FROM documents
     UNION ALL BY NAME SELECT conv_id, turn, role, text FROM conversations"""
 ORACLE["q_load_raw"] = sql(

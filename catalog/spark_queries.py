@@ -15,11 +15,13 @@ from prodmart.functions.text import replace_value
 from prodmart.operators import profile, quality
 from prodmart.operators.keyed import append_new, first_wins, validate_rows
 from prodmart.operators.ranks import dense_ids, exact_quantiles
+from prodmart.operators.stable_ids import IdDictionary
 from prodmart.operators.scd2 import SnapshotTable, first_versions, scd2_apply, valid_at
 from prodmart.plans import marts, reports, staging, star
 from prodmart.plans.clean import clean_products, drop_missing_keys, drop_time_travel, modified_before_created
 from prodmart.plans.build import build_marts
 from prodmart.plans.load import load_raw, read_raw
+from prodmart.plans.mart_state import MARTS, MartState
 from prodmart.plans.snapshot import snapshot_rows
 from prodmart.schema import COLUMNS, ORDER_COLUMNS, RAW_COLUMNS, conform
 from prodmart.session import pin_utc
@@ -367,6 +369,14 @@ def q_dim_country(m: Model) -> DataFrame:
     return m.dim_country
 
 
+def q_dim_brand_stable(m: Model) -> DataFrame:
+    """Ids after a second build that knows more brands: the first build's are kept."""
+    ids = IdDictionary(m.spark, scratch_path(m.spark, "ids"), "brand_id")
+    stg = m.stored.stg
+    star.dim_brand(stg.where("lang = 'en'"), ids=ids)
+    return star.dim_brand(stg, ids=ids)
+
+
 def q_dense_ids_orders(m: Model) -> DataFrame:
     orders = m.table("orders").select("o_orderpriority", "o_custkey", "o_orderkey")
     return dense_ids(orders, ["o_orderpriority", "o_custkey", "o_orderkey"], "row_id")
@@ -399,6 +409,21 @@ def q_mart_brand_quality_fused(m: Model) -> DataFrame:
     return marts.mart_brand_quality_fused(m.stg)
 
 
+def q_mart_incremental(m: Model) -> DataFrame:
+    """Both marts from stored sums: two batches, each taken in after its load, the second loaded twice."""
+    lake = Lakehouse(m.spark, scratch_path(m.spark, "lake"))
+    cleaned = store(m.cleaned, "cleaned")
+    states = {name: MartState(lake, name) for name in MARTS}
+    for batch_id, pages, half in (("a", "page_no < 6", None), ("b", "page_no > 5", "pos % 2 = 0"), ("b", "page_no > 5", None)):
+        rows = cleaned.where(pages)
+        load_raw(lake, rows if half is None else rows.where(half), batch_id)
+        for state in states.values():
+            state.advance()
+    return reduce(DataFrame.unionByName, [
+        state.read().withColumnRenamed(state.mart.out, "name").withColumn("mart", F.lit(name)) for name, state in states.items()
+    ])
+
+
 def q_rank_brands(m: Model) -> DataFrame:
     m = m.stored
     return marts.rank_brands(m.brand_quality, by="avg_energy_kcal", limit=10)

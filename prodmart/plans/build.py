@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import quality
 from ..operators.scd2 import SnapshotTable
+from ..operators.stable_ids import IdDictionary
 from ..sources.tables import Lakehouse, init_audit
 from .marts import (
     mart_brand_quality, mart_brand_quality_fused, mart_nutrient_profile,
@@ -27,13 +28,15 @@ def build_marts(
     as_of: datetime | None = None,
     gated: bool = True,
     fused: bool = True,
+    stable_ids: bool = False,
 ) -> dict[str, DataFrame]:
     """Build every model below `out` and return the tables.
 
     Staging stays a view: each consumer reads only its columns of `raw`, which is cheaper than
     caching sixty columns. A model is checked after it is written and before it is published; a failing
     check raises, the build before stays in force, and nothing that depends on the model is built. `fused` computes the summary marts without
-    joining by `code`, which the uniqueness check on the source justifies.
+    joining by `code`, which the uniqueness check on the source justifies. `stable_ids` keeps the dimensions' ids from build
+    to build. The audit log names every model that was built, those of a build that then fails a check included.
     """
     lake = Lakehouse(spark, out)
     init_audit(spark, lake.path("audit", "model_runs"))
@@ -56,11 +59,16 @@ def build_marts(
     snapshot = SnapshotTable(spark, lake.path("snapshots", "products_snapshot"), keep=2)
     snapshot.apply(snapshot_rows(stg), SNAPSHOT_KEY, SNAPSHOT_UPDATED_AT)
 
-    build("dim_brand", lambda: dim_brand(stg), quality.dim_brand_checks())
-    build("dim_category", lambda: dim_category(stg), quality.dim_category_checks())
+    def ids(out: str) -> IdDictionary | None:
+        return IdDictionary(spark, lake.path("marts", f"ids_{out}"), out) if stable_ids else None
+
+    build("dim_brand", lambda: dim_brand(stg, ids=ids("brand_id")), quality.dim_brand_checks())
+    build("dim_category", lambda: dim_category(stg, ids("category_id")), quality.dim_category_checks())
     build("bridge_product_country", lambda: bridge_product_country(stg), quality.bridge_country_checks())
     build("bridge_product_brand", lambda: bridge_product_brand(stg), quality.bridge_brand_checks())
-    build("dim_country", lambda: dim_country(tables["bridge_product_country"]), quality.dim_country_checks())
+    build(
+        "dim_country", lambda: dim_country(tables["bridge_product_country"], ids("country_id")), quality.dim_country_checks()
+    )
     build(
         "fact_products",
         lambda: fact_products(stg, tables["dim_brand"], tables["dim_category"]),

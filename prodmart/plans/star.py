@@ -6,14 +6,23 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions import explode_tags, first_tag, has_tags
 from ..operators.ranks import dense_ids
+from ..operators.stable_ids import IdDictionary
 from ..schema import LEVEL_COLUMNS, NUTRIENT_COLUMNS
 
 # The prefix a country name loses.
 COUNTRY_PREFIX = "en:"
 
 
-def dim_brand(stg: DataFrame, one_per_brand: bool = False) -> DataFrame:
-    """Brands by first brand tag and owner; `one_per_brand` keeps the smallest owner only."""
+def _numbered(members: DataFrame, out: str, ids: IdDictionary | None) -> DataFrame:
+    """Distinct members with ids in their order, or with those of a dictionary."""
+    return dense_ids(members.distinct(), members.columns, out) if ids is None else ids.assign(members)
+
+
+def dim_brand(stg: DataFrame, one_per_brand: bool = False, ids: IdDictionary | None = None) -> DataFrame:
+    """Brands by first brand tag and owner; `one_per_brand` keeps the smallest owner only.
+
+    With `ids`, here as in the other dimensions, members keep the id they once got.
+    """
     pairs = (
         stg.where(has_tags(F.col("brands_tags")))
         .select(first_tag(F.col("brands_tags")).alias("brand_name"), "owner")
@@ -22,18 +31,20 @@ def dim_brand(stg: DataFrame, one_per_brand: bool = False) -> DataFrame:
     if one_per_brand:
         # distinct first: it aggregates by hash, while a smallest text is found by sorting
         brands = pairs.distinct().groupBy("brand_name").agg(F.min("owner").alias("owner"))
-        return dense_ids(brands, ["brand_name"], "brand_id")
-    return dense_ids(pairs.distinct(), ["brand_name", "owner"], "brand_id")
+        if ids is None:
+            return dense_ids(brands, ["brand_name"], "brand_id")
+        numbered = ids.assign(brands.select("brand_name"))  # the owner may change, the brand keeps its id
+        return numbered.join(brands, "brand_name").select("brand_id", "brand_name", "owner")
+    return _numbered(pairs, "brand_id", ids)
 
 
-def dim_category(stg: DataFrame) -> DataFrame:
-    groups = stg.where(F.col("pnns_groups_1").isNotNull()).select("pnns_groups_1", "pnns_groups_2").distinct()
-    return dense_ids(groups, ["pnns_groups_1", "pnns_groups_2"], "category_id")
+def dim_category(stg: DataFrame, ids: IdDictionary | None = None) -> DataFrame:
+    groups = stg.where(F.col("pnns_groups_1").isNotNull()).select("pnns_groups_1", "pnns_groups_2")
+    return _numbered(groups, "category_id", ids)
 
 
-def dim_country(bridge: DataFrame) -> DataFrame:
-    countries = bridge.select("country_code", "country_name").distinct()
-    return dense_ids(countries, ["country_code", "country_name"], "country_id")
+def dim_country(bridge: DataFrame, ids: IdDictionary | None = None) -> DataFrame:
+    return _numbered(bridge.select("country_code", "country_name"), "country_id", ids)
 
 
 def bridge_product_country(stg: DataFrame, mode: str = "legacy") -> DataFrame:
