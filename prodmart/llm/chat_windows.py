@@ -33,7 +33,8 @@ from .tokenizers import TOKENIZERS, byte_pair_counter, file_bytes
 CONTROL = re.compile(r"([\\#<])")
 ROLE_CONTROL = re.compile(r"([\\#<:\n])")
 ESCAPED = re.compile(r"\\(.)", re.DOTALL)
-TURN = re.compile(r"### ((?:[^\\#<:\n]|\\.)*): ((?:[^\\#<]|\\.)*)</turn>\n", re.DOTALL)
+# Possessive loops keep no state, so a turn of any length is matched in constant memory.
+TURN = re.compile(r"### ((?:[^\\#<:\n]++|\\.)*+): ((?:[^\\#<]++|\\.)*+)</turn>\n", re.DOTALL)
 
 
 def escape(text: str, control: re.Pattern = CONTROL) -> str:
