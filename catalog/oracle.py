@@ -549,6 +549,11 @@ ORACLE["q_dim_brand_stable"] = sql(
         WHERE brands_tags IS NOT NULL AND brands_tags != '[]' GROUP BY 1, 2 HAVING brand_name != '')
     SELECT row_number() OVER (ORDER BY NOT early, brand_name, owner NULLS LAST) AS brand_id, brand_name, owner FROM member""",
 )
+ORACLE["q_sketch_profile"] = " UNION ALL ".join(
+    f"""SELECT '{c}' AS "column", count(*) AS n_rows, count({c}) AS n_known, true AS distinct_within,
+    {'true' if number else 'CAST(NULL AS BOOLEAN)'} AS quartiles_within FROM lineitem"""
+    for c, number in (("l_orderkey", 1), ("l_suppkey", 1), ("l_extendedprice", 1), ("l_returnflag", 0), ("l_linestatus", 0))
+)
 ORACLE["q_union_batches"] = """SELECT * FROM documents
     UNION ALL BY NAME SELECT conv_id, turn, role, text FROM conversations"""
 ORACLE["q_load_raw"] = sql(

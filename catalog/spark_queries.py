@@ -6,7 +6,7 @@ from collections.abc import Callable
 from datetime import datetime, timezone
 from functools import cached_property, reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from prodmart.functions import (
     clean_text, clip, empty_list_to_null, explode_tags, first_tag, nutrient_levels, nutrients, parse_map,
@@ -15,6 +15,7 @@ from prodmart.functions.text import replace_value
 from prodmart.operators import profile, quality
 from prodmart.operators.keyed import append_new, first_wins, validate_rows
 from prodmart.operators.ranks import dense_ids, exact_quantiles
+from prodmart.operators.sketches import DISTINCT_ERROR, RANK_ERROR, estimates, merge_sketches, sketch_columns
 from prodmart.operators.stable_ids import IdDictionary
 from prodmart.operators.scd2 import SnapshotTable, first_versions, scd2_apply, valid_at
 from prodmart.plans import marts, reports, staging, star
@@ -633,6 +634,29 @@ def q_quantiles_lineitem(m: Model) -> DataFrame:
     return found.select("flag", *[F.round(f"q{i}", 4).alias(f"q{i}") for i in range(3)])
 
 
+def q_sketch_profile(m: Model) -> DataFrame:
+    """Sketches of the order lines in three parts, merged: exact counts, and whether the estimates keep their bounds."""
+    lines = m.table("lineitem").select("l_orderkey", "l_suppkey", "l_extendedprice", "l_returnflag", "l_linestatus")
+    parts = [sketch_columns(lines.where(f"l_orderkey % 3 = {i}")) for i in range(3)]
+    merged = estimates(merge_sketches(reduce(DataFrame.unionByName, parts)))
+    entries = [(c, F.countDistinct(c).alias(f"d_{c}")) for c in lines.columns]
+    exact = lines.agg(*[e for _, e in entries]).select(
+        F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"d_{c}").alias("exact")) for c in lines.columns]))
+    )
+    numbers = profile.numeric_columns(lines)
+    quartiles = exact_quantiles(
+        lines.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("v")) for c in numbers]))),
+        "column", "v", [p + e for p in profile.QUARTILES for e in (-RANK_ERROR, RANK_ERROR)],
+    )
+    inside = [F.col(f"merged.q{i}").between(F.col(f"quartiles.q{2 * i}"), F.col(f"quartiles.q{2 * i + 1}")) for i in range(3)]
+    joined = merged.alias("merged").join(exact, "column").join(quartiles.alias("quartiles"), "column", "left")
+    return joined.select(
+        "column", "n_rows", "n_known",
+        (F.abs(F.col("n_distinct") - F.col("exact")) <= DISTINCT_ERROR * F.col("exact")).alias("distinct_within"),
+        reduce(Column.__and__, inside).alias("quartiles_within"),
+    )
+
+
 def q_sample_values(m: Model) -> DataFrame:
     return profile.sample_values(m.fx)
 
