@@ -1,10 +1,12 @@
 import math
+import re
+import unicodedata
 
 import pytest
 from pyspark.sql import functions as F
 
 from prodmart import functions as fn
-from prodmart.functions.text import replace_value, strip
+from prodmart.functions.text import SPELLED, replace_value, strip
 
 
 def apply(spark, values, build, kind="string"):
@@ -158,3 +160,31 @@ def test_explode_tags(spark):
 
 def test_empty_list_to_null(spark):
     assert apply(spark, ["[]", "['a']", None], fn.empty_list_to_null) == [None, "['a']", None]
+
+
+@pytest.mark.parametrize("text, expected", [
+    ("한국어 김치 닭갈비", "hangugeo gimci dalggalbi"), ("없다 왜 의", "eobsda wae yi"), ("שלום עולם", "shlvm `vlm"), ("בְּרֵאשִׁית", "brashyt"),
+    ("مرحبا، ١٢٣؟", "mrhba, 123?"), ("أَحْمَد گلابی", "ahmd glaby"), ("नमस्ते भारत १२", "nmste bhaart 12"), ("হলুদ ৫", "hlud 5"),
+    ("தமிழ்", "tmilll"), ("ａｂｃ Ünï 漢", "abc uni 漢"), ("cafè 한 ß שׁ", "cafe han ss sh"),
+])
+def test_scripts_are_spelled(spark, text, expected):
+    assert spark.createDataFrame([(text,)], "x string").select(fn.clean_text(F.col("x"))).first()[0] == expected
+
+
+def test_every_mapped_character_becomes_ascii(spark):
+    """All of Korean, which its syllables' Unicode names spell out, and every letter and digit of the other scripts added."""
+    korean = [chr(c) for c in range(0xAC00, 0xD7A4)]
+    others = [chr(c) for a, b in ((0x5D0, 0x5EB), (0x620, 0x64B), (0x660, 0x66A), (0x900, 0xD80)) for c in range(a, b)]
+    others = [c for c in others if unicodedata.category(c) in ("Lo", "Nd") and spelled(c)]
+    df = spark.createDataFrame(list(enumerate(korean + others)), "i int, x string")
+    got = [r[0] for r in df.orderBy("i").select(fn.clean_text(F.col("x"))).collect()]
+    assert got[: len(korean)] == [unicodedata.name(c).split()[-1].lower() for c in korean]
+    assert len(others) > 400 and all(g.isascii() for g in got[len(korean) :])
+
+
+def spelled(c):
+    """Letters with a plain name; the few signs with names of several words pass through."""
+    name = unicodedata.name(c)
+    return unicodedata.category(c) == "Nd" or 0x5D0 <= ord(c) < 0x64B and c in SPELLED or bool(
+        re.match(r"\w+ LETTER [A-Z]{1,5}$", name) and not name.startswith(("ARABIC", "HEBREW"))
+    )
