@@ -554,6 +554,7 @@ ORACLE["q_sketch_profile"] = " UNION ALL ".join(
     {'true' if number else 'CAST(NULL AS BOOLEAN)'} AS quartiles_within FROM lineitem"""
     for c, number in (("l_orderkey", 1), ("l_suppkey", 1), ("l_extendedprice", 1), ("l_returnflag", 0), ("l_linestatus", 0))
 )
+ORACLE["q_explore_clustered"] = ORACLE["q_explore"]
 ORACLE["q_union_batches"] = """SELECT * FROM documents
     UNION ALL BY NAME SELECT conv_id, turn, role, text FROM conversations"""
 ORACLE["q_load_raw"] = sql(

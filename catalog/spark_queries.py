@@ -14,6 +14,7 @@ from prodmart.functions import (
 from prodmart.functions.text import replace_value
 from prodmart.operators import profile, quality
 from prodmart.operators.keyed import append_new, first_wins, validate_rows
+from prodmart.operators.layout import clustered
 from prodmart.operators.ranks import dense_ids, exact_quantiles
 from prodmart.operators.sketches import DISTINCT_ERROR, RANK_ERROR, estimates, merge_sketches, sketch_columns
 from prodmart.operators.stable_ids import IdDictionary
@@ -540,6 +541,21 @@ def q_explore(m: Model) -> DataFrame:
     return filled_fact(rows)
 
 
+def q_explore_clustered(m: Model) -> DataFrame:
+    """The same filters on a fact table written along a curve over the columns they ask for."""
+    m = m.stored
+    stg = m.stg
+    categories = star.dim_category(stg)
+    fact = star.fact_products(stg, star.dim_brand(stg), categories)
+    lake = Lakehouse(m.spark, scratch_path(m.spark, "lake"))
+    stored = lake.refresh(clustered(fact, ["nutriscore_grade", "nova_group", "energy_kcal_100g", "category_id"], 8), "marts", "fact")
+    rows = reports.explore_products(
+        stored, m.bridge_country, categories, country_names=["country-3", "country-8"],
+        groups=["economy", "promo", "standard"], grades=["a", "b", "c"], nova=[1, 2, 3], calories=(50, 900),
+    )
+    return filled_fact(rows)
+
+
 def q_kpis(m: Model) -> DataFrame:
     m = m.stored
     return reports.kpis(m.fact)

@@ -11,6 +11,7 @@ from prodmart.plans.load import RawLog, drop_dead_tries, load_raw, read_raw, rea
 from prodmart.schema import COLUMNS, ORDER_COLUMNS, RAW_COLUMNS, conform
 from prodmart.sources.commits import CommitLog, Conflict, create_once
 from prodmart.sources.tables import Lakehouse
+from scans import rows_scanned
 
 NOW = datetime(2024, 5, 1, tzinfo=timezone.utc)
 SCHEMA = "page_no long, pos long, code string, product_name string, lang string, manufacturing_places_tags string, " \
@@ -240,15 +241,6 @@ def test_counts_come_from_the_write(spark, lake):
     assert read_raw(lake).where(F.col("batch_id") == "b").count() == 3
 
 
-def rows_scanned(df):
-    """Rows that the scan of a frame hands on, after it skipped row groups."""
-    df.collect()
-    plan = df._jdf.queryExecution().executedPlan()
-    plan = plan.executedPlan() if "AdaptiveSparkPlan" in plan.nodeName() else plan
-    leaves = plan.collectLeaves()
-    return sum(leaves.apply(i).metrics().apply("numOutputRows").value() for i in range(leaves.size()))
-
-
 def test_small_batches_read_only_what_may_hold_their_keys(spark, lake):
     """Keys of three batches interleave, so no range of keys tells them apart; their Bloom filters do."""
     for b in range(3):
