@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import re
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession, types as T
@@ -181,6 +182,25 @@ def store(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+@contextmanager
+def scratch_folder(spark: SparkSession) -> Iterator[str]:
+    """A work folder of one job: intermediates that are made inside go below it and are removed at the end.
+
+    Results that read them have to be written before.
+    """
+    before = spark.conf.get("spark.checkpoint.dir", None)
+    folder = scratch_path(spark, "job")
+    spark.conf.set("spark.checkpoint.dir", folder)
+    try:
+        yield folder
+    finally:
+        if before is None:
+            spark.conf.unset("spark.checkpoint.dir")
+        else:
+            spark.conf.set("spark.checkpoint.dir", before)
+        remove(spark, folder)
+
+
 def save_bucketed(df: DataFrame, table: str, keys: list[str], buckets: int, path: str, mode: str = "append") -> None:
     """Catalog table bucketed and sorted by `keys`, so joins on them need no shuffle of this side."""
     df.write.mode(mode).option("path", path).bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(table)
