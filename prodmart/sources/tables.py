@@ -6,6 +6,7 @@ import re
 import uuid
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession, types as T
@@ -167,9 +168,12 @@ def work_dir(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+_job_folder: ContextVar[str | None] = ContextVar("job_folder", default=None)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new path below the work folder."""
-    return f"{work_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    """A new path below the work folder, or below that of the job in a `scratch_folder`."""
+    return f"{_job_folder.get() or work_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def store(df: DataFrame, name: str) -> DataFrame:
@@ -184,20 +188,16 @@ def store(df: DataFrame, name: str) -> DataFrame:
 
 @contextmanager
 def scratch_folder(spark: SparkSession) -> Iterator[str]:
-    """A work folder of one job: intermediates that are made inside go below it and are removed at the end.
+    """A work folder of one job: intermediates that `store` makes inside go below it and are removed at the end.
 
     Results that read them have to be written before.
     """
-    before = spark.conf.get("spark.checkpoint.dir", None)
     folder = scratch_path(spark, "job")
-    spark.conf.set("spark.checkpoint.dir", folder)
+    token = _job_folder.set(folder)
     try:
         yield folder
     finally:
-        if before is None:
-            spark.conf.unset("spark.checkpoint.dir")
-        else:
-            spark.conf.set("spark.checkpoint.dir", before)
+        _job_folder.reset(token)
         remove(spark, folder)
 
 
