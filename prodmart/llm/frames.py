@@ -18,10 +18,11 @@ def shared_dir(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """Write an intermediate below the shared folder and return the written table; its lineage ends there."""
+def written(df: DataFrame, name: str, *by: str) -> DataFrame:
+    """Write an intermediate below the shared folder, in directories of the columns `by`, and return the written table;
+    its lineage ends there."""
     path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.partitionBy(*by).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

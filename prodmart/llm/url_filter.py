@@ -9,8 +9,9 @@ Keys are `host/path/`: a host or any parent domain of it, with a prefix of the p
 one key for each of its last host labels and first path segments, up to what the lists use; and, whether it has a path or
 not, `host/` for each of those labels. The universe holds all of these.
 
-Everything here is DataFrame expressions. Bitmaps are bounded by `max_bits`; longer lists get fewer bits a key,
-which adds levels and leaves the answers exact.
+Everything here is DataFrame expressions. A bitmap has at most `max_bits` bits. A list too long for that is split by the
+hash of its keys into shards with a cascade each, and the rows are asked shard after shard with a written table between,
+so the bitmaps in memory at a time stay bounded however long the list is. Short lists, the common case, take one pass.
 
 Defined results: a null URL, or one without `://`, has an empty host and path and matches nothing, so it gets
 the default verdict; rows repeat as they come; empty tables and empty lists work; a key listed twice with
@@ -91,13 +92,21 @@ class Cascade:
 def build_cascade(
     universe: DataFrame, listed: DataFrame, bits_per_key: int = 10, max_bits: int = 1 << 27, max_levels: int = 40
 ) -> Cascade:
-    """universe: every key of the corpus; listed: the listed ones. Both have the column `key`.
+    """One cascade. universe: every key of the corpus; listed: the listed ones. Both have the column `key`.
 
-    The one join with the list is here, where it splits the universe; each further level only rereads
-    the keys that the level before got wrong.
+    Raises when `max_bits` is too little for the list; `build_shards` splits such a list.
     """
+    return _cascade(_marked(universe, listed), bits_per_key, max_bits, max_levels)
+
+
+def _marked(universe: DataFrame, listed: DataFrame) -> DataFrame:
+    """The keys of the universe, `listed` or NULL: the one join with the list."""
     marked = listed.select("key").distinct().withColumn("listed", F.lit(True))
-    keys = written(universe.select("key").distinct().join(marked, "key", "left"), "keys")
+    return written(universe.select("key").distinct().join(marked, "key", "left"), "keys")
+
+
+def _cascade(keys: DataFrame, bits_per_key: int, max_bits: int, max_levels: int) -> Cascade:
+    """Each level after the first only rereads the keys that the level before got wrong."""
     inside, outside = keys.filter("listed").select("key"), keys.filter("listed is null").select("key")
     levels: list[Level] = []
     n = inside.count()
@@ -111,6 +120,57 @@ def build_cascade(
     return Cascade(tuple(levels))
 
 
+@dataclass(frozen=True)
+class Shards:
+    """Cascades of the parts of a list; a key belongs to the part its hash names."""
+
+    parts: tuple[Cascade, ...]
+
+    def part(self, key: Column) -> Column:
+        return _part(key, len(self.parts))
+
+    def lists(self, key: Column, at: int) -> Column:
+        """Whether a key of part `at` is listed, false for keys of other parts."""
+        if at >= len(self.parts):
+            return F.lit(False)
+        found = self.parts[at].lists(key)
+        return found if len(self.parts) == 1 else F.when(self.part(key) == at, found).otherwise(False)
+
+
+def _part(key: Column, n: int) -> Column:
+    return F.pmod(F.xxhash64(key, F.lit(-1)), F.lit(n).cast("long"))
+
+
+def build_shards(
+    universe: DataFrame, listed: DataFrame, bits_per_key: int = 10, max_bits: int = 1 << 27, max_levels: int = 40
+) -> Shards:
+    """As many cascades as the list needs for `bits_per_key` bits a key in bitmaps of at most `max_bits`.
+
+    The marked universe is written once, in a directory per shard when there are several, so that a shard's levels
+    read its own keys alone.
+    """
+    keys = _marked(universe, listed)
+    n = keys.agg(F.count("listed")).first()[0]
+    shards = max(1, -(-n * bits_per_key // max_bits))
+    if shards == 1:
+        return Shards((_cascade(keys, bits_per_key, max_bits, max_levels),))
+    parted = written(keys.withColumn("part", _part(F.col("key"), shards)), "shards", "part")
+    return Shards(tuple(_cascade(parted.filter(F.col("part") == i), bits_per_key, max_bits, max_levels) for i in range(shards)))
+
+
+def ask(rows: DataFrame, asked: dict[str, tuple[Shards, Column]]) -> DataFrame:
+    """Add a boolean column per entry: whether its list holds its key.
+
+    Lists of one shard are asked in the plan itself. Each further shard is a pass over the rows whose result is written,
+    which frees the bitmaps of the shard before.
+    """
+    rows = rows.withColumns({name: shards.lists(key, 0) for name, (shards, key) in asked.items()})
+    for at in range(1, max(len(shards.parts) for shards, _ in asked.values())):
+        more = {name: F.col(name) | shards.lists(key, at) for name, (shards, key) in asked.items() if at < len(shards.parts)}
+        rows = written(rows, "asked").withColumns(more)
+    return rows
+
+
 def url_keys(host: Column, path: Column, labels: int, segments: int) -> list[Column]:
     """The keys of a URL: its last 1 to `labels` host labels with its first 1 to `segments` path parts; NULL where it has fewer."""
     parts = F.split(host, r"\.")
@@ -125,21 +185,34 @@ def url_keys(host: Column, path: Column, labels: int, segments: int) -> list[Col
 
 
 def filter_urls(
-    pages: DataFrame, rules: list[tuple[str, str]], blocked_hosts: list[str], url: str = "url", default: str = "allow"
-) -> DataFrame:
+    pages: DataFrame, rules: list[tuple[str, str]] | DataFrame, blocked_hosts: list[str] | DataFrame, url: str = "url",
+    default: str = "allow", max_bits: int = 1 << 27,
+) -> DataFrame:
     """The input with `host`, `path`, `rule` and `verdict`.
 
     rules: (verdict, key), the key being a host, a slash and a path that is empty or ends in a slash. A rule fits its
     host and all subdomains when the URL's path starts with the rule's; the longest that fits wins. Where
     none fits, a URL below one of `blocked_hosts` is blocked and any other gets the default.
+
+    Lists too long for the driver are frames: rules with the columns verdict and key, hosts with the column host. Their
+    null hosts list nothing.
     """
-    if any(v not in ("allow", "block") or not key.endswith("/") or key.startswith("/") for v, key in rules):
-        raise ValueError(f"rules are (allow or block, host/path/): {rules}")
     spark = pages.sparkSession
-    lists = {v: [key for w, key in rules if w == v] for v in ("allow", "block")} | {"host": [h + "/" for h in blocked_hosts]}
-    every = [key for keys in lists.values() for key in keys] or ["/"]
-    labels = max(key.split("/", 1)[0].count(".") + 1 for key in every)
-    segments = max(key.count("/") for key in every)
+    if not isinstance(rules, DataFrame):
+        rules = spark.createDataFrame(rules, "verdict string, key string")
+    if not isinstance(blocked_hosts, DataFrame):
+        blocked_hosts = spark.createDataFrame([(h,) for h in blocked_hosts], "host string")
+    well_formed = F.col("verdict").isin("allow", "block") & F.col("key").endswith("/") & ~F.col("key").startswith("/")
+    wrong = rules.filter(~F.coalesce(well_formed, F.lit(False))).head(5)
+    if wrong:
+        raise ValueError(f"rules are (allow or block, host/path/): {[tuple(r) for r in wrong]}")
+    lists = {v: rules.filter(F.col("verdict") == v).select("key") for v in ("allow", "block")}
+    lists["host"] = blocked_hosts.filter("host is not null").select(F.concat("host", F.lit("/")).alias("key"))
+    every = lists["allow"].union(lists["block"]).union(lists["host"])
+    deepest = every.agg(
+        F.max(F.size(F.split(F.substring_index("key", "/", 1), r"\."))), F.max(F.size(F.split("key", "/")) - 1)
+    ).first()
+    labels, segments = deepest[0] or 1, deepest[1] or 1
 
     inner = Inner(pages)
     host, path = host_and_path(F.col(inner[url]).cast("string"))
@@ -149,20 +222,21 @@ def filter_urls(
     hosts = [F.concat(F.when(F.size(F.split("host", r"\.")) >= n, F.substring_index("host", ".", -n)), F.lit("/"))
              for n in range(1, labels + 1)]
     universe = rows.select(F.explode(F.array(*keys, *hosts)).alias("key")).filter("key is not null")
-    universe = written(universe.union(spark.createDataFrame([(k,) for k in every], "key string")).distinct(), "universe")
-    found = {name: build_cascade(universe, spark.createDataFrame([(k,) for k in ks], "key string")) for name, ks in lists.items()}
+    universe = written(universe.union(every).distinct(), "universe")
+    found = {name: build_shards(universe, ks, max_bits=max_bits) for name, ks in lists.items()}
 
     rows = rows.withColumns({f"_key{i}": key for i, key in enumerate(keys)})
-    named = [F.col(f"_key{i}") for i in range(len(keys))]
+    rows = rows.withColumns({f"_host{n}": h for n, h in enumerate(hosts)})
+    asked = {f"_{v}{i}": (found[v], F.col(f"_key{i}")) for i in range(len(keys)) for v in ("allow", "block")}
+    below = {f"_below{n}": (found["host"], F.col(f"_host{n}")) for n in range(len(hosts))}
+    rows = ask(rows, {**asked, **below})
     fits = [
-        F.when(found[v].lists(key), F.struct(F.length(key).alias("n"), F.lit(v).alias("verdict"), key.alias("key")))
-        for key in named for v in ("allow", "block")
+        F.when(F.col(f"_{v}{i}"), F.struct(F.length(f"_key{i}").alias("n"), F.lit(v).alias("verdict"), F.col(f"_key{i}").alias("key")))
+        for i in range(len(keys)) for v in ("allow", "block")
     ]
-    rows = rows.withColumns({f"_host{n}": h for n, h in enumerate(hosts)})
-    below = reduce(Column.__or__, [found["host"].lists(F.col(f"_host{n}")) for n in range(len(hosts))])
-    rows = rows.withColumns({"_best": F.greatest(*fits), "_below": below})
+    rows = rows.withColumns({"_best": F.greatest(*fits), "_blocked": reduce(Column.__or__, [F.col(name) for name in below])})
     rows = rows.withColumns({
         "rule": F.col("_best.key"),
-        "verdict": F.coalesce(F.col("_best.verdict"), F.when(F.col("_below"), "block").otherwise(default)),
+        "verdict": F.coalesce(F.col("_best.verdict"), F.when(F.col("_blocked"), "block").otherwise(default)),
     })
     return inner.with_results(rows, ["host", "path", "rule", "verdict"])

@@ -18,7 +18,7 @@ from prodmart.llm.queries import BLOCKED_HOSTS, RULES
 from prodmart.llm.revisits import bucketed, canonical_url, latest_earlier, parse_records, resolve_revisits
 from prodmart.llm.textscan import blocks
 from prodmart.llm.tokenizers import TOKENIZERS, byte_pair_counter, file_bytes
-from prodmart.llm.url_filter import build_cascade, filter_urls
+from prodmart.llm.url_filter import ask, build_cascade, build_shards, filter_urls
 
 # --- URL filter ------------------------------------------------------------------------------------------------------
 
@@ -43,6 +43,44 @@ def test_bitmaps_are_bounded(spark):
     assert universe.filter(cascade.lists(F.col("key"))).agg(F.max(F.col("key").cast("int")), F.count("*")).first() == (599, 600)
 
 
+def test_long_lists_are_split_into_shards(spark):
+    universe = spark.range(12000).select(F.col("id").cast("string").alias("key"))
+    listed = universe.filter("cast(key as int) < 8000")
+    few = build_shards(universe, listed, max_bits=1 << 15)
+    assert len(few.parts) == 3 and max(level.bits for part in few.parts for level in part.levels) <= 1 << 15
+    short = build_shards(universe, universe.filter("key = '7'"))
+    assert len(short.parts) == 1
+    rows = universe.union(universe.limit(1).select(F.lit(None).cast("string")))
+    got = ask(rows, {"long": (few, F.col("key")), "short": (short, F.col("key"))}).collect()
+    assert len(got) == 12001
+    for r in got:
+        assert (r.long, r.short) == (r.key is not None and int(r.key) < 8000, r.key == "7")
+
+
+def test_urls_against_sharded_lists(spark):
+    """Lists of several shards, given as frames, decide like plain Python sets."""
+    hosts = [f"h{i}.example{i % 7}.com" for i in range(600)]
+    urls = [f"http://www.{h}/{p}" for h in hosts for p in ("", "a/", "a/b/x", "b")] + [f"http://{h}" for h in hosts] + [None, "", "x"]
+    rules = [("block" if i % 3 else "allow", f"{h}/{'a/' if i % 2 else ''}") for i, h in enumerate(hosts) if i % 5 == 0]
+    blocked = [h for i, h in enumerate(hosts) if i % 4 == 1]
+    pages = spark.createDataFrame([(u,) for u in urls], "url string")
+    frames = spark.createDataFrame(rules, "verdict string, key string"), spark.createDataFrame([(h,) for h in [*blocked, None]], "host string")
+    got = {r.url: (r.rule, r.verdict) for r in filter_urls(pages, *frames, max_bits=512).collect()}
+
+    def expected(url):
+        rest = (url or "").partition("://")[2]
+        host, _, path = rest.partition("/")
+        path = "/" + path if "/" in rest else ""
+        below = lambda h: host == h or host.endswith("." + h)
+        fits = [(len(k), v, k) for v, k in rules if below(k.split("/", 1)[0]) and path.startswith("/" + k.split("/", 1)[1])]
+        if fits:
+            _, verdict, key = max(fits)
+            return key, verdict
+        return None, "block" if any(map(below, blocked)) else "allow"
+
+    assert got == {u: expected(u) for u in urls}
+
+
 def test_rules_and_urls(spark):
     urls = [
         "http://A.Example.net/en/1", "http://example.net/en", "https://x.net", "https://x.net/", "https://notexample.net/en/",
