@@ -576,6 +576,7 @@ ORACLE["q_load_csv"] = sql(
     QUALIFY row_number() OVER (PARTITION BY code ORDER BY pos % 2 DESC, pos) = 1""",
 )
 ORACLE["q_ingest_pages"] = ORACLE["q_load_csv"]
+ORACLE["q_ingest_new_keys"] = ORACLE["q_load_csv"]
 ORACLE["q_publish_after_gate"] = "SELECT c_custkey, c_name FROM customer"
 ORACLE["q_snapshot_table"] = ORACLE["q_scd2_apply"]
 TABLES = {"dim_brand": "dim_brand", "dim_category": "dim_category", "bridge_product_country": "bridge_country",

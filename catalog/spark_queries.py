@@ -29,7 +29,7 @@ from prodmart.schema import COLUMNS, ORDER_COLUMNS, RAW_COLUMNS, conform
 from prodmart.session import pin_utc
 from prodmart.sources.landing import read_extract_csv, read_pages, union_batches
 from prodmart.sources.tables import Lakehouse, read_model_runs, scratch_path, store, write_csv
-from prodmart.streaming.incremental import ingest_pages
+from prodmart.streaming.incremental import ingest_new_keys, ingest_pages
 
 from .fixture import EVERY, PRODUCT, fx, table
 
@@ -257,6 +257,17 @@ def q_ingest_pages(m: Model) -> DataFrame:
     return read_raw(lake).select("code", "product_name", "lang", "energy_kcal_100g", "fat_level")
 
 
+def q_ingest_new_keys(m: Model) -> DataFrame:
+    """The same passes with the known keys in the stream's state, which the second pass takes from the checkpoint."""
+    path, checkpoint = scratch_path(m.spark, "landing"), scratch_path(m.spark, "ingest")
+    lake = Lakehouse(m.spark, scratch_path(m.spark, "lake"))
+    for late in (False, True):
+        landing = landed(m).where((F.col("day") == "d2") == F.lit(late))
+        landing.write.mode("append").partitionBy("day", "page").text(path)
+        ingest_new_keys(m.spark, path, lake, checkpoint, "feed", as_of=AS_OF).awaitTermination()
+    return read_raw(lake).select("code", "product_name", "lang", "energy_kcal_100g", "fat_level")
+
+
 def q_load_csv(m: Model) -> DataFrame:
     """Extracts of several folders loaded as one batch; first row of each code in file order."""
     path = scratch_path(m.spark, "extracts")

@@ -2,9 +2,9 @@ import json
 
 from pyspark.sql import functions as F
 
-from prodmart.plans.load import read_quarantine, read_raw
+from prodmart.plans.load import STAGED_SCHEMA, RawLog, read_quarantine, read_raw, read_rejected
 from prodmart.sources.tables import Lakehouse
-from prodmart.streaming.incremental import ingest_pages
+from prodmart.streaming.incremental import ingest_new_keys, ingest_pages
 
 
 def page(folder, name, *products):
@@ -42,3 +42,51 @@ def test_one_file_per_batch(spark, tmp_path):
     rows = run(spark, folder, lake, tmp_path, files_per_batch=1)
     assert [code for code, _ in rows] == ["c0", "c1", "c2", "same"]
     assert read_raw(lake).select("batch_id").distinct().count() == 3
+
+
+def both(spark, folder, tmp_path):
+    """The rows of the stateful ingest and of the plain one after another pass."""
+    stamp = F.lit("2024-01-01").cast("timestamp")
+    rows = []
+    for start in (ingest_new_keys, ingest_pages):
+        lake = Lakehouse(spark, str(tmp_path / start.__name__))
+        start(spark, str(folder), lake, str(tmp_path / f"{start.__name__}_checkpoint"), "feed", as_of=stamp).awaitTermination()
+        rows.append((
+            sorted(map(str, read_raw(lake).drop("batch_id").collect())),
+            sorted((r["body"], r["batch_id"]) for r in read_quarantine(lake).collect()),
+            sorted((r["code"], r["reject_reason"]) for r in read_rejected(lake).collect()),
+        ))
+    return rows
+
+
+def test_state_keeps_known_keys(spark, tmp_path, conf):
+    """A restart from the checkpoint, late repetitions, a rejected first row: the rows of the plain ingest."""
+    conf("spark.sql.shuffle.partitions", "2")
+    folder = tmp_path / "landing"
+    folder.mkdir()
+    page(folder, "page_2.json", ("a", "A2"), ("b", "B1"), ("hot", "é\"\\n"), *[("hot", f"h{i}") for i in range(50)])
+    page(folder, "page_10.json", ("a", "A10"), ("", "no code"))
+    (folder / "page_4.json").write_text(json.dumps({"products": [{"code": "long", "product_name": "x", "lang": "x" * 11}]}))
+    (folder / "page_3.json").write_text("<html>")
+    got, expected = both(spark, folder, tmp_path)
+    assert got == expected and [code for code, _ in got[2]] == ["long"]
+    # late: an earlier page of a known key, a rejected key that comes again in a good row
+    page(folder, "page_1.json", ("a", "A1"), ("long", "short now"), ("c", "C1"))
+    got, expected = both(spark, folder, tmp_path)
+    assert got == expected
+    lake = Lakehouse(spark, str(tmp_path / "ingest_new_keys"))
+    # the second batch staged its news alone
+    staged = RawLog(lake).rows("staged", STAGED_SCHEMA, RawLog(lake).state()[1]).where("batch_id = 'feed_00000001'")
+    assert sorted(r["code"] for r in staged.collect()) == ["c", "long"]
+
+
+def test_keys_of_other_loads_do_not_enter_twice(spark, tmp_path, conf):
+    conf("spark.sql.shuffle.partitions", "2")
+    lake = Lakehouse(spark, str(tmp_path / "lake"))
+    stamp = F.lit("2024-01-01").cast("timestamp")
+    for feed, products in (("one", [("a", "A1")]), ("two", [("a", "A2"), ("b", "B2")])):
+        folder = tmp_path / feed
+        folder.mkdir()
+        page(folder, "page_1.json", *products)
+        ingest_new_keys(spark, str(folder), lake, str(tmp_path / f"checkpoint_{feed}"), feed, as_of=stamp).awaitTermination()
+    assert sorted((r["code"], r["product_name"]) for r in read_raw(lake).collect()) == [("a", "a1"), ("b", "b2")]
