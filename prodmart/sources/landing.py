@@ -32,7 +32,10 @@ NA_VALUES = [
     "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA",
     "NULL", "NaN", "None", "n/a", "nan", "null",
 ]
-PAGE_OPTIONS = {"multiLine": "true", "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+# A file is one record, as nothing holds this separator. A page that is taken in as one text has its numbers and objects
+# copied from memory; read with `multiLine`, Spark opens the file again for every value that is not a JSON string.
+END_OF_PAGE = "\0end of page 8f1c6b52-3d0e-4c55-9a7e-6f0d2b9c41aa\0"
+PAGE_OPTIONS = {"lineSep": END_OF_PAGE, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
 
 
 def typed(name: str, col: Column) -> Column:

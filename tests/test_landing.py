@@ -55,6 +55,23 @@ def test_read_pages(spark, pages):
     assert len(bad) == 1 and "502" in bad[0]["body"] and bad[0]["file_path"].endswith("page_3.json")
 
 
+def test_pages_are_read_once(spark, tmp_path):
+    """Numbers and objects that become text are copied from memory, with all their digits and blanks."""
+    record = '{"code": %d, "nova_group": 1.50e0, "completeness": 0.10, "nutriments": {"fat_100g": 1.50, "b": [1 ,2]}, "url": 7.0}'
+    for number in range(4):
+        records = ",\n".join(record % i for i in range(500))
+        (tmp_path / f"page_{number}.json").write_text('{"products":\n[' + records + "]}\n")
+
+    def bytes_read():
+        return sum(s.getBytesRead() for s in spark._jvm.org.apache.hadoop.fs.FileSystem.getAllStatistics())
+
+    before = bytes_read()
+    rows = read_pages(spark, str(tmp_path))[0].collect()
+    assert bytes_read() - before < 3 * sum(f.stat().st_size for f in tmp_path.iterdir())
+    assert len(rows) == 2000
+    assert {(r["nova_group"], r["nutriments"], r["url"]) for r in rows} == {(1.5, '{"fat_100g": 1.50, "b": [1 ,2]}', "7.0")}
+
+
 def test_page_fields_and_strict(spark, pages):
     fields = {r["field"]: r["n_records"] for r in page_fields(spark, pages).collect()}
     assert fields["code"] == 3 and fields["product_name"] == 3 and fields["unknown_field"] == 1
