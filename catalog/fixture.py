@@ -80,6 +80,7 @@ MORE = {
        for name in ("url", "image_url", "image_front_url", "image_front_small_url")},
 }
 EVERY = PRODUCT | MORE
+ROWS_PER_TASK = 20_000
 
 
 def select_sql(columns: dict[str, str]) -> str:
@@ -94,4 +95,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def fx(spark: SparkSession, sf_dir: str, columns: dict[str, str] = PRODUCT) -> DataFrame:
-    return table(spark, sf_dir, "part").selectExpr(*[f"{expr} AS {name}" for name, expr in columns.items()])
+    """The rows are dealt to tasks by their number: those of `part` are short, and a scan cut by bytes would give a task
+    so many of them that the wide rows made of them fill its memory."""
+    parts = table(spark, sf_dir, "part")
+    tasks = -(-parts.count() // ROWS_PER_TASK)
+    if tasks > 1:
+        parts = parts.repartition(tasks, *parts.columns)
+    return parts.selectExpr(*[f"{expr} AS {name}" for name, expr in columns.items()])
