@@ -36,6 +36,7 @@ from .fixture import EVERY, PRODUCT, fx, table
 BATCH = "batch"
 AS_OF = datetime(2024, 1, 1, tzinfo=timezone.utc)
 CUT = "1998-01-01"
+BUNDLE = 250
 MODELS = [
     "dim_brand", "dim_category", "bridge_product_country", "bridge_product_brand", "dim_country",
     "fact_products", "mart_nutrient_profile", "mart_brand_quality",
@@ -226,18 +227,28 @@ def by_day(m: Model) -> DataFrame:
 
 def landed(m: Model) -> DataFrame:
     """Bodies of pages in several day folders, a broken one and one without records among them."""
-    records = by_day(m).groupBy("day", F.expr("pos DIV 100").alias("page")).agg(
+    # All pages of a bundle are one task's, in their order, so that their file names tell it.
+    feed = by_day(m).withColumn("page", F.expr("pos DIV 100")).withColumn("bundle", F.expr(f"page DIV {BUNDLE}"))
+    records = feed.repartition("day", "bundle").groupBy("day", "bundle", "page").agg(
         F.sort_array(F.collect_list(F.struct("pos", F.struct(*FILLED).alias("product")))).alias("records")
     )
-    pages = records.select("day", "page", F.to_json(F.struct(F.col("records.product").alias("products"))).alias("value"))
-    odd = m.spark.createDataFrame([("d3", 0, "<html>502"), ("d3", 1, '{"count": 0}')], "day string, page long, value string")
-    return pages.unionByName(odd)
+    body = F.to_json(F.struct(F.col("records.product").alias("products"))).alias("value")
+    odd = m.spark.createDataFrame(
+        [("d3", 0, 0, "<html>502"), ("d3", 0, 1, '{"count": 0}')], "day string, bundle long, page long, value string"
+    )
+    return records.select("day", "bundle", "page", body).unionByName(odd)
+
+
+def land(pages: DataFrame, path: str) -> None:
+    """One file per page; a folder holds a bundle of pages, as one for each page takes longer to list than to read."""
+    ordered = pages.sortWithinPartitions("day", "bundle", "page").drop("page")
+    ordered.write.mode("append").partitionBy("day", "bundle").option("maxRecordsPerFile", 1).text(path)
 
 
 def q_read_pages(m: Model) -> DataFrame:
     """Landed pages; first row of each code, and the bodies in quarantine."""
     path = scratch_path(m.spark, "landing")
-    landed(m).write.partitionBy("day", "page").text(path)
+    land(landed(m), path)
 
     rows, quarantine = read_pages(m.spark, path)
     first = first_wins(drop_missing_keys(rows), ["code"], ORDER_COLUMNS)
@@ -251,8 +262,7 @@ def q_ingest_pages(m: Model) -> DataFrame:
     path, checkpoint = scratch_path(m.spark, "landing"), scratch_path(m.spark, "ingest")
     lake = Lakehouse(m.spark, scratch_path(m.spark, "lake"))
     for late in (False, True):
-        landing = landed(m).where((F.col("day") == "d2") == F.lit(late))
-        landing.write.mode("append").partitionBy("day", "page").text(path)
+        land(landed(m).where((F.col("day") == "d2") == F.lit(late)), path)
         ingest_pages(m.spark, path, lake, checkpoint, "feed", as_of=AS_OF).awaitTermination()
     return read_raw(lake).select("code", "product_name", "lang", "energy_kcal_100g", "fat_level")
 
@@ -262,8 +272,7 @@ def q_ingest_new_keys(m: Model) -> DataFrame:
     path, checkpoint = scratch_path(m.spark, "landing"), scratch_path(m.spark, "ingest")
     lake = Lakehouse(m.spark, scratch_path(m.spark, "lake"))
     for late in (False, True):
-        landing = landed(m).where((F.col("day") == "d2") == F.lit(late))
-        landing.write.mode("append").partitionBy("day", "page").text(path)
+        land(landed(m).where((F.col("day") == "d2") == F.lit(late)), path)
         ingest_new_keys(m.spark, path, lake, checkpoint, "feed", as_of=AS_OF).awaitTermination()
     return read_raw(lake).select("code", "product_name", "lang", "energy_kcal_100g", "fat_level")
 
