@@ -2,55 +2,36 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from pyspark.sql import Column, DataFrame, functions as F
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from ..operators.keyed import first_wins
 
-JSON = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
-PACKED = "key string, passes boolean, place string, body string"
+KEY, FREE, NEW = "_key", "_free", "_new"
 
 
-def first_seen(rows: DataFrame, key: Column, order: Column, passes: Column) -> DataFrame:
-    """The rows whose key no earlier row of the stream had; of several in one micro-batch the one with the least `order`.
+def with_new_keys(rows: DataFrame, key: Column, passes: Column) -> DataFrame:
+    """The rows of a stream and, for every key that no earlier row had, a row with `_new` that names it.
 
-    `order` is text that no two rows share. Rows where `passes` is true go through as they are and leave no trace. A NULL
-    key is a key like any other. The choice depends on the micro-batch and the state alone, so a micro-batch that runs again
-    after a failure gives the same rows.
+    Rows where `passes` is true leave no trace. A NULL key is a key like any other.
 
-    State: one entry per key, its text and a number, never the rows; it grows with the distinct keys of the feed and not
-    with their repetitions. Entries do not time out: a processing-time timeout would keep an `availableNow` pass from ending, an
-    event-time one drops late rows. Spark keeps the state in as many partitions as there are shuffle partitions at the
-    first start; for many keys set `spark.sql.streaming.stateStore.providerClass` to the RocksDB provider, which holds it on disk.
+    State: one entry per key, its text, never the rows; it grows with the distinct keys of the feed and not
+    with their repetitions. Entries do not time out: an event-time limit would drop late rows. Spark keeps the state in as
+    many partitions as there are shuffle partitions at the first start; for many keys set
+    `spark.sql.streaming.stateStore.providerClass` to the RocksDB provider, which holds it on disk.
+    """
+    known = F.coalesce(F.concat(F.lit("="), key.cast("string")), F.lit(""))
+    marked = rows.withColumns({KEY: known, FREE: F.coalesce(passes, F.lit(False)), NEW: F.lit(False)})
+    keys = marked.where(~F.col(FREE)).select(KEY).dropDuplicates([KEY])
+    return marked.unionByName(keys.withColumns({FREE: F.lit(False), NEW: F.lit(True)}), allowMissingColumns=True)
+
+
+def first_seen(batch: DataFrame, order: list[str | Column]) -> DataFrame:
+    """Of a micro-batch of `with_new_keys`: the rows that pass, and the first row of each new key by `order`.
 
-    Rows travel as one JSON text each. Every task first drops the repetitions within its Arrow batches, so a key with a third
-    of all rows reaches the state as one row per batch of ten thousand.
+    The choice depends on the micro-batch and the state alone, so a micro-batch that runs again after a failure gives the
+    same rows. The micro-batch is read more than once here; persist it, as reading the state again would update it again.
     """
-    columns = T.StructType([T.StructField(f.name, f.dataType) for f in rows.schema.fields])
-    free = F.coalesce(passes, F.lit(False))
-    packed = rows.select(
-        F.when(free, order).otherwise(key.cast("string")).alias("key"), free.alias("passes"), order.alias("place"),
-        F.to_json(F.struct(*rows.columns), JSON).alias("body"),
-    )
-
-    # Nested functions travel to the executors by value, so these need no copy of this package.
-    def thin(frames: Iterator) -> Iterator:
-        for frame in frames:
-            yield frame.sort_values("place").drop_duplicates(["key", "passes"])
-
-    def pick(group: tuple, frames: Iterator, state) -> Iterator:  # noqa: ANN001
-        best = None
-        for frame in frames:
-            least = frame.sort_values("place").head(1)
-            if best is None or least["place"].iloc[0] < best["place"].iloc[0]:
-                best = least
-        if group[1]:
-            yield best
-        elif not state.exists:
-            state.update((1,))
-            yield best
-
-    kept = (
-        packed.mapInPandas(thin, PACKED).groupBy("key", "passes")
-        .applyInPandasWithState(pick, PACKED, "n int", "append", "NoTimeout")
-    )
-    return kept.select(F.from_json("body", columns, JSON).alias("row")).select("row.*")
+    rows = batch.where(~F.col(NEW))
+    news = batch.where(F.col(NEW)).select(KEY)
+    first = first_wins(rows.where(~F.col(FREE)).join(news, KEY, "left_semi"), [KEY], order)
+    return rows.where(F.col(FREE)).unionByName(first).drop(KEY, FREE, NEW)

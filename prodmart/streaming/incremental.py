@@ -11,9 +11,10 @@ from pyspark.sql.streaming import StreamingQuery
 from ..operators.keyed import flag_rows, load_rules
 from ..plans.clean import clean_products
 from ..plans.load import KEYS, load_raw
+from ..schema import ORDER_COLUMNS
 from ..sources.landing import PAGE_OPTIONS, PAGE_SCHEMA, bad_pages, page_rows
 from ..sources.tables import Lakehouse
-from .first_seen import first_seen
+from .first_seen import first_seen, with_new_keys
 
 
 def ingest_pages(
@@ -57,29 +58,28 @@ def ingest_new_keys(
 ) -> StreamingQuery:
     """Like `ingest_pages`, for feeds that mostly repeat what landed before: known keys end in the stream's state.
 
-    Rows are cleaned and validated in the stream, and only the first good row of each key goes on to the load, whose
+    Rows are cleaned and validated in the stream, and only the first good row of each new key goes on to the load, whose
     look-up in the stored table then is as small as the news: few keys become a filter on its Bloom filters. That look-up
     still decides, so a key of another load never enters twice. Rejected rows and unreadable pages are set aside as before;
-    repetitions of known keys are neither staged nor counted. Pages are parsed a second time for those that cannot be
-    read. `first_seen` says how large the state gets.
+    repetitions of known keys are neither staged nor counted. Pages are parsed three times: for the rows, for their keys and
+    for those that cannot be read. `with_new_keys` says how large the state gets.
     """
     stamp = F.lit(None) if as_of is None else as_of  # the load fills it in
     pages = landed_pages(spark, landing, files_per_batch)
     rows = clean_products(page_rows(pages), name, stamp)
-    rows = flag_rows(rows, load_rules(rows.columns)).withColumns({"_path": F.lit(None).cast("string"), "_body": F.lit(None).cast("string")})
-    broken = bad_pages(pages).withColumnsRenamed({"file_path": "_path", "body": "_body"})
-    rows = rows.unionByName(broken, allowMissingColumns=True)
+    rows = flag_rows(rows, load_rules(rows.columns))
+    rows = with_new_keys(rows, F.col(KEYS[0]), F.col("reject_reason").isNotNull())
+    broken = bad_pages(pages).select(F.col("file_path").alias("_path"), F.col("body").alias("_body"))
     unread = F.col("_path").isNotNull()
-    place = F.coalesce("_path", F.concat_ws(" ", "source_file", F.lpad(F.col("pos").cast("string"), 20, "0")))
-    news = first_seen(rows, F.col(KEYS[0]), place, unread | F.col("reject_reason").isNotNull())
+    news = rows.unionByName(broken, allowMissingColumns=True)
 
     def load(batch: DataFrame, number: int) -> None:
-        # Reading the state again would be a second update of it, so the few rows that are left are kept.
+        # Reading the state again would be a second update of it.
         batch.persist(StorageLevel.DISK_ONLY)
         try:
-            good = batch.where(~unread).drop("_path", "_body", "reject_reason")
+            read = batch.where(~unread).drop("_path", "_body")
             aside = batch.where(unread).select(F.col("_path").alias("file_path"), F.col("_body").alias("body"))
-            load_raw(lake, good, batch_name(name, number), aside)
+            load_raw(lake, first_seen(read, ORDER_COLUMNS).drop("reject_reason"), batch_name(name, number), aside)
         finally:
             batch.unpersist()
 

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from prodmart.plans.load import STAGED_SCHEMA, RawLog, read_quarantine, read_raw, read_rejected
 from prodmart.sources.tables import Lakehouse
+from prodmart.streaming.first_seen import first_seen
 from prodmart.streaming.incremental import ingest_new_keys, ingest_pages
 
 
@@ -90,3 +91,32 @@ def test_keys_of_other_loads_do_not_enter_twice(spark, tmp_path, conf):
         page(folder, "page_1.json", *products)
         ingest_new_keys(spark, str(folder), lake, str(tmp_path / f"checkpoint_{feed}"), feed, as_of=stamp).awaitTermination()
     assert sorted((r["code"], r["product_name"]) for r in read_raw(lake).collect()) == [("a", "a1"), ("b", "b2")]
+
+
+def test_state_is_asked_once_per_key_without_python(spark, tmp_path, conf):
+    conf("spark.sql.shuffle.partitions", "2")
+    folder = tmp_path / "landing"
+    folder.mkdir()
+    page(folder, "page_1.json", *[(f"k{i % 40}", f"n{i}") for i in range(200)], ("", "no code"))
+    lake = Lakehouse(spark, str(tmp_path / "lake"))
+    stamp = F.lit("2024-01-01").cast("timestamp")
+    query = ingest_new_keys(spark, str(folder), lake, str(tmp_path / "checkpoint"), "feed", as_of=stamp)
+    query.awaitTermination()
+    states = [s for p in query.recentProgress for s in p["stateOperators"]]
+    assert {s["operatorName"] for s in states} == {"dedupe"} and max(s["numRowsTotal"] for s in states) == 40
+    assert sorted((r["code"], r["product_name"]) for r in read_raw(lake).collect()) == sorted((f"k{i}", f"n{i}") for i in range(40))
+    staged = RawLog(lake).rows("staged", STAGED_SCHEMA, RawLog(lake).state()[1])
+    assert staged.count() == 40
+
+
+def test_first_row_of_new_keys(spark):
+    """A key with a NULL, rows that pass, keys without news, rows in any order."""
+    data = [
+        ("=a", False, False, "3", "late"), ("=a", False, False, "1", "first"), ("=a", False, True, None, None),
+        ("=b", False, False, "2", "known"), ("", False, False, "4", "null"), ("", False, True, None, None),
+        ("=a", True, False, "0", "passes"), ("=b", True, False, "5", "passes too"),
+    ]
+    batch = spark.createDataFrame(data, "_key string, _free boolean, _new boolean, place string, v string")
+    got = first_seen(batch, ["place"])
+    assert got.columns == ["place", "v"]
+    assert sorted(r["v"] for r in got.collect()) == ["first", "null", "passes", "passes too"]
