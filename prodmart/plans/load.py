@@ -30,6 +30,9 @@ STAGED_SCHEMA = T.StructType(
 QUARANTINE_SCHEMA = T.StructType([T.StructField(n, T.StringType()) for n in ("file_path", "body", "batch_id")])
 TABLES = ("staged", "rejected", "products", "quarantine")
 DEFAULT_SOURCE = "csv"
+# Rows of a staged file. Repeating rows shrink so much in Parquet that a file cut by bytes alone would hand a task more of
+# them than fit its memory when first-wins sorts them.
+STAGED_ROWS = 50_000
 
 
 @dataclass(frozen=True)
@@ -144,7 +147,8 @@ def load_raw(
         seen = Observation()
         rows = rows.drop("batch_id").observe(seen, *counts) if counts else rows.drop("batch_id")
         path = f"{lake.path('raw', table)}/batch_id={batch_id}/try={tries[table]}"
-        write_table(rows, path, mode="errorifexists", index=KEYS[0] if table == "products" else None)
+        index, limit = (KEYS[0], None) if table == "products" else (None, STAGED_ROWS)
+        write_table(rows, path, mode="errorifexists", index=index, rows_per_file=limit)
         return seen.get if counts else {}
 
     counts = write(

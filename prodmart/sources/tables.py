@@ -139,13 +139,17 @@ def committed(spark: SparkSession, path: str, prefix: str) -> list[int]:
     )
 
 
-def write_table(df: DataFrame, path: str, mode: str = "overwrite", index: str | None = None) -> None:
-    """Parquet write of a whole directory.
+def write_table(
+    df: DataFrame, path: str, mode: str = "overwrite", index: str | None = None, rows_per_file: int | None = None
+) -> None:
+    """Parquet write of a whole directory, with at most `rows_per_file` rows in a file.
 
     With `index`, a column, every row group carries a Bloom filter of its values, of a size that fits them, and files are
     sorted by it: a scan for some values then skips the row groups that hold none of them.
     """
     writer = (df if index is None else df.sortWithinPartitions(index)).write.mode(mode)
+    if rows_per_file is not None:
+        writer = writer.option("maxRecordsPerFile", rows_per_file)
     if index is not None:
         writer = writer.option(f"parquet.bloom.filter.enabled#{index}", "true").option("parquet.bloom.filter.adaptive.enabled", "true")
     writer.parquet(path)

@@ -255,3 +255,14 @@ def test_small_batches_read_only_what_may_hold_their_keys(spark, lake):
     assert rows_to_compare(stored, incoming, "code", limit=49).count() == 3000
     fresh = [append_new(rows_to_compare(stored, incoming, "code", limit=n), incoming, ["code"], ["code"]).count() for n in (10, 100)]
     assert fresh == [0, 0]
+
+
+def test_staged_files_hold_few_rows(spark, lake, monkeypatch):
+    """One task's rows go to several files, so that those who read them again can share them."""
+    monkeypatch.setattr(load, "STAGED_ROWS", 20, raising=False)
+    rows = [(1, i, f"c{i % 90}", f"n{i}") for i in range(100)]
+    counts = load_raw(lake, clean_products(batch(spark, *rows).coalesce(1), "b1", NOW), "b1")
+    assert (counts.received, counts.inserted) == (100, 90)
+    staged = RawLog(lake).rows("staged", load.STAGED_SCHEMA, RawLog(lake).state()[1])
+    assert len(staged.inputFiles()) == 5 and staged.count() == 100
+    assert {(r["code"], r["product_name"]) for r in read_raw(lake).collect()} == {(f"c{i}", f"n{i}") for i in range(90)}
