@@ -210,9 +210,12 @@ def save_bucketed(df: DataFrame, table: str, keys: list[str], buckets: int, path
     df.write.mode(mode).option("path", path).bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(table)
 
 
-def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """CSV output that `read_extract_csv` reads back unchanged: quotes doubled, line breaks and outer blanks kept."""
-    df.write.mode(mode).csv(
+def write_csv(df: DataFrame, path: str, mode: str = "overwrite", rows_per_file: int = 50_000) -> None:
+    """CSV output that `read_extract_csv` reads back unchanged: quotes doubled, line breaks and outer blanks kept.
+
+    A file with line breaks in its texts is read by one task, so a file gets at most `rows_per_file` rows.
+    """
+    df.write.mode(mode).option("maxRecordsPerFile", rows_per_file).csv(
         path, header=True, escape='"', emptyValue="", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
     )
 

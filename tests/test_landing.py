@@ -109,6 +109,17 @@ def test_csv_round_trip(spark, tmp_path):
     assert sorted(map(tuple, back.collect()), key=str) == sorted(map(tuple, df.collect()), key=str)
 
 
+def test_csv_files_hold_few_rows(spark, tmp_path):
+    """One task's rows go to several files, which are read in the order they were written."""
+    df = spark.range(0, 250, 1, 1).selectExpr("CAST(id % 50 AS STRING) AS code", "CONCAT('line\n', id) AS product_name")
+    write_csv(conform(df, COLUMNS), str(tmp_path / "out"), rows_per_file=20)
+    assert len(list((tmp_path / "out").glob("*.csv"))) == 13
+    rows = read_extract_csv(spark, str(tmp_path / "out"))
+    assert rows.count() == 250
+    won = first_wins(rows, ["code"], ORDER_COLUMNS).select("code", "product_name").collect()
+    assert len(won) == 50 and all(r["product_name"] == f"line\n{r['code']}" for r in won)
+
+
 def test_conform_strict(spark):
     df = spark.createDataFrame([("1",)], "code string")
     assert conform(df, ["code", "nova_group"]).dtypes == [("code", "string"), ("nova_group", "double")]
