@@ -15,6 +15,9 @@ from pyspark.sql import DataFrame, SparkSession, types as T
 LAYERS = ["raw", "staging", "marts", "audit", "snapshots"]
 
 COMMITTED = "_COMMITTED"
+# Rows of a file. Repeating rows shrink so much in Parquet that a file cut by bytes alone would hand a task more of them
+# than fit its memory when they are sorted.
+ROWS_PER_FILE = 50_000
 
 AUDIT_SCHEMA = T.StructType(
     [T.StructField("model_name", T.StringType()), T.StructField("run_at", T.TimestampType())]
@@ -139,18 +142,17 @@ def committed(spark: SparkSession, path: str, prefix: str) -> list[int]:
     )
 
 
-def write_table(
-    df: DataFrame, path: str, mode: str = "overwrite", index: str | None = None, rows_per_file: int | None = None
-) -> None:
-    """Parquet write of a whole directory, with at most `rows_per_file` rows in a file.
+def write_table(df: DataFrame, path: str, mode: str = "overwrite", index: str | None = None) -> None:
+    """Parquet write of a whole directory.
 
     With `index`, a column, every row group carries a Bloom filter of its values, of a size that fits them, and files are
-    sorted by it: a scan for some values then skips the row groups that hold none of them.
+    sorted by it: a scan for some values then skips the row groups that hold none of them. Without, a file gets at most
+    `ROWS_PER_FILE` rows, for jobs that read whole tables back.
     """
     writer = (df if index is None else df.sortWithinPartitions(index)).write.mode(mode)
-    if rows_per_file is not None:
-        writer = writer.option("maxRecordsPerFile", rows_per_file)
-    if index is not None:
+    if index is None:
+        writer = writer.option("maxRecordsPerFile", ROWS_PER_FILE)
+    else:
         writer = writer.option(f"parquet.bloom.filter.enabled#{index}", "true").option("parquet.bloom.filter.adaptive.enabled", "true")
     writer.parquet(path)
 
@@ -210,12 +212,13 @@ def save_bucketed(df: DataFrame, table: str, keys: list[str], buckets: int, path
     df.write.mode(mode).option("path", path).bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(table)
 
 
-def write_csv(df: DataFrame, path: str, mode: str = "overwrite", rows_per_file: int = 50_000) -> None:
+def write_csv(df: DataFrame, path: str, mode: str = "overwrite", rows_per_file: int | None = None) -> None:
     """CSV output that `read_extract_csv` reads back unchanged: quotes doubled, line breaks and outer blanks kept.
 
-    A file with line breaks in its texts is read by one task, so a file gets at most `rows_per_file` rows.
+    A file with line breaks in its texts is read by one task, so a file gets at most `rows_per_file` rows,
+    default `ROWS_PER_FILE`.
     """
-    df.write.mode(mode).option("maxRecordsPerFile", rows_per_file).csv(
+    df.write.mode(mode).option("maxRecordsPerFile", rows_per_file or ROWS_PER_FILE).csv(
         path, header=True, escape='"', emptyValue="", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
     )
 

@@ -9,6 +9,7 @@ from prodmart.operators.keyed import append_new, rows_to_compare
 from prodmart.plans import load
 from prodmart.plans.load import RawLog, drop_dead_tries, load_raw, read_raw, read_rejected
 from prodmart.schema import COLUMNS, ORDER_COLUMNS, RAW_COLUMNS, conform
+from prodmart.sources import tables
 from prodmart.sources.commits import CommitLog, Conflict, create_once
 from prodmart.sources.tables import Lakehouse
 from scans import rows_scanned
@@ -259,7 +260,7 @@ def test_small_batches_read_only_what_may_hold_their_keys(spark, lake):
 
 def test_staged_files_hold_few_rows(spark, lake, monkeypatch):
     """One task's rows go to several files, so that those who read them again can share them."""
-    monkeypatch.setattr(load, "STAGED_ROWS", 20, raising=False)
+    monkeypatch.setattr(tables, "ROWS_PER_FILE", 20, raising=False)
     rows = [(1, i, f"c{i % 90}", f"n{i}") for i in range(100)]
     counts = load_raw(lake, clean_products(batch(spark, *rows).coalesce(1), "b1", NOW), "b1")
     assert (counts.received, counts.inserted) == (100, 90)
